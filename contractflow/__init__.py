@@ -2,7 +2,7 @@
 
 from contractflow.operators import check_domain, compile_rules, route, validate
 from contractflow.plans import DOMAINS, Contract, Rule, contract_from_dict, load_contract, load_contracts
-from contractflow.session import pin, scratch
+from contractflow.session import pin, scratch, spread
 
 __all__ = [
     "DOMAINS",
@@ -16,5 +16,6 @@ __all__ = [
     "pin",
     "route",
     "scratch",
+    "spread",
     "validate",
 ]

@@ -46,8 +46,7 @@ def message(rule: Rule) -> str:
 
 
 def _allowed_values(rule: Rule, fields: V.Fields, clock: Column) -> Column:
-    value = V.text(fields.get(rule.field)[0])
-    return value.isNull() | ~value.isin(*rule.args["values"])
+    return ~F.coalesce(V.text(fields.get(rule.field)[0]).isin(*rule.args["values"]), F.lit(False))
 
 
 def _compare(rule: Rule, fields: V.Fields, clock: Column) -> Column:

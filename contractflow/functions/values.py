@@ -60,8 +60,8 @@ def epoch_seconds(value: Column, dtype: T.DataType) -> Column:
 
 
 def is_blank(value: Column) -> Column:
-    """Null, empty, or nothing but spaces."""
-    return value.isNull() | (F.trim(text(value)) == "")
+    """Null, empty, or nothing but spaces; the value is read once, it may be costly to derive."""
+    return F.coalesce(F.trim(text(value)), F.lit("")) == ""
 
 
 def any_true(conditions: list[Column]) -> Column:

@@ -17,6 +17,7 @@ from contractflow.operators.routing import (
     batch_counts,
     certified,
     domain_messages,
+    emit_where,
     quarantined,
     route,
     split_domain,
@@ -36,6 +37,7 @@ __all__ = [
     "decode_json",
     "domain_messages",
     "drift_fields",
+    "emit_where",
     "event_schema",
     "fallback_key",
     "flatten_event",

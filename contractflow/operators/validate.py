@@ -10,6 +10,8 @@ import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,31 +25,55 @@ logger = logging.getLogger(__name__)
 ERRORS, VALID, REASON = "validation_errors", "is_valid", "error_reason"
 
 
+class Check(NamedTuple):
+    """One compiled rule: when ``violated`` is true the row gets ``message``."""
+
+    rule: str
+    violated: Column
+    message: str
+
+
 @dataclass(frozen=True)
 class CompiledRules:
-    """Violation conditions with their messages, and the rules that could not be compiled."""
+    """The compiled checks in rule order, and the rules that could not be compiled."""
 
-    checks: tuple[tuple[Column, str], ...]
+    checks: tuple[Check, ...]
     skipped: tuple[Rule, ...] = ()
 
     def valid(self) -> Column:
-        return ~any_true([condition for condition, _ in self.checks])
+        return ~any_true([check.violated for check in self.checks])
 
     def errors(self) -> Column:
-        """Messages in rule order; rows without a violation skip building the array."""
-        none = F.array().cast("array<string>")
+        """Messages in rule order, an empty array for a valid row.
+
+        No message is empty, so the empty text can stand for "passed" until it is removed; unlike
+        a filter with a lambda this stays inside generated code.
+        """
         if not self.checks:
-            return none
-        found = F.array_compact(F.array(*[F.when(c, F.lit(m)) for c, m in self.checks]))
-        return F.when(self.valid(), none).otherwise(found)
+            return F.array().cast("array<string>")
+        return F.array_remove(F.array(*[F.when(c.violated, c.message).otherwise("") for c in self.checks]), "")
 
     def reason(self) -> Column:
         """Messages joined by ``"; "``; the empty text means valid."""
-        return F.concat_ws("; ", *[F.when(c, F.lit(m)) for c, m in self.checks])
+        return F.concat_ws("; ", *[F.when(c.violated, c.message) for c in self.checks])
 
     def tag(self, df: DataFrame) -> DataFrame:
         return df.withColumns({ERRORS: self.errors(), VALID: self.valid()})
 
+    def violations(self, df: DataFrame) -> DataFrame:
+        """Violations per rule, straight from the conditions: one aggregate, no arrays, one row shuffled."""
+        by_rule: dict[str, list[Column]] = {}
+        for check in self.checks:
+            by_rule.setdefault(check.rule, []).append(F.count_if(check.violated))
+        if not by_rule:
+            raise ContractError("there is no rule to count")
+        lines = [
+            F.struct(F.lit(rule).alias("rule"), reduce(lambda a, b: a + b, counts).alias("violations"))
+            for rule, counts in by_rule.items()
+        ]
+        counted = df.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+        return counted.filter(F.col("violations") > 0)
+
 
 def compile_rules(
     rules: Iterable[Rule],
@@ -55,7 +81,7 @@ def compile_rules(
     as_of: datetime | Column,
     payload: str | None = None,
     strict: bool = False,
-    extra: Sequence[tuple[Column, str]] = (),
+    extra: Sequence[Check] = (),
 ) -> CompiledRules:
     """Bind rules to a schema.
 
@@ -63,7 +89,8 @@ def compile_rules(
     raises when ``strict``. A rule on an unknown field always raises. ``extra`` checks come first.
     """
     fields, clock = Fields(schema, payload), instant(as_of)
-    checks, skipped = list(extra), []
+    checks: list[Check] = list(extra)
+    skipped: list[Rule] = []
     for rule in rules:
         if not rule.enabled:
             continue
@@ -76,7 +103,7 @@ def compile_rules(
         for name in filter(None, (rule.field, rule.args.get("by"))):
             if name not in fields:
                 raise ContractError(f"rule {rule.name!r} names the unknown field {name!r}")
-        checks.append((violation(rule, fields, clock), message(rule)))
+        checks.append(Check(rule.name, violation(rule, fields, clock), message(rule)))
     return CompiledRules(tuple(checks), tuple(skipped))
 
 
@@ -101,11 +128,11 @@ def validate(
 CORRUPT = "_corrupt_record"
 
 
-def decode_failure(schema: T.StructType, payload: str) -> tuple[Column, str]:
+def decode_failure(schema: T.StructType, payload: str) -> Check:
     failed = F.col(payload).isNull()
     if CORRUPT in schema[payload].dataType.fieldNames():
         failed = failed | F.col(f"{payload}.{CORRUPT}").isNotNull()
-    return failed, "DECODE_VIOLATION [decode]: payload could not be decoded"
+    return Check("decode", failed, "DECODE_VIOLATION [decode]: payload could not be decoded")
 
 
 def check_domain(df: DataFrame, domain: Domain) -> DataFrame:

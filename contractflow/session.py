@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -27,3 +27,12 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="contractflow-")
     return f"{base.rstrip('/')}/contractflow/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly per-row work, such as decoding, on an input of few splits.
+
+    An input with a split per core is returned as it is, so nothing large is ever shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractflow import pin
+from contractflow import pin, spread
 from contractflow.functions import frame
 from contractflow.operators import wrap_event
 from contractflow.plans import DOMAINS, Domain
@@ -182,11 +182,17 @@ def messages_of(df: DataFrame, domain: Domain) -> DataFrame:
 
 
 def domain_messages_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return messages_of(table(spark, sf_dir, MAPPINGS[name][0]), DOMAINS[name])
+    return messages_of(spread(table(spark, sf_dir, MAPPINGS[name][0])), DOMAINS[name])
+
+
+def row_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream with a partition per core, as a topic has partitions of its own."""
+    rows = table_stream(pin(spark), sf_dir, f"{name}.parquet")
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def domain_message_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return messages_of(table_stream(pin(spark), sf_dir, f"{MAPPINGS[name][0]}.parquet"), DOMAINS[name])
+    return messages_of(row_stream(spark, sf_dir, MAPPINGS[name][0]), DOMAINS[name])
 
 
 def event_value() -> Column:
@@ -205,4 +211,5 @@ def event_value() -> Column:
 
 def event_messages(df: DataFrame) -> DataFrame:
     """Rows of the events table as plain JSON messages."""
+    df = df if df.isStreaming else spread(df)
     return as_messages(df, F.col("event_id"), event_value(), "bronze.web.events", F.col("event_id"), F.col("ts"))

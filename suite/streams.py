@@ -7,14 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from contractflow import pin, scratch
+from contractflow import scratch
 from contractflow.functions import instant
 from contractflow.operators import event_schema
 from contractflow.plans import DOMAINS
-from contractflow.sources import Tables, file_sink, provision, table_stream
+from contractflow.sources import Tables, file_sink, provision
 from contractflow.streaming import provision_stats, start_contract_stream, start_domain_streams
 from suite.domains import checked_sql, outcome_sql
-from suite.mappings import domain_message_stream, event_messages
+from suite.mappings import domain_message_stream, event_messages, row_stream
 from suite.registry import AS_OF, query
 from suite.routing import BRONZE_SQL, EVENT_REASON, QUARANTINE_SQL, bronze_view, quarantine_view
 from suite.rules import EVENTS
@@ -22,7 +22,7 @@ from suite.tables import new_database
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_messages(table_stream(pin(spark), sf_dir, "events.parquet"))
+    return event_messages(row_stream(spark, sf_dir, "events"))
 
 
 def run_contract(spark: SparkSession, sf_dir: str) -> tuple[Tables, str]:
