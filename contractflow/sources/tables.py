@@ -181,7 +181,7 @@ def widen(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
 
 def union_widened(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows written before and after a schema grew, under the wider schema."""
-    return old.unionByName(new, allowMissingColumns=True)
+    return old.select("*").unionByName(new, allowMissingColumns=True)
 
 
 def retained(df: DataFrame, as_of: datetime | Column, days: int = RETENTION_DAYS, column: str = "ingested_at") -> DataFrame:
