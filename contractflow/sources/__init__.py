@@ -16,9 +16,10 @@ from contractflow.sources.tables import (
     append,
     bronze_schema,
     drop_expired,
-    has_load,
+    drop_load,
     namespace_statements,
     provision,
+    provision_all,
     quarantine_schema,
     replace_load,
     retained,
@@ -35,13 +36,14 @@ __all__ = [
     "bronze_schema",
     "contract_topic_stream",
     "drop_expired",
+    "drop_load",
     "file_sink",
     "file_stream",
-    "has_load",
     "kafka_sink",
     "kafka_stream",
     "namespace_statements",
     "provision",
+    "provision_all",
     "quarantine_schema",
     "replace_load",
     "retained",

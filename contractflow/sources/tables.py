@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timedelta
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractflow.functions import instant, timestamp
-from contractflow.plans import Contract
+from contractflow.plans import Contract, ContractError
 
 LOAD_ID = "load_id"
 RETENTION_DAYS = 90
@@ -138,30 +139,70 @@ def provision(spark: SparkSession, contract: Contract, tables: Tables | None = N
     return tables
 
 
+def provision_all(
+    spark: SparkSession, contracts: Iterable[Contract], provider: str = "parquet"
+) -> tuple[list[Tables], dict[str, str]]:
+    """Create the tables of every contract; those that fail are reported, the others go on."""
+    done: list[Tables] = []
+    failed: dict[str, str] = {}
+    for contract in contracts:
+        try:
+            if not contract.table or not contract.quarantine_table:
+                raise ContractError("the contract names no tables")
+            tables = Tables(contract.table, contract.quarantine_table, contract.partitioning, provider)
+            done.append(provision(spark, contract, tables))
+        except (ContractError, ValueError, PySparkException) as error:
+            failed[contract.name] = f"{type(error).__name__}: {error}"
+    return done, failed
+
+
 def replace_load(
     df: DataFrame, table: str, load_id: str, partitioning: Sequence[str] = (), provider: str = "parquet"
 ) -> None:
-    """Append one load, replacing whatever an earlier attempt of the same load left behind."""
+    """Append one load, replacing whatever an earlier attempt of the same load left behind.
+
+    A load usually falls on one ingestion date, so it is written as it is partitioned. Event dates
+    can be many: rows are then rebalanced by date first, which keeps a day's rows in few files
+    and lets adaptive execution split a day that is too large.
+    """
     spark = df.sparkSession
+    drop_load(spark, table, load_id, provider)
     if provider in V2_PROVIDERS:
-        df.withColumn(LOAD_ID, F.lit(load_id)).writeTo(table).overwrite(F.col(LOAD_ID) == load_id)
+        df.withColumn(LOAD_ID, F.lit(load_id)).writeTo(table).append()
         return
+    dates = [date_column(transform) for transform in partitioning]
+    names = [name for name, _ in dates]
+    stored = [name for name in spark.table(table).columns if name != LOAD_ID and name not in names]
+    load = with_dates(df, partitioning).select(*stored, *names)
+    scattered = [name for name, source in dates if source != "ingested_at"]
+    if scattered:
+        load = load.hint("rebalance", *scattered)
     view = f"load_{uuid.uuid4().hex}"
-    dates = [date_column(transform)[0] for transform in partitioning]
-    stored = [name for name in spark.table(table).columns if name != LOAD_ID and name not in dates]
-    with_dates(df, partitioning).select(*stored, *dates).createOrReplaceTempView(view)
+    load.createOrReplaceTempView(view)
     try:
-        target = ", ".join([f"{LOAD_ID} = '{load_id}'", *dates])
+        target = ", ".join([f"{LOAD_ID} = '{load_id}'", *names])
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({target}) SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
 
-def has_load(spark: SparkSession, table: str, load_id: str, provider: str = "parquet") -> bool:
-    """Whether a table holds rows of a load; for partitioned tables this reads metadata only."""
+def drop_load(spark: SparkSession, table: str, load_id: str, provider: str = "parquet") -> None:
+    """Remove the rows of a load, if there are any."""
     if provider in V2_PROVIDERS:
-        return not spark.table(table).filter(F.col(LOAD_ID) == load_id).isEmpty()
-    return not spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_ID} = '{load_id}')").isEmpty()
+        if not spark.table(table).filter(F.col(LOAD_ID) == load_id).isEmpty():
+            spark.sql(f"DELETE FROM {table} WHERE {LOAD_ID} = '{load_id}'")
+        return
+    drop_partitions(spark, table, spark.sql(f"SHOW PARTITIONS {table} PARTITION ({LOAD_ID} = '{load_id}')"))
+
+
+def drop_partitions(spark: SparkSession, table: str, listed: DataFrame) -> int:
+    """Drop the listed partitions; the list is table metadata, one line per partition."""
+    dropped = 0
+    for row in listed.toLocalIterator():
+        spec = ", ".join("`{}`='{}'".format(*part.split("=", 1)) for part in row["partition"].split("/"))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        dropped += 1
+    return dropped
 
 
 def append(df: DataFrame, table: str, partitioning: Sequence[str] = (), provider: str = "parquet") -> None:
@@ -204,9 +245,4 @@ def drop_expired(
     name = f"{column}_date"
     bound = (as_of - timedelta(days=days)).date().isoformat()
     day = F.regexp_extract("partition", rf"{name}=(\d{{4}}-\d{{2}}-\d{{2}})", 1)
-    listed = spark.sql(f"SHOW PARTITIONS {table}").filter((day != "") & (day < bound))
-    expired = [row["partition"] for row in listed.toLocalIterator()]
-    for partition in expired:
-        spec = ", ".join("`{}`='{}'".format(*part.split("=", 1)) for part in partition.split("/"))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-    return len(expired)
+    return drop_partitions(spark, table, spark.sql(f"SHOW PARTITIONS {table}").filter((day != "") & (day < bound)))

@@ -16,7 +16,7 @@ from contractflow.operators.routing import audit_columns, batch_counts, project_
 from contractflow.operators.validate import ERRORS, VALID, validate
 from contractflow.plans import Contract
 from contractflow.sources.kafka import DEFAULT_TRIGGER, with_trigger
-from contractflow.sources.tables import LOAD_ID, Tables, has_load, namespace_statements, replace_load, table_ddl
+from contractflow.sources.tables import Tables, drop_load, namespace_statements, replace_load, table_ddl
 
 STATS_SCHEMA = T.StructType(
     [
@@ -92,8 +92,10 @@ def batch_writer(
                     tables.quarantine_partitioning,
                 ),
             ):
-                if rows or has_load(spark, table, load_id, tables.provider):
+                if rows:
                     replace_load(batch.filter(side).select(*columns), table, load_id, partitioning, tables.provider)
+                else:
+                    drop_load(spark, table, load_id, tables.provider)
             if stats_table:
                 line = (batch_id, counts["total"], counts["valid"], counts["invalid"], time.monotonic() - started)
                 replace_load(
@@ -121,5 +123,3 @@ def start_contract_stream(
     writer = tagged.writeStream.foreachBatch(batch_writer(contract, tables, stats_table))
     return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
 
-
-__all__ = ["LOAD_ID", "batch_writer", "provision_stats", "start_contract_stream", "tag_messages"]

@@ -14,9 +14,10 @@ from contractflow.sources import (
     append,
     bronze_schema,
     drop_expired,
-    has_load,
+    drop_load,
     namespace_statements,
     provision,
+    provision_all,
     quarantine_schema,
     replace_load,
     retained,
@@ -93,9 +94,10 @@ def test_loads_replace_themselves_only(spark, database):
     replace_load(bronze_rows(spark, 1), tables.bronze, "x", tables.partitioning)
     by_load = {r.load_id: r["count"] for r in spark.table(tables.bronze).groupBy("load_id").count().collect()}
     assert by_load == {"x": 1, "y": 6}
-    assert has_load(spark, tables.bronze, "x") and not has_load(spark, tables.bronze, "z")
+    drop_load(spark, tables.bronze, "z")
     replace_load(bronze_rows(spark, 0), tables.bronze, "x", tables.partitioning)
     assert spark.table(tables.bronze).filter("load_id = 'x'").isEmpty()
+    drop_load(spark, tables.bronze, "x")
     days = spark.table(tables.bronze).select("at_date").distinct().orderBy("at_date").collect()
     assert [str(r.at_date) for r in days] == ["2024-01-01", "2024-01-02", "2024-01-03"]
 
@@ -149,3 +151,41 @@ def test_expired_partitions(spark, database):
     assert drop_expired(spark, name, datetime(2024, 1, 8), 3) == 8
     assert sorted(r.id for r in spark.table(name).collect()) == [4, 4, 5, 6, 7, 8, 9]
     assert drop_expired(spark, name, datetime(2024, 1, 8), 3) == 0
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_a_load_is_replaced_whole_in_either_overwrite_mode(spark, database, mode):
+    tables = provision(spark, CONTRACT, Tables(f"{database}.b", f"{database}.q", CONTRACT.partitioning))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        replace_load(bronze_rows(spark, 30), tables.bronze, "x", tables.partitioning)
+        replace_load(bronze_rows(spark, 30).filter("id % 3 = 0"), tables.bronze, "x", tables.partitioning)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert sorted(r.id for r in spark.table(tables.bronze).collect()) == list(range(0, 30, 3))
+
+
+def test_event_dates_are_rebalanced_into_few_files(spark, database):
+    name = f"{database}.b"
+    spark.sql(table_ddl(name, bronze_schema(CONTRACT), ["days(at)"]))
+    append(bronze_rows(spark, 900).repartition(8), name, ["days(at)"])
+    files = spark.table(name).select(F.input_file_name().alias("f")).distinct().count()
+    assert files == 3 and spark.table(name).count() == 900
+
+
+def test_provision_all_reports_what_fails(spark, database):
+    def contract(title: str, table: str, partitioning=()) -> object:
+        storage = {"icebergTable": table, "quarantineTable": f"{table}_q", "partitioning": list(partitioning)}
+        return contract_from_dict({"info": {"title": title}, "storage": storage, "schema": {"fields": [{"name": "a"}]}})
+
+    done, failed = provision_all(
+        spark,
+        [
+            contract("good", f"{database}.good"),
+            contract("odd", f"{database}.odd", ["bucket(3, a)"]),
+            contract("nowhere", "no_catalog.x.y.z"),
+            contract_from_dict({"info": {"title": "tableless"}}),
+        ],
+    )
+    assert [t.bronze for t in done] == [f"{database}.good"]
+    assert sorted(failed) == ["nowhere", "odd", "tableless"]
