@@ -104,22 +104,30 @@ def quality_row(
     return row.withColumns({"detected_invalid": invalid, "detection_rate_pct": percent(invalid, invalid)})
 
 
-def _long_form(row: DataFrame, sections: Mapping[str, Sequence[str]]) -> DataFrame:
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(section).alias("section"),
-                        F.lit(metric).alias("metric"),
-                        F.col(metric).cast("double").alias("value"),
-                    )
-                    for section, metrics in sections.items()
-                    for metric in metrics
-                ]
-            )
+# Sections and lines of the report, before the fields a contract requires.
+REPORT_SECTIONS = {
+    "timeliness": ["valid_records", "avg_freshness_seconds", "min_freshness_seconds", "max_freshness_seconds"],
+    "conformity": ["total_records", "total_valid", "total_invalid", "conformity_pct"],
+    "completeness": [],
+    "detection": ["detected_invalid", "detection_rate_pct"],
+}
+
+
+def report_lines(row: DataFrame) -> DataFrame:
+    """A :func:`quality_row` as rows of ``section, metric, value``."""
+    required = [name for name in row.columns if name.startswith("missing_") or name.endswith("_completeness_pct")]
+    sections = {**REPORT_SECTIONS, "completeness": required}
+    lines = [
+        F.struct(
+            F.lit(section).alias("section"),
+            F.lit(metric).alias("metric"),
+            F.col(metric).cast("double").alias("value"),
         )
-    )
+        for section, metrics in sections.items()
+        for metric in metrics
+        if metric in row.columns
+    ]
+    return row.select(F.inline(F.array(*lines)))
 
 
 def quality_report(
@@ -127,25 +135,10 @@ def quality_report(
     quarantine: DataFrame,
     required: Mapping[str, str],
     ingested: str = "ingested_at",
-    event: str = "event_time",
+    event: str | None = "event_time",
 ) -> DataFrame:
     """The quality report as rows of ``section, metric, value``."""
-    sections = {
-        "timeliness": [
-            "valid_records",
-            "avg_freshness_seconds",
-            "min_freshness_seconds",
-            "max_freshness_seconds",
-        ],
-        "conformity": ["total_records", "total_valid", "total_invalid", "conformity_pct"],
-        "completeness": [
-            *[f"missing_{name}" for name in required],
-            *[f"{name}_completeness_pct" for name in required],
-            *(["overall_completeness_pct"] if required else []),
-        ],
-        "detection": ["detected_invalid", "detection_rate_pct"],
-    }
-    return _long_form(quality_row(bronze, quarantine, required, ingested, event), sections)
+    return report_lines(quality_row(bronze, quarantine, required, ingested, event))
 
 
 def violations_per_rule(quarantine: DataFrame) -> DataFrame:

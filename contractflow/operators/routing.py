@@ -35,9 +35,9 @@ def project_fields(contract: Contract, payload: str | None = PAYLOAD) -> list[Co
 def emit_where(df: DataFrame, condition: Column, *columns: Column | str) -> DataFrame:
     """``df.filter(condition).select(*columns)`` for a condition on costly derived columns.
 
-    A filter would be pushed below the projection that decodes the payload, which then runs once
-    for the filter and again for the rows that are left. Emitting nought or one row per
-    input row leaves the decoded column where it is, evaluated once.
+    A filter would be pushed below the projection that decodes or derives those columns, which then
+    run for the filter and again for the rows that are left. Emitting nought or one row per
+    input row leaves them where they are, evaluated once.
     """
     return df.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
 
@@ -46,16 +46,13 @@ def certified(
     tagged: DataFrame, contract: Contract, as_of: datetime | Column, payload: str | None = PAYLOAD
 ) -> DataFrame:
     """Valid rows in the bronze layout; ``payload=None`` for a flat table."""
-    columns = [*project_fields(contract, payload), *audit_columns(contract, as_of)]
-    return emit_where(tagged, F.col(VALID), *columns) if payload else tagged.filter(VALID).select(*columns)
+    return emit_where(tagged, F.col(VALID), *project_fields(contract, payload), *audit_columns(contract, as_of))
 
 
 def quarantined(tagged: DataFrame, contract: Contract, as_of: datetime | Column) -> DataFrame:
     """Invalid rows in the quarantine layout: the message as received and why it was refused."""
     kept_bytes = [RAW_BYTES] if RAW_BYTES in tagged.columns else []
-    columns = [RAW, *audit_columns(contract, as_of), ERRORS, *kept_bytes]
-    refused = ~F.col(VALID)
-    return emit_where(tagged, refused, *columns) if PAYLOAD in tagged.columns else tagged.filter(refused).select(*columns)
+    return emit_where(tagged, ~F.col(VALID), RAW, *audit_columns(contract, as_of), ERRORS, *kept_bytes)
 
 
 def route(tagged: DataFrame, contract: Contract, as_of: datetime | Column) -> tuple[DataFrame, DataFrame]:

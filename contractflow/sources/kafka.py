@@ -45,10 +45,18 @@ def file_stream(spark: SparkSession, path: str, options: Mapping[str, str] | Non
     return spark.readStream.schema(MESSAGE_SCHEMA).options(**(options or {})).parquet(path)
 
 
-def table_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """One table file of a folder as a stream, with the table's own columns."""
-    schema = spark.read.parquet(f"{folder}/{file_name}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A Parquet table of a folder as a stream, with the table's own columns.
+
+    The table is a folder of files, or a single file: the file source reads folders only, so a
+    single file is picked out of the folder it lies in.
+    """
+    table = spark.read.parquet(f"{folder}/{name}")
+    stream = spark.readStream.schema(table.schema)
+    first = table.select("_metadata.file_name").first()
+    if first is not None and first.file_name == name:
+        return stream.option("pathGlobFilter", name).parquet(folder)
+    return stream.parquet(f"{folder}/{name}")
 
 
 def as_messages(df: DataFrame, key: Column, value: Column, topic: str, offset: Column, at: Column) -> DataFrame:

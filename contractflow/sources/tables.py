@@ -34,9 +34,16 @@ def bronze_schema(contract: Contract) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in contract.schema()] + _AUDIT)
 
 
-def quarantine_schema() -> T.StructType:
+def quarantine_schema(contract: Contract | None = None) -> T.StructType:
+    """Five fixed columns; binary payloads, which text cannot hold unharmed, are kept as base64 too."""
+    kept_bytes = [T.StructField("raw_payload_base64", T.StringType())] if contract and contract.format == "avro" else []
     return T.StructType(
-        [T.StructField("raw_payload", T.StringType()), *_AUDIT, T.StructField("validation_errors", T.ArrayType(T.StringType()))]
+        [
+            T.StructField("raw_payload", T.StringType()),
+            *_AUDIT,
+            T.StructField("validation_errors", T.ArrayType(T.StringType())),
+            *kept_bytes,
+        ]
     )
 
 
@@ -128,7 +135,7 @@ def provision(spark: SparkSession, contract: Contract, tables: Tables | None = N
         (tables.bronze, bronze_schema(contract), tables.partitioning, BRONZE_PROPERTIES),
         (
             tables.quarantine,
-            quarantine_schema(),
+            quarantine_schema(contract),
             tables.quarantine_partitioning,
             {"write.format.default": "parquet"},
         ),

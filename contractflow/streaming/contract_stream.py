@@ -16,7 +16,15 @@ from contractflow.operators.routing import audit_columns, batch_counts, project_
 from contractflow.operators.validate import ERRORS, VALID, validate
 from contractflow.plans import Contract
 from contractflow.sources.kafka import DEFAULT_TRIGGER, with_trigger
-from contractflow.sources.tables import Tables, drop_load, namespace_statements, replace_load, table_ddl
+from contractflow.sources.tables import (
+    Tables,
+    bronze_schema,
+    drop_load,
+    namespace_statements,
+    quarantine_schema,
+    replace_load,
+    table_ddl,
+)
 
 STATS_SCHEMA = T.StructType(
     [
@@ -64,14 +72,14 @@ def provision_stats(spark: SparkSession, table: str, provider: str = "parquet")
 def batch_writer(
     contract: Contract, tables: Tables, stats_table: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body: at most four jobs, whatever the number of rules.
+    """The ``foreachBatch`` body: four actions at most, whatever the number of rules.
 
     Each output is written under a load id made of the query and batch ids. A batch that is
     replayed after a crash replaces its own rows, and a restart from a new checkpoint gets
     ids of its own instead of replacing another run's.
     """
-    bronze = [*contract.field_names, "ingested_at", "schema_version", "source_format"]
-    quarantine = [RAW, "ingested_at", "schema_version", "source_format", ERRORS]
+    bronze = bronze_schema(contract).fieldNames()
+    quarantine = quarantine_schema(contract).fieldNames()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()

@@ -186,9 +186,10 @@ def domain_messages_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 
 
 def row_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream with a partition per core, as a topic has partitions of its own."""
+    """A table as a stream; one of few splits gets a partition per core, as a topic would have."""
     rows = table_stream(pin(spark), sf_dir, f"{name}.parquet")
-    return rows.repartition(spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if table(spark, sf_dir, name).rdd.getNumPartitions() < cores else rows
 
 
 def domain_message_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,7 +12,16 @@ from contractflow import contract_from_dict, scratch, validate
 from contractflow.operators import decode_contract, event_schema
 from contractflow.operators.decode import PAYLOAD
 from contractflow.plans import DOMAINS
-from contractflow.sources import Tables, as_messages, file_sink, file_stream, kafka_sink, kafka_stream, provision
+from contractflow.sources import (
+    Tables,
+    as_messages,
+    file_sink,
+    file_stream,
+    kafka_sink,
+    kafka_stream,
+    provision,
+    table_stream,
+)
 from contractflow.sources import kafka as K
 from contractflow.streaming import domain_stream, provision_stats, start_contract_stream, start_domain_streams
 from suite.mappings import domain_messages_of
@@ -195,3 +204,15 @@ def test_kafka_without_its_package_says_so(spark, tmp_path):
 def test_scratch_is_under_the_shared_folder(spark):
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_table_stream_reads_a_file_and_a_folder(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    spark.range(10).repartition(3).write.parquet(f"{folder}/many.parquet")
+    spark.range(0).write.parquet(f"{folder}/none.parquet")
+    for where, name, expected in ((folder, "many.parquet", 10), (folder, "none.parquet", 0), (SF, "nation.parquet", 25)):
+        stream = table_stream(spark, where, name)
+        seen = str(tmp_path / f"seen-{name}")
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"cp-{name}"))
+        query.option("path", seen).trigger(availableNow=True).start().awaitTermination()
+        assert spark.read.schema(stream.schema).parquet(seen).count() == expected

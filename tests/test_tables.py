@@ -42,6 +42,7 @@ def test_layouts():
         ("schema_version", "string"),
         ("source_format", "string"),
     ]
+    assert CONTRACT.format == "avro" and quarantine_schema(CONTRACT).fieldNames()[-1] == "raw_payload_base64"
     assert [(f.name, f.dataType.simpleString()) for f in quarantine_schema()] == [
         ("raw_payload", "string"),
         ("ingested_at", "timestamp"),
