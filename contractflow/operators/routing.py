@@ -59,13 +59,17 @@ def route(tagged: DataFrame, contract: Contract, as_of: datetime | Column) -> tu
     return certified(tagged, contract, as_of), quarantined(tagged, contract, as_of)
 
 
-def batch_counts(tagged: DataFrame) -> DataFrame:
-    """Total, valid and invalid rows in one pass."""
-    return tagged.agg(
+def count_columns() -> list[Column]:
+    return [
         F.count("*").alias("total"),
         F.count_if(F.col(VALID)).alias("valid"),
         F.count_if(~F.col(VALID)).alias("invalid"),
-    )
+    ]
+
+
+def batch_counts(tagged: DataFrame) -> DataFrame:
+    """Total, valid and invalid rows in one pass."""
+    return tagged.agg(*count_columns())
 
 
 def domain_messages(checked: DataFrame, domain: Domain, as_of: datetime | Column) -> DataFrame:

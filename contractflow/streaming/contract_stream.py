@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from contractflow.operators.decode import PAYLOAD, RAW, RAW_BYTES, decode_contract
-from contractflow.operators.routing import audit_columns, batch_counts, project_fields
+from contractflow.operators.routing import audit_columns, count_columns, project_fields
 from contractflow.operators.validate import ERRORS, VALID, validate
 from contractflow.plans import Contract
 from contractflow.sources.kafka import DEFAULT_TRIGGER, with_trigger
@@ -85,11 +85,16 @@ def batch_writer(
         started = time.monotonic()
         spark = batch.sparkSession
         load_id = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        # Cached for three short reads: compressing the columns would cost more than decoding them did.
+        # The setting is that of the stream's own session.
+        spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = batch_counts(batch).first()
+            counts = batch.agg(*count_columns(), F.max(F.unix_micros("ingested_at")).alias("clock")).first()
             if counts["total"] == 0:
                 return
+            # One clock for all rows: as a literal its date needs no sort before the partitioned write.
+            clocked = batch.withColumn("ingested_at", F.timestamp_micros(F.lit(counts["clock"])))
             for table, columns, side, rows, partitioning in (
                 (tables.bronze, bronze, F.col(VALID), counts["valid"], tables.partitioning),
                 (
@@ -101,7 +106,7 @@ def batch_writer(
                 ),
             ):
                 if rows:
-                    replace_load(batch.filter(side).select(*columns), table, load_id, partitioning, tables.provider)
+                    replace_load(clocked.filter(side).select(*columns), table, load_id, partitioning, tables.provider)
                 else:
                     drop_load(spark, table, load_id, tables.provider)
             if stats_table:

@@ -216,3 +216,12 @@ def test_table_stream_reads_a_file_and_a_folder(spark, tmp_path):
         query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"cp-{name}"))
         query.option("path", seen).trigger(availableNow=True).start().awaitTermination()
         assert spark.read.schema(stream.schema).parquet(seen).count() == expected
+
+
+def test_the_users_session_keeps_its_settings(spark, database, tmp_path):
+    before = spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed")
+    path = str(tmp_path / "topic")
+    write_messages(spark, path, 0, 10)
+    run(spark, path, new_tables(spark, database), str(tmp_path / "checkpoint"))
+    assert spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed") == before
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == 0
