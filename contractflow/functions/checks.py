@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contractflow.functions import values as V
 from contractflow.plans.rules import Rule

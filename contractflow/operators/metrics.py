@@ -41,19 +41,30 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total"))
 
 
-def _freshness_columns(schema: T.StructType, ingested: str, event: str) -> list[Column]:
+def _freshness_columns(schema: T.StructType, ingested: str, event: str, weight: str | None = None) -> list[Column]:
     lag = epoch_seconds(F.col(ingested), schema[ingested].dataType) - epoch_seconds(F.col(event), schema[event].dataType)
+    if weight is None:
+        records, average = F.count("*"), F.avg(lag)
+    else:
+        times = F.col(weight)
+        records = F.coalesce(F.sum(times), F.lit(0))
+        average = F.try_divide(F.sum(lag.cast("double") * times), F.sum(F.when(lag.isNotNull(), times)))
     return [
-        F.count("*").alias("valid_records"),
-        F.round(F.avg(lag), 3).alias("avg_freshness_seconds"),
+        records.alias("valid_records"),
+        F.round(average, 3).alias("avg_freshness_seconds"),
         F.min(lag).alias("min_freshness_seconds"),
         F.max(lag).alias("max_freshness_seconds"),
     ]
 
 
-def freshness(bronze: DataFrame, ingested: str = "ingested_at", event: str = "event_time") -> DataFrame:
-    """Valid records and the average, smallest and largest lag in whole seconds."""
-    return bronze.agg(*_freshness_columns(bronze.schema, ingested, event))
+def freshness(
+    bronze: DataFrame, ingested: str = "ingested_at", event: str = "event_time", weight: str | None = None
+) -> DataFrame:
+    """Valid records and the average, smallest and largest lag in whole seconds.
+
+    ``weight`` names a column saying how many records a row stands for, for rows counted beforehand.
+    """
+    return bronze.agg(*_freshness_columns(bronze.schema, ingested, event, weight))
 
 
 def completeness_rules(contract: Contract) -> dict[str, str]:

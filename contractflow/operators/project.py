@@ -28,7 +28,11 @@ def wrap_event(
     payload: Sequence[str],
     event_id: Column | None = None,
 ) -> DataFrame:
-    """Payload columns wrapped in the standard envelope, as one ``event`` struct."""
+    """Payload columns wrapped in the standard envelope, as one ``event`` struct.
+
+    Without ``event_id`` the ids are random, and new ones when a lost partition is computed again;
+    pass a column where ids must be repeatable.
+    """
     return df.withColumn(
         "event",
         F.struct(

@@ -32,7 +32,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for costly per-row work, such as decoding, on an input of few splits.
 
-    An input with a split per core is returned as it is, so nothing large is ever shuffled.
+    An input with a split per core is returned as it is, so nothing large is ever shuffled. Meant for
+    a scan: counting the splits behind a shuffle would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

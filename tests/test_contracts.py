@@ -56,7 +56,8 @@ def test_defaults():
 
 
 def test_types():
-    fields = [{"name": t, "type": t.upper()} for t in ("string", "int", "integer", "long", "float", "double", "boolean", "timestamp", "bytes")]
+    names = ("string", "int", "integer", "long", "float", "double", "boolean", "timestamp", "bytes")
+    fields = [{"name": name, "type": name.upper()} for name in names]
     schema = contract_from_dict({"schema": {"fields": fields}}).schema()
     assert [f.dataType.simpleString() for f in schema] == [
         "string", "int", "int", "bigint", "float", "double", "boolean", "timestamp", "binary",

@@ -43,6 +43,15 @@ def test_freshness_in_whole_seconds(spark):
     assert row.avg_freshness_seconds == round(sum(lags) / len(lags), 3)
 
 
+def test_weighted_freshness_equals_the_rows_it_stands_for(spark):
+    times = ["2024-01-24T23:59:50Z"] * 5 + ["2024-01-24T23:00:01Z"] * 2 + [None] * 3
+    plain = bronze(spark, *times)
+    counted = plain.groupBy("event_time", "ingested_at").agg(F.count("*").alias("n"))
+    assert M.freshness(counted, weight="n").collect() == M.freshness(plain).collect()
+    empty = M.freshness(counted.limit(0), weight="n").first()
+    assert (empty.valid_records, empty.avg_freshness_seconds) == (0, None)
+
+
 def test_quality_figures(spark):
     good = bronze(spark, *["2024-01-24T23:59:59Z"] * 7)
     bad = quarantine(
@@ -132,7 +141,8 @@ def test_sla_numbers(text, number):
 
 
 def test_sla_verdicts(spark):
-    row = spark.createDataFrame([(99.0, 30.0, 30)], "overall_completeness_pct double, avg_freshness_seconds double, max_freshness_seconds int")
+    schema = "overall_completeness_pct double, avg_freshness_seconds double, max_freshness_seconds int"
+    row = spark.createDataFrame([(99.0, 30.0, 30)], schema)
     sla = {
         "availability": "99.9%",
         "completeness": ">= 99%",

@@ -34,7 +34,10 @@ def test_validation_never_shuffles(spark, name):
     assert "Exchange" not in plan(spark, name)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(("stream_", "batch_", "provision", "schema_", "retention_drop"))))
+WRITERS = ("stream_", "batch_", "provision", "schema_", "retention_drop")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith(WRITERS)))
 def test_no_python_rows_and_no_cross_joins(spark, name):
     text = plan(spark, name)
     assert not re.search(r"PythonUDF|BatchEvalPython|ArrowEval|MapInPandas|Cartesian|NestedLoopJoin", text)

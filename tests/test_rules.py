@@ -77,7 +77,12 @@ def test_band_ignores_the_second_name(spark):
 
 @pytest.mark.parametrize(
     "rule",
-    [rule_from_text("r", "has(f)"), rule_from_text("r", "f != ''"), rule_from_text("r", 'f != ""'), rule_from_check("f", {"type": "not_empty"})],
+    [
+        rule_from_text("r", "has(f)"),
+        rule_from_text("r", "f != ''"),
+        rule_from_text("r", 'f != ""'),
+        rule_from_check("f", {"type": "not_empty"}),
+    ],
 )
 def test_empty(spark, rule):
     values = ["x", "", "   ", "\t", " x ", None]
@@ -172,7 +177,9 @@ def test_violations_count_like_the_arrays(spark):
     }
 
 
-@pytest.mark.parametrize("text", ["f == 3", "f > 1e5", "f ~ 3", "3 < f", "f in []", "f => 3", "f < now() + 1", "has(f) && has(g)"])
+@pytest.mark.parametrize(
+    "text", ["f == 3", "f > 1e5", "f ~ 3", "3 < f", "f in []", "f => 3", "f < now() + 1", "has(f) && has(g)"]
+)
 def test_unknown_forms_pass_and_are_listed(spark, text):
     rule = rule_from_text("odd", text)
     assert not rule.recognised
