@@ -55,13 +55,21 @@ def date_column(transform: str) -> tuple[str, str]:
     return f"{found.group(1)}_date", found.group(1)
 
 
-def with_dates(df: DataFrame, partitioning: Sequence[str]) -> DataFrame:
-    """Add the date columns a table is partitioned by."""
-    dates = {}
-    for transform in partitioning:
-        name, source = date_column(transform)
-        dates[name] = F.to_date(timestamp(F.col(source), df.schema[source].dataType))
-    return df.withColumns(dates) if dates else df
+def stored_dates(schema: T.StructType, partitioning: Sequence[str], provider: str) -> list[tuple[str, str]]:
+    """The date columns a table has to store: all of them, but where the provider derives them itself.
+
+    V2 providers partition by the day of a time, not by the day of a text that holds one.
+    """
+    dates = [date_column(transform) for transform in partitioning]
+    if provider not in V2_PROVIDERS:
+        return dates
+    return [(name, source) for name, source in dates if isinstance(schema[source].dataType, T.StringType)]
+
+
+def with_dates(df: DataFrame, dates: Sequence[tuple[str, str]]) -> DataFrame:
+    """Add date columns derived from other columns."""
+    derived = {name: F.to_date(timestamp(F.col(source), df.schema[source].dataType)) for name, source in dates}
+    return df.withColumns(derived) if derived else df
 
 
 def namespace_statements(table: str) -> list[str]:
@@ -89,14 +97,13 @@ def table_ddl(
     by load first, so that one load can be replaced, and by the derived dates, so that
     queries prune.
     """
+    stored = [name for name, _ in stored_dates(schema, partitioning, provider)]
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema]
-    if provider in V2_PROVIDERS:
-        columns.append(f"`{LOAD_ID}` string")
-        partitions = list(partitioning)
-    else:
-        dates = [date_column(transform)[0] for transform in partitioning]
-        columns += [f"`{LOAD_ID}` string", *[f"`{name}` date" for name in dates]]
-        partitions = [f"`{LOAD_ID}`", *[f"`{name}`" for name in dates]]
+    columns += [f"`{LOAD_ID}` string", *[f"`{name}` date" for name in stored]]
+    partitions = [] if provider in V2_PROVIDERS else [f"`{LOAD_ID}`"]
+    for transform in partitioning:
+        name, _ = date_column(transform)
+        partitions.append(f"`{name}`" if name in stored else transform)
     clauses = [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING {provider}"]
     if partitions:
         clauses.append(f"PARTITIONED BY ({', '.join(partitions)})")
@@ -174,13 +181,13 @@ def replace_load(
     """
     spark = df.sparkSession
     drop_load(spark, table, load_id, provider)
+    dates = stored_dates(df.schema, partitioning, provider)
     if provider in V2_PROVIDERS:
-        df.withColumn(LOAD_ID, F.lit(load_id)).writeTo(table).append()
+        with_dates(df, dates).withColumn(LOAD_ID, F.lit(load_id)).writeTo(table).append()
         return
-    dates = [date_column(transform) for transform in partitioning]
     names = [name for name, _ in dates]
     stored = [name for name in spark.table(table).columns if name != LOAD_ID and name not in names]
-    load = with_dates(df, partitioning).select(*stored, *names)
+    load = with_dates(df, dates).select(*stored, *names)
     scattered = [name for name, source in dates if source != "ingested_at"]
     if scattered:
         load = load.hint("rebalance", *scattered)

@@ -62,6 +62,11 @@ def test_ddl():
         "CREATE TABLE IF NOT EXISTS c.a.b (`id` bigint, `ingested_at` timestamp, `load_id` string) USING iceberg "
         "PARTITIONED BY (days(ingested_at)) TBLPROPERTIES ('k'='v')"
     )
+    text_time = T.StructType([T.StructField("at", T.StringType())])
+    assert table_ddl("c.a.b", text_time, ["days(at)"], "iceberg") == (
+        "CREATE TABLE IF NOT EXISTS c.a.b (`at` string, `load_id` string, `at_date` date) USING iceberg "
+        "PARTITIONED BY (`at_date`)"
+    )
     with pytest.raises(ValueError, match="unsupported partitioning"):
         table_ddl("a.b", schema, ["bucket(4, id)"])
 
