@@ -60,6 +60,38 @@ def test_decode_violation(spark):
     }
 
 
+ODD_FIELDS = {"id": "long", "i": "int", "v": "double", "ts": "timestamp", "b": "boolean", "bin": "bytes", "s": "string"}
+ODD = {
+    b'{"id": 123456789012345678901}': False,
+    b'{"i": 3000000000}': False,
+    b'{"id": 1.0}': False,
+    b'{"id": "1"}': False,
+    b'{"v": "2.5"}': False,
+    b'{"v": 7}': True,
+    b'{"b": "true"}': False,
+    b'{"bin": "aGk="}': True,
+    b'{"bin": "%%%"}': False,
+    b'{"ts": "2024-01-01T00:00:00.5+02:00"}': True,
+    b'{"ts": "junk"}': False,
+    b'{"s": {"a": [1]}}': True,
+    b'{"s": true}': True,
+    b'[{"id": 1}]': False,
+    b"null": False,
+    b'"text"': False,
+    b"{}": True,
+    b"\x00": False,
+    b" ": False,
+}
+
+
+def test_odd_payloads_never_stop_the_batch(spark):
+    fields = [{"name": name, "type": kind} for name, kind in ODD_FIELDS.items()]
+    contract = contract_from_dict({"format": "json", "schema": {"fields": fields}})
+    df = messages(spark, *ODD)
+    tagged = validate(decode_contract(df, contract), contract, NOW, PAYLOAD).orderBy("i").collect()
+    assert {bytes(r.value): r.is_valid for r in tagged} == ODD
+
+
 def test_decode_check_off_lets_null_rows_pass(spark):
     df = messages(spark, GOOD, CUT, JUNK, None)
     tagged = validate(decode_contract(df, CONTRACT), CONTRACT, NOW, PAYLOAD, decode_check=False)
