@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,5 +63,13 @@ def is_blank(value: Column) -> Column:
 
 
 def any_true(conditions: list[Column]) -> Column:
-    """True when one condition holds; an unknown condition does not count."""
-    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in conditions], F.lit(False))
+    """True when one condition holds; an unknown condition does not count.
+
+    Halves are joined rather than a chain built, so that many rules do not make a deep expression.
+    """
+    if not conditions:
+        return F.lit(False)
+    if len(conditions) == 1:
+        return F.coalesce(conditions[0], F.lit(False))
+    half = len(conditions) // 2
+    return any_true(conditions[:half]) | any_true(conditions[half:])

@@ -4,6 +4,7 @@ from contractflow.plans.contract import (
     Contract,
     Field,
     active_version,
+    contract_for_topic,
     contract_from_dict,
     load_contract,
     load_contracts,
@@ -23,6 +24,7 @@ __all__ = [
     "Field",
     "Rule",
     "active_version",
+    "contract_for_topic",
     "contract_from_dict",
     "load_contract",
     "load_contracts",

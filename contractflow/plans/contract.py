@@ -166,6 +166,16 @@ def load_contracts(folder: str | Path) -> tuple[list[Contract], dict[str, str]]:
     return loaded, skipped
 
 
+def contract_for_topic(contracts: Iterable[Contract], topic: str) -> Contract:
+    """The contract of a topic, in its highest active version."""
+    split_topic(topic)
+    listed = list(contracts)
+    names = [c.name for c in listed if c.topic == topic and c.status == "active"]
+    if not names:
+        raise ContractError(f"no active contract for topic {topic!r}")
+    return active_version([c for c in listed if c.topic == topic], names[0])
+
+
 def active_version(contracts: Iterable[Contract], name: str) -> Contract:
     """The highest active version of a contract."""
     candidates = [c for c in contracts if c.name == name and c.status == "active"]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from contractflow import contract_from_dict, load_contract, load_contracts
-from contractflow.plans import ContractError, Field, active_version, split_topic
+from contractflow.plans import ContractError, Field, active_version, contract_for_topic, split_topic
 from suite.registry import CONTRACTS
 
 
@@ -108,6 +108,18 @@ def test_topic():
         split_topic("sensors.alerts")
 
 
+def test_contract_of_a_topic():
+    docs = [("1", "bronze.a.b", "active"), ("2", "bronze.a.b", "active"), ("3", "bronze.a.b", "draft"), ("9", "bronze.a.c", "active")]
+    contracts = [
+        contract_from_dict({"info": {"title": "x", "version": v, "status": s}, "kafkaTopic": t}) for v, t, s in docs
+    ]
+    assert contract_for_topic(contracts, "bronze.a.b").version == "2"
+    with pytest.raises(ContractError, match="no active contract"):
+        contract_for_topic(contracts, "bronze.a.d")
+    with pytest.raises(ContractError, match="not of the form"):
+        contract_for_topic(contracts, "a.b")
+
+
 def test_folder_skips_what_does_not_load(tmp_path):
     (tmp_path / "good.json").write_text(json.dumps({"info": {"title": "good"}}))
     (tmp_path / "bad.yaml").write_text("a: [1,")
