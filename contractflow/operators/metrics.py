@@ -158,8 +158,10 @@ def violations_per_rule(quarantine: DataFrame) -> DataFrame:
     Messages are counted before the rule name is cut out of them, so the pattern runs once per
     distinct message and only a few rows per task are shuffled.
     """
+    # Exploding the bare column would make Spark add a filter on it, and so build computed errors twice.
+    errors = F.when(F.size(ERRORS) > 0, F.col(ERRORS))
     return (
-        quarantine.select(F.explode(ERRORS).alias("message"))
+        quarantine.select(F.explode(errors).alias("message"))
         .groupBy("message")
         .agg(F.count("*").alias("violations"))
         .groupBy(F.regexp_extract("message", r"\[(.+?)\]", 1).alias("rule"))
