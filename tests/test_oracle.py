@@ -31,4 +31,4 @@ def test_entry(spark):
 
     rows = {r["rule"]: r["violations"] for r in entry.entry(spark).collect()}
     assert set(rows) == {"valid-event-type", "value-cap", "ts-not-future", "props-two-digits"}  # no user above 139 here
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries()) >= set(QUERIES)
