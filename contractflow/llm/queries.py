@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
 from contractflow.llm.packing import pack
 from contractflow.llm.quality import judge
 from contractflow.llm.token_counts import count_tokens
@@ -14,28 +15,67 @@ QUERIES = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(run):
-    QUERIES[run.__name__] = run
-    return run
+def query(sql: str | None = None):
+    def register(run):
+        QUERIES[run.__name__] = run
+        if sql:
+            ORACLES[run.__name__] = sql
+        return run
+
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+def lowered_words(column: str) -> str:
+    return f"regexp_extract_all(translate({column}, '{CAPITALS}', '{SMALL}'), '{WORD}')"
+
+
+@query(f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {lowered_words("text")} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, array_to_string(list_slice(w, i, i + 9), ' ') AS run, least(len(w), 10) AS size
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+docs AS (SELECT doc_id, coalesce({lowered_words("text")}, []) AS w FROM documents),
+places AS (
+  SELECT doc_id, size, i, array_to_string(list_slice(w, i, i + size - 1), ' ') AS run
+  FROM (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, item, i, size FROM places JOIN windows USING (size, run)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+lists AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(lists.n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN lists USING (doc_id)
+""")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
 
 
-@query
+@query()
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
-@query
+@query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
