@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
+from contractflow.llm.jaccard_join import near_duplicates
 from contractflow.llm.packing import pack
 from contractflow.llm.quality import judge
 from contractflow.llm.token_counts import count_tokens
@@ -76,6 +77,25 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
+_RAW = "regexp_extract_all(translate(coalesce(text, ''), '" + CAPITALS + "', '" + SMALL + "'), '[^\\x20\\x09-\\x0D]+')"
+
+
+@query(f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_RAW} AS w FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM runs x JOIN runs y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM docs UNION SELECT reach.doc_id, b FROM reach JOIN links ON a = other)
+SELECT docs.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, low AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) USING (doc_id)
+""")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
