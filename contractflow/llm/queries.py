@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
 from contractflow.llm.jaccard_join import near_duplicates
+from contractflow.llm.langid import fit, label
 from contractflow.llm.packing import pack
 from contractflow.llm.quality import judge
 from contractflow.llm.token_counts import count_tokens
@@ -64,6 +65,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = fit(docs.where(~out))
+    return label(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text", "lang_spans")
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
