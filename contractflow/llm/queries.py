@@ -11,7 +11,9 @@ from contractflow.llm.jaccard_join import near_duplicates
 from contractflow.llm.langid import fit, label
 from contractflow.llm.packing import pack
 from contractflow.llm.quality import judge
+from contractflow.llm.store import folder
 from contractflow.llm.token_counts import count_tokens
+from contractflow.llm.warc_zip import read_packages, write_packages
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +67,30 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH rows AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, min(page_id) AS low FROM rows GROUP BY html),
+digits AS (SELECT html, low, list_transform(range(0, 40), lambda i: strpos('0123456789abcdef', sha1(html)[i + 1]) - 1) AS d FROM firsts),
+bits AS (SELECT html, low, array_to_string(list_transform(d, lambda x: CAST(x // 8 AS VARCHAR) || CAST(x // 4 % 2 AS VARCHAR) || CAST(x // 2 % 2 AS VARCHAR) || CAST(x % 2 AS VARCHAR)), '') AS b FROM digits),
+codes AS (SELECT html, low, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  CAST(list_sum(list_transform(range(0, 5), lambda j: CAST(b[5 * i + j + 1] AS INTEGER) * CAST(power(2, 4 - j) AS INTEGER))) AS INTEGER) + 1, 1)), '') AS code FROM bits)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, code AS payload_digest,
+  CASE WHEN page_id = low THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> low THEN low END AS refers_to
+FROM rows JOIN codes USING (html)
+""")
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = folder(spark, "packages")
+    write_packages(pages, path)
+    kind = pages.schema["page_id"].dataType
+
+    def page(column: str):
+        return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
+
+    records = read_packages(spark, path)
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
 @query()
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
