@@ -11,6 +11,7 @@ from contractflow.llm.jaccard_join import near_duplicates
 from contractflow.llm.langid import fit, label
 from contractflow.llm.packing import pack
 from contractflow.llm.quality import judge
+from contractflow.llm.sharding import shard
 from contractflow.llm.store import folder
 from contractflow.llm.token_counts import count_tokens
 from contractflow.llm.warc_zip import read_packages, write_packages
@@ -112,6 +113,29 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
+SHARD_BYTES = 64 << 20
+
+
+def sharding_sql(limit: int) -> str:
+    digits = "strpos('0123456789abcdef', md5(CAST(doc_id AS VARCHAR))[i]) - 1"
+    four = " || ".join(f"CAST(x // {p} % 2 AS VARCHAR)" for p in (8, 4, 2, 1))
+    return f"""
+WITH rows AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes,
+    array_to_string(list_transform(list_transform(range(1, 17), lambda i: {digits}), lambda x: {four}), '') AS bits FROM documents),
+prefixes AS (SELECT doc_id, n_bytes, depth, substr(bits, 1, depth) AS shard FROM rows, (SELECT unnest(range(0, 65)) AS depth)),
+sums AS (SELECT depth, shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM prefixes GROUP BY ALL),
+fits AS (SELECT * FROM prefixes JOIN sums USING (depth, shard) WHERE shard_bytes <= {limit} OR shard_docs = 1)
+SELECT doc_id, n_bytes, shard, CAST(depth AS INTEGER) AS depth, shard_bytes, shard_docs FROM fits
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
+
+@query(sharding_sql(SHARD_BYTES))
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+
+
 _RAW = "regexp_extract_all(translate(coalesce(text, ''), '" + CAPITALS + "', '" + SMALL + "'), '[^\\x20\\x09-\\x0D]+')"
 
 
