@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contractflow.llm import chat
 from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
+from contractflow.llm.html_text import extract_text
 from contractflow.llm.jaccard_join import near_duplicates
 from contractflow.llm.langid import fit, label
 from contractflow.llm.packing import pack
@@ -136,6 +138,39 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
+# how the transcripts of the conversations are written, by conversation; the last without any markers
+STYLES = [
+    {"system": "System: ", "user": "User: ", "assistant": "Assistant: "},
+    {"system": "[system] ", "user": "Human: ", "assistant": "AI: "},
+    {"system": "### Context\n", "user": "### Question\n", "assistant": "### Answer\n"},
+    {},
+]
+
+
+def transcript_lines(turns: DataFrame) -> DataFrame:
+    """The conversations as raw transcripts, line by line, with the roles they were made from."""
+    style = F.pmod(F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")), F.lit(len(STYLES)))
+    said = F.lit("")
+    for i, style_marks in enumerate(STYLES):
+        for role, mark in style_marks.items():
+            said = F.when((style == i) & (F.col("role") == role), F.lit(mark)).otherwise(said)
+    raw = F.split(F.concat(said, F.coalesce(F.col("text"), F.lit(""))), "\n", -1)
+    numbered = turns.select(F.col("conv_id").alias("conv"), "turn", F.col("role").alias("known"), F.monotonically_increasing_id().alias("tie"), raw.alias("lines"))
+    return numbered.select("conv", "turn", "known", "tie", F.posexplode("lines").alias("line", "text"))
+
+
+@query()
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = transcript_lines(table(spark, sf_dir, "conversations"))
+    return chat.parse(lines).withColumnRenamed("conv", "conv_id")
+
+
+@query()
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = extract_text(table(spark, sf_dir, "pages").select("page_id", "html")).drop("html")
+    return text.withColumn("n_chars", F.length("page_text").cast("long")).withColumn("n_lines", F.size(F.split("page_text", "\n")).cast("long"))
+
+
 _RAW = "regexp_extract_all(translate(coalesce(text, ''), '" + CAPITALS + "', '" + SMALL + "'), '[^\\x20\\x09-\\x0D]+')"
 
 
