@@ -112,7 +112,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
+    return judge(docs, keep_text=False).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
 SHARD_BYTES = 64 << 20
