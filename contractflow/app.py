@@ -3,23 +3,26 @@
     contractflow.app provision  --contracts DIR [--provider iceberg]
     contractflow.app contract   --contract FILE --servers HOST:PORT --checkpoints DIR [--avro-schema FILE]
     contractflow.app streams    --schemas DIR --servers HOST:PORT --checkpoints DIR
-    contractflow.app report     --contract FILE
+    contractflow.app report     --contract FILE [--output TABLE]
+    contractflow.app retain     --contract FILE [--provider iceberg]
 """
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from contractflow.operators import metrics
-from contractflow.plans import DOMAINS, load_contract, load_contracts
+from contractflow.plans import DOMAINS, Contract, ContractError, load_contract, load_contracts
 from contractflow.session import pin
-from contractflow.sources import Tables, contract_topic_stream, provision, provision_all
+from contractflow.sources import Tables, contract_topic_stream, drop_expired, provision, provision_all, retention_days
 from contractflow.sources.kafka import DEFAULT_TRIGGER
+from contractflow.sources.tables import date_column
 from contractflow.streaming import provision_stats, run_on_kafka, start_contract_stream
 
 
@@ -36,13 +39,17 @@ def _parser() -> argparse.ArgumentParser:
 
     jobs.add_parser("streams", help="validate the nine event streams").add_argument("--schemas", required=True)
 
-    jobs.add_parser("report", help="quality report and SLA verdicts").add_argument("--contract", required=True)
+    job = jobs.add_parser("report", help="quality report and SLA verdicts")
+    job.add_argument("--contract", required=True)
+    job.add_argument("--output", help="table to append the report's lines to")
+
+    jobs.add_parser("retain", help="remove what the contract's retention period has passed").add_argument("--contract", required=True)
 
     for name in ("contract", "streams"):
         jobs.choices[name].add_argument("--servers", required=True)
         jobs.choices[name].add_argument("--checkpoints", required=True)
         jobs.choices[name].add_argument("--trigger", default=DEFAULT_TRIGGER)
-    for name in ("provision", "contract"):
+    for name in ("provision", "contract", "retain"):
         jobs.choices[name].add_argument("--provider", default="parquet")
     return parser
 
@@ -66,7 +73,7 @@ def run_contract(
     provider: str,
     avro_schema: str | None,
 ) -> None:
-    contract = load_contract(contract_file)
+    contract = active(contract_file)
     tables = provision(
         spark, contract, Tables(contract.table, contract.quarantine_table, contract.partitioning, provider)
     )
@@ -82,16 +89,52 @@ def run_contract(
     ).awaitTermination()
 
 
-def run_report(spark: SparkSession, contract_file: str) -> None:
-    """Print the report; both tables are read once, and only a few lines reach the driver."""
+def active(contract_file: str) -> Contract:
+    """The contract of a file, if it is active."""
     contract = load_contract(contract_file)
+    if contract.status != "active":
+        raise ContractError(f"contract {contract.name!r} {contract.version} is {contract.status!r}, not active")
+    return contract
+
+
+def report(spark: SparkSession, contract: Contract) -> list[Row]:
+    """The report's lines: figures, violations of every rule, and SLA verdicts as 1 or 0.
+
+    One action with one scan of each table: a single row of counts reaches the driver, and all lines are
+    made from it, so no two of them speak of different snapshots.
+    """
     bronze, quarantine = spark.table(contract.table), spark.table(contract.quarantine_table)
-    row = metrics.quality_row(bronze, quarantine, metrics.completeness_rules(contract)).persist()
-    metrics.report_lines(row).select("section", "metric", F.round("value", 3).alias("value")).show(100, truncate=False)
-    metrics.violations_per_rule(quarantine).orderBy(F.desc("violations")).show(100, truncate=False)
+    rules = list(dict.fromkeys(["decode", *[r.name for r in contract.active_rules]]))
+    counted = metrics.quality_row(bronze, quarantine, metrics.completeness_rules(contract), rules=rules)
+    row = spark.createDataFrame([counted.first()], counted.schema)
+    lines = metrics.report_lines(row).collect()
     if contract.sla:
-        metrics.sla_verdicts(row, contract.sla).show(truncate=False)
-    row.unpersist()
+        lines += [Row(section="sla", metric=f"{r['sla']} {r['target']}", value=float(r["pass"])) for r in metrics.sla_verdicts(row, contract.sla).collect()]
+    return lines
+
+
+def run_report(spark: SparkSession, contract_file: str, output: str | None = None) -> None:
+    """Print every line of the report, and append them to a table if one is named."""
+    lines = report(spark, active(contract_file))
+    for line in lines:
+        value = "" if line["value"] is None else f"{line['value']:.3f}"
+        print(f"{line['section']}|{line['metric']}|{value}")
+    if output:
+        stamped = spark.createDataFrame(lines, "section string, metric string, value double")
+        stamped.withColumn("reported_at", F.current_timestamp()).write.mode("append").saveAsTable(output)
+
+
+def run_retain(spark: SparkSession, contract_file: str, provider: str, as_of: datetime | None = None) -> int:
+    """Remove from both tables what the contract's retention period has passed."""
+    contract = active(contract_file)
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    columns = {date_column(t)[1] for t in contract.partitioning}
+    column = "ingested_at" if "ingested_at" in columns or not columns else sorted(columns)[0]
+    removed = drop_expired(spark, contract.table, as_of, retention_days(contract), column, provider)
+    if provider != "parquet" or "ingested_at" in columns:
+        removed += drop_expired(spark, contract.quarantine_table, as_of, retention_days(contract), "ingested_at", provider)
+    print(f"removed: {removed}")
+    return removed
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -106,8 +149,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.job == "streams":
         schemas = {name: (Path(args.schemas) / f"{name}.avsc").read_text(encoding="utf-8") for name in DOMAINS}
         run_on_kafka(spark, args.servers, schemas, args.checkpoints, args.trigger)
+    elif args.job == "retain":
+        run_retain(spark, args.contract, args.provider)
     else:
-        run_report(spark, args.contract)
+        run_report(spark, args.contract, args.output)
 
 
 if __name__ == "__main__":

@@ -9,10 +9,18 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def require_utc(spark: SparkSession | None = None) -> None:
+    """Raise in a session whose days and zone-less texts would not be read as UTC."""
+    spark = spark or SparkSession.getActiveSession()
+    zone = spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise RuntimeError(f"the session's time zone is {zone}; call contractflow.pin(spark), which sets UTC")
+
+
 def instant(as_of: datetime | Column) -> Column:
     """A timestamp column for ``as_of``; a zone-less datetime is taken as UTC."""
     if isinstance(as_of, Column):

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from contractflow.functions.clock import require_utc
+
 
 class Fields:
     """The fields a rule may name, found in a struct column or at the root of a table."""
@@ -49,7 +51,12 @@ def number(value: Column, dtype: T.DataType) -> Column:
 
 
 def timestamp(value: Column, dtype: T.DataType) -> Column:
-    """ISO-8601 text with or without fraction, offset or ``Z``; unreadable text becomes null."""
+    """ISO-8601 text with or without fraction, offset or ``Z``; unreadable text becomes null.
+
+    Text without an offset is UTC, which the session has to be set to.
+    """
+    if isinstance(dtype, T.StringType):
+        require_utc()
     return F.try_to_timestamp(value) if isinstance(dtype, T.StringType) else value.cast("timestamp")
 
 

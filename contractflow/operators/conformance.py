@@ -1,53 +1,95 @@
-"""Rows that do not fit a writer schema go to an error table instead of failing the job."""
+"""Rows that do not fit a writer schema go to an error table instead of failing the job.
+
+A value fits where a strict writer would take it: numbers are not rounded, text is no number, a time fits
+its logical type, and a union needs one branch that fits.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The Spark type each Avro primitive is written from.
-AVRO_TYPES = {
-    "string": "string",
-    "int": "int",
-    "long": "bigint",
-    "float": "float",
-    "double": "double",
-    "boolean": "boolean",
-    "bytes": "binary",
+# Avro's primitive types and the logical types of times, with the Spark types that fit as they are.
+PLAIN = {
+    "string": T.StringType,
+    "boolean": T.BooleanType,
+    "bytes": T.BinaryType,
+    "float": T.NumericType,
+    "double": T.NumericType,
+}
+WHOLE = {"int": 32, "long": 64}
+LOGICAL = {
+    "timestamp-millis": T.TimestampType,
+    "timestamp-micros": T.TimestampType,
+    "local-timestamp-millis": T.TimestampNTZType,
+    "local-timestamp-micros": T.TimestampNTZType,
+    "date": T.DateType,
 }
-_NUMERIC = (T.NumericType, T.StringType)
 
 
-def _branches(avro_type: Any) -> tuple[Any, bool]:
-    """The non-null branch of a field's type and whether null is allowed."""
-    if isinstance(avro_type, list):
-        others = [branch for branch in avro_type if branch != "null"]
-        if len(others) != 1:
-            raise ValueError(f"only unions of null and one type are supported, not {avro_type!r}")
-        return others[0], "null" in avro_type
-    return avro_type, False
+def _branches(avro_type: Any) -> tuple[list[Any], bool]:
+    """The branches of a field's type that are not null, and whether null is allowed."""
+    branches = avro_type if isinstance(avro_type, list) else [avro_type]
+    return [b for b in branches if b != "null"], "null" in branches
+
+
+def _named(branch: Any) -> str:
+    if not isinstance(branch, Mapping):
+        return branch
+    return branch.get("logicalType", branch["type"]) if branch["type"] != "enum" else f"one of {list(branch['symbols'])}"
+
+
+def _whole(value: Column, dtype: T.DataType, bits: int) -> Column | bool:
+    """Whether a number is whole and in range; what is not exact does not fit."""
+    if not isinstance(dtype, T.NumericType):
+        return False
+    sizes = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+    if sizes.get(type(dtype), 99) <= bits:
+        return True
+    low, high = -(2 ** (bits - 1)), 2 ** (bits - 1)
+    inside = (value >= F.lit(low)) & (value < F.lit(float(high)) if bits == 64 else value < F.lit(high))
+    return inside if isinstance(dtype, T.LongType) else inside & (value == F.floor(value))
 
 
-def _misfit(value: Column, dtype: T.DataType, avro_type: Any) -> tuple[Column, str, str] | None:
+def _fits(value: Column, dtype: T.DataType, branch: Any) -> Column | bool:
+    """Whether a value that is not null fits a branch: always, never, or under a condition."""
+    name = branch["type"] if isinstance(branch, Mapping) else branch
+    if name == "enum":
+        return value.isin(*branch["symbols"]) if isinstance(dtype, T.StringType) else False
+    logical = branch.get("logicalType") if isinstance(branch, Mapping) else None
+    if logical in LOGICAL and isinstance(dtype, LOGICAL[logical]):
+        return True
+    if logical == "decimal" and isinstance(dtype, T.DecimalType):
+        digits = dtype.precision - dtype.scale <= branch["precision"] - branch.get("scale", 0)
+        return digits and dtype.scale <= branch.get("scale", 0)
+    if name in WHOLE:
+        return _whole(value, dtype, WHOLE[name])
+    if name not in PLAIN:
+        raise ValueError(f"unsupported field type {branch!r}")
+    return isinstance(dtype, PLAIN[name])
+
+
+def _misfit(value: Column, dtype: T.DataType, branches: list[Any]) -> Column | None:
     """The condition under which a value cannot be written, or None when it always can."""
-    if isinstance(avro_type, Mapping) and avro_type["type"] == "enum":
-        symbols = list(avro_type["symbols"])
-        return ~value.cast("string").isin(*symbols), "UnknownSymbol", f"is not one of {symbols}"
-    name = avro_type["type"] if isinstance(avro_type, Mapping) else avro_type
-    target = AVRO_TYPES.get(name)
-    if target is None:
-        raise ValueError(f"unsupported field type {avro_type!r}")
-    if dtype.simpleString() == target or (target == "bigint" and dtype.simpleString() == "int"):
-        return None
-    if target in ("float", "double") and isinstance(dtype, T.NumericType):
+    conditions = [_fits(value, dtype, branch) for branch in branches]
+    if any(c is True for c in conditions):
         return None
-    if target in ("string", "binary", "boolean") or not isinstance(dtype, _NUMERIC):
-        return value.isNotNull(), "WrongType", f"is not a {name}"
-    return value.isNotNull() & value.try_cast(target).isNull(), "WrongType", f"is not a {name}"
+    open_ones = [c for c in conditions if c is not False]
+    if not open_ones:
+        return value.isNotNull()
+    return value.isNotNull() & ~F.coalesce(reduce(lambda a, b: a | b, open_ones), F.lit(False))
+
+
+def _complaint(branches: list[Any]) -> tuple[str, str]:
+    if len(branches) == 1:
+        enum = isinstance(branches[0], Mapping) and branches[0]["type"] == "enum"
+        return ("UnknownSymbol", f"is not {_named(branches[0])}") if enum else ("WrongType", f"is not a {_named(branches[0])}")
+    return "WrongType", "is none of " + ", ".join(_named(b) for b in branches)
 
 
 def conformance_error(schema: Mapping[str, Any], columns: T.StructType) -> Column:
@@ -60,7 +102,7 @@ def conformance_error(schema: Mapping[str, Any], columns: T.StructType) -> Colum
     present = set(columns.fieldNames())
     for field in schema["fields"]:
         name = field["name"]
-        avro_type, nullable = _branches(field["type"])
+        branches, nullable = _branches(field["type"])
         filled = nullable or field.get("default") is not None
         if name not in present:
             if not filled:
@@ -69,10 +111,10 @@ def conformance_error(schema: Mapping[str, Any], columns: T.StructType) -> Colum
         value = F.col(f"`{name}`")
         if not filled:
             report(value.isNull(), "MissingField", f"{name} is required")
-        misfit = _misfit(value, columns[name].dataType, avro_type)
+        misfit = _misfit(value, columns[name].dataType, branches)
         if misfit is not None:
-            condition, kind, text = misfit
-            report(condition, kind, f"{name} {text}")
+            kind, text = _complaint(branches)
+            report(misfit, kind, f"{name} {text}")
     if not found:
         return F.lit(None).cast("struct<error_type:string,error_message:string>")
     return F.coalesce(*found)

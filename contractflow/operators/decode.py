@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractflow.functions import frame_payload, frame_schema_id, is_framed, unwrap
-from contractflow.operators.validate import CORRUPT
+from contractflow.operators.validate import CORRUPT, UNDECODED
 from contractflow.plans import ENVELOPE, Contract, Domain, spark_type
 
 RAW, RAW_BYTES, PAYLOAD = "raw_payload", "raw_payload_base64", "parsed_payload"
@@ -65,17 +65,22 @@ def decode_framed(
     check_magic: bool = True,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """``kafka_key`` and ``event`` from framed messages.
+    """``kafka_key``, ``event`` and ``undecoded`` from framed messages.
 
-    A schema text means Avro, a ``StructType`` means framed JSON. Values without a frame give a
-    null event, which the rules then report.
+    A schema text means Avro, a ``StructType`` means framed JSON. ``undecoded`` holds the whole value of a
+    message without a frame or with a broken body, and is null for all others; a null value counts as empty.
     """
     body = frame_payload(F.col("value"), check_magic)
+    broken = F.col("event").isNull()
     if isinstance(schema, str):
         event = avro_column(body, schema, mode)
     else:
-        event = F.from_json(body.cast("string"), schema)
-    return df.select(F.col("key").cast("string").alias("kafka_key"), event.alias("event"))
+        marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        event = F.from_json(body.cast("string"), marked, {"columnNameOfCorruptRecord": CORRUPT})
+        broken = broken | F.col(f"event.{CORRUPT}").isNotNull()
+    whole = F.coalesce("value", F.lit(b""))
+    decoded = df.select(F.col("key").cast("string").alias("kafka_key"), "value", event.alias("event"))
+    return decoded.select("kafka_key", "event", F.when(broken, whole).alias(UNDECODED))
 
 
 def frame_report(df: DataFrame) -> DataFrame:
@@ -109,7 +114,7 @@ def flatten_event(df: DataFrame, domain: Domain) -> DataFrame:
         return (unwrap(value, dtype)[0] if isinstance(dtype, T.StructType) else value).alias(name)
 
     return df.select(
-        *(["kafka_key"] if "kafka_key" in df.columns else []),
+        *[name for name in ("kafka_key", UNDECODED) if name in df.columns],
         *[pick(event, "event", name, "string") for name in ENVELOPE],
         *[pick(payload, path, name, kind) for name, kind in domain.columns.items()],
     )

@@ -10,11 +10,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contractflow.functions import instant
+from contractflow.functions import instant, require_utc
 from contractflow.operators.metrics import INJECTED
 from contractflow.operators.project import iso_text
 
@@ -31,6 +31,8 @@ class Defect:
     multiplier: int = 1
     offset: int = 0
     first: int = 0
+    contiguous: bool = False
+    """Whether the replacement reckons with keys that follow each other."""
 
 
 def bucket(key: Column, multiplier: int = 1, offset: int = 0) -> Column:
@@ -43,6 +45,8 @@ def inject(df: DataFrame, key: str, defects: Sequence[Defect]) -> DataFrame:
 
     Buckets are taken from the key as it was before any defect; a text key is hashed first.
     """
+    if any(d.contiguous for d in defects) and not isinstance(df.schema[key].dataType, T.IntegralType):
+        raise ValueError(f"{key!r} is no integer: use inject_duplicates, which takes ids from rows that exist")
     number = F.xxhash64(key) if isinstance(df.schema[key].dataType, T.StringType) else F.col(key)
     changed: dict[str, Column] = {}
     hits: list[Column] = []
@@ -87,6 +91,7 @@ def future_time(
     """ISO text ``hours`` after the clock, or after the event where that is later."""
 
     def shift(value: Column, key: Column) -> Column:
+        require_utc()
         return iso_text(F.greatest(F.try_to_timestamp(value), instant(as_of)) + F.expr(f"INTERVAL {int(hours)} HOURS"))
 
     return Defect(name, column, pct, shift, **where)
@@ -96,10 +101,38 @@ def duplicate_key(column: str, pct: int, name: str = "duplicate", make: Callable
     """Give the last ``pct`` of every hundred keys the id of the row ``pct`` before it.
 
     Source rows lie outside the hit set and no two hits share a source, for any contiguous
-    integer key and ``pct`` up to 50. ``make`` builds the id from a key; by default the key is
-    the id.
+    integer key and ``pct`` up to 50; :func:`inject_duplicates` serves any other key. ``make`` builds
+    the id from a key; by default the key is the id.
     """
     if not 0 < pct <= 50:
         raise ValueError("pct must lie in 1..50: every duplicate needs a source of its own")
+    # the source is found by arithmetic, so inject() refuses keys that are no integers
     build = make or (lambda key: key)
-    return Defect(name, column, pct, lambda value, key: build(key - pct), first=100 - pct)
+    return Defect(name, column, pct, lambda value, key: build(key - pct), first=100 - pct, contiguous=True)
+
+
+def inject_duplicates(
+    df: DataFrame, key: str, column: str, pct: int, number: Column | None = None, name: str = "duplicate", groups: int = 1024
+) -> DataFrame:
+    """Give the hit rows the ``column`` of rows that exist and are not hit, each source to one hit at most.
+
+    Hit are the rows whose key number mod 100 is among the last ``pct``; the number is an integer key
+    itself, the hash of any other key, or ``number``. Rows are dealt into ``groups`` by their hundred, and in each
+    group the n-th hit row takes from the n-th other row. A hit without a source is left as it is and is
+    not listed in ``injected_defects``, which goes on from one that is there.
+    """
+    if not 0 < pct <= 50:
+        raise ValueError("pct must lie in 1..50: every duplicate needs a source of its own")
+    if number is None:
+        number = F.col(key) if isinstance(df.schema[key].dataType, T.IntegralType) else F.xxhash64(key)
+    hit = F.pmod(number, F.lit(100)) >= 100 - pct
+    group = F.pmod(F.floor(number / 100), F.lit(groups))
+    order = Window.partitionBy("__group", "__hit").orderBy("__number", key)
+    ranked = df.withColumns({"__number": number, "__hit": F.coalesce(hit, F.lit(False)), "__group": group})
+    ranked = ranked.withColumn("__rank", F.row_number().over(order))
+    sources = ranked.where(~F.col("__hit")).select("__group", "__rank", F.lit(True).alias("__hit"), F.col(column).alias("__source"), F.lit(True).alias("__found"))
+    joined = ranked.join(sources, ["__group", "__rank", "__hit"], "left")
+    done = F.coalesce("__found", F.lit(False))
+    before = F.col(INJECTED) if INJECTED in df.columns else F.array().cast("array<string>")
+    changed = {column: F.when(done, F.col("__source")).otherwise(F.col(column)), INJECTED: F.concat(before, F.when(done, F.array(F.lit(name))).otherwise(F.array().cast("array<string>")))}
+    return joined.withColumns(changed).select(*df.columns, *([] if INJECTED in df.columns else [INJECTED]))

@@ -48,7 +48,8 @@ def _freshness_columns(schema: T.StructType, ingested: str, event: str, weight:
     else:
         times = F.col(weight)
         records = F.coalesce(F.sum(times), F.lit(0))
-        average = F.try_divide(F.sum(lag.cast("double") * times), F.sum(F.when(lag.isNotNull(), times)))
+        exact = F.sum(lag.cast("decimal(18,0)") * times.cast("decimal(18,0)"))  # a sum of doubles is not repeatable
+        average = F.try_divide(exact.cast("double"), F.sum(F.when(lag.isNotNull(), times)))
     return [
         records.alias("valid_records"),
         F.round(average, 3).alias("avg_freshness_seconds"),
@@ -91,16 +92,19 @@ def quality_row(
     required: Mapping[str, str],
     ingested: str = "ingested_at",
     event: str | None = "event_time",
+    rules: Sequence[str] = (),
 ) -> DataFrame:
     """All figures of the quality report in one row: one scan of each table.
 
-    ``required`` maps a field to the rule that reports it missing.
+    ``required`` maps a field to the rule that reports it missing; ``rules`` names the rules whose
+    violations are counted, as ``violations``, an array of rule and count.
     """
     timely = _freshness_columns(bronze.schema, ingested, event) if event else []
     good = bronze.agg(F.count("*").alias("total_valid"), *timely)
     bad = quarantine.agg(
         F.count("*").alias("total_invalid"),
         *[F.count_if(mentions(rule)).alias(f"missing_{name}") for name, rule in required.items()],
+        *([F.array(*[_counted(rule) for rule in rules]).alias("violations")] if rules else []),
     )
     row = _one_row(good, bad).withColumns(_conformity_columns())
     total = F.col("total_records")
@@ -115,6 +119,10 @@ def quality_row(
     return row.withColumns({"detected_invalid": invalid, "detection_rate_pct": percent(invalid, invalid)})
 
 
+def _counted(rule: str) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), F.count_if(mentions(rule, exact=True)).alias("violations"))
+
+
 # Sections and lines of the report, before the fields a contract requires.
 REPORT_SECTIONS = {
     "timeliness": ["valid_records", "avg_freshness_seconds", "min_freshness_seconds", "max_freshness_seconds"],
@@ -138,6 +146,12 @@ def report_lines(row: DataFrame) -> DataFrame:
         for metric in metrics
         if metric in row.columns
     ]
+    if "violations" in row.columns:
+        each = F.transform(
+            "violations",
+            lambda v: F.struct(F.lit("violations").alias("section"), v["rule"].alias("metric"), v["violations"].cast("double").alias("value")),
+        )
+        return row.select(F.inline(F.concat(F.array(*lines), each)))
     return row.select(F.inline(F.array(*lines)))
 
 
@@ -169,13 +183,14 @@ def violations_per_rule(quarantine: DataFrame) -> DataFrame:
     )
 
 
-def uniqueness(df: DataFrame, key: str, digest: bool = False, approximate: bool = False) -> DataFrame:
+def uniqueness(df: DataFrame, key: str, digest: bool = False, approximate: bool = False, error: float = 0.05) -> DataFrame:
     """Records, distinct keys and their share in percent; null counts as one key.
 
-    ``digest`` compares SHA-256 digests, so that long texts are not shuffled whole.
+    ``digest`` compares SHA-256 digests, so that long texts are not shuffled whole. ``approximate`` counts
+    with a sketch of fixed size; ``error`` is the relative standard deviation of such a count.
     """
     value = F.unhex(F.sha2(F.col(key).cast("string"), 256)) if digest else F.col(key)
-    distinct = F.approx_count_distinct(value) if approximate else F.count_distinct(value)
+    distinct = F.approx_count_distinct(value, error) if approximate else F.count_distinct(value)
     return (
         df.agg(
             F.count("*").alias("records"),
@@ -201,7 +216,11 @@ def _detection_rates(row: DataFrame) -> DataFrame:
 
 
 def detection(df: DataFrame, truth: Column, flagged: Column) -> DataFrame:
-    """Detection rate and precision against a truth that travels with the row."""
+    """Detection rate and precision against a truth that travels with the row.
+
+    Neither a null truth nor a null flag holds.
+    """
+    truth, flagged = (F.coalesce(c, F.lit(False)) for c in (truth, flagged))
     return _detection_rates(
         df.agg(
             F.count_if(truth & flagged).alias("true_positives"),

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractflow.functions import instant
-from contractflow.operators.validate import REASON
+from contractflow.operators.validate import REASON, UNDECODED
 from contractflow.plans import ENVELOPE, Domain
 
 
@@ -67,20 +68,34 @@ def merge_event(
 
 
 def iso_text(at: Column) -> Column:
-    """ISO-8601 text in UTC with microseconds, the form events carry their times in."""
-    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    """ISO-8601 text in UTC with microseconds, the form events carry their times in.
+
+    The text is made from the microseconds since the epoch, so it is the same in every session time zone.
+    """
+    micros = F.unix_micros(at)
+    day = F.date_add(F.lit(date(1970, 1, 1)), F.floor(micros / F.lit(Decimal(86_400_000_000))).cast("int"))
+    rest = F.pmod(micros, F.lit(86_400_000_000))
+
+    def digits(unit: int, size: int, width: int) -> Column:
+        return F.lpad(F.pmod(F.floor(rest / F.lit(Decimal(unit))), F.lit(size)).cast("string"), width, "0")
+
+    clock = [digits(3_600_000_000, 24, 2), digits(60_000_000, 60, 2), digits(1_000_000, 60, 2)]
+    return F.concat(day.cast("string"), F.lit("T"), F.concat_ws(":", *clock), F.lit("."), digits(1, 1_000_000, 6), F.lit("+00:00"))
 
 
 def message_json(domain: Domain, passed: Column, clock: Column) -> Column:
     """One JSON text per checked row.
 
     ``to_json`` leaves out null fields, so the same struct gives certified rows their
-    ``validated_at`` and rejected rows their ``failed_at``.
+    ``validated_at`` and rejected rows their ``failed_at``; a message that could not be decoded is there whole,
+    as base64 with its key.
     """
     reason = F.col(REASON) if domain.error_on_valid else F.nullif(F.col(REASON), F.lit(""))
+    key = F.col("kafka_key") if domain.keeps_kafka_key else F.when(F.col(UNDECODED).isNotNull(), F.col("kafka_key"))
     return F.to_json(
         F.struct(
-            *(["kafka_key"] if domain.keeps_kafka_key else []),
+            key.alias("kafka_key"),
+            F.base64(UNDECODED).alias("raw_payload_base64"),
             *ENVELOPE,
             *domain.columns,
             reason.alias(REASON),

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractflow.functions import instant
-from contractflow.operators.decode import PAYLOAD, RAW, RAW_BYTES
+from contractflow.operators.decode import PAYLOAD, RAW, RAW_BYTES, drift_fields
 from contractflow.operators.project import message_json
-from contractflow.operators.validate import ERRORS, REASON, VALID
+from contractflow.operators.validate import ERRORS, REASON, UNDECODED, VALID
 from contractflow.plans import Contract, Domain
 
+DRIFT = "unknown_fields"
+
 
 def audit_columns(contract: Contract, as_of: datetime | Column) -> list[Column]:
     return [
@@ -42,11 +44,22 @@ def emit_where(df: DataFrame, condition: Column, *columns: Column | str) -> Data
     return df.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
 
 
+def drift_column(contract: Contract) -> list[Column]:
+    """The fields of a JSON message that the contract does not know, null where there are none."""
+    unknown = drift_fields(F.col(RAW), contract.field_names)
+    return [F.when(F.size(unknown) > 0, unknown).alias(DRIFT)]
+
+
 def certified(
-    tagged: DataFrame, contract: Contract, as_of: datetime | Column, payload: str | None = PAYLOAD
+    tagged: DataFrame,
+    contract: Contract,
+    as_of: datetime | Column,
+    payload: str | None = PAYLOAD,
+    drift: bool = False,
 ) -> DataFrame:
-    """Valid rows in the bronze layout; ``payload=None`` for a flat table."""
-    return emit_where(tagged, F.col(VALID), *project_fields(contract, payload), *audit_columns(contract, as_of))
+    """Valid rows in the bronze layout; ``payload=None`` for a flat table, ``drift`` for the map of unknown fields."""
+    columns = [*project_fields(contract, payload), *audit_columns(contract, as_of)]
+    return emit_where(tagged, F.col(VALID), *columns, *(drift_column(contract) if drift else []))
 
 
 def quarantined(tagged: DataFrame, contract: Contract, as_of: datetime | Column) -> DataFrame:
@@ -72,6 +85,18 @@ def batch_counts(tagged: DataFrame) -> DataFrame:
     return tagged.agg(*count_columns())
 
 
+def with_undecoded(checked: DataFrame) -> DataFrame:
+    """Rows that came from no message have none that could not be decoded."""
+    none = {name: F.lit(None) for name in ("kafka_key", UNDECODED) if name not in checked.columns}
+    kinds = {"kafka_key": "string", UNDECODED: "binary"}
+    return checked.withColumns({name: value.cast(kinds[name]) for name, value in none.items()})
+
+
+def refused_key(domain: Domain) -> Column:
+    """The event id, or the message's own key where the event could not be read."""
+    return F.when(F.col(UNDECODED).isNotNull(), F.col("kafka_key")).otherwise(F.col("event_id"))
+
+
 def domain_messages(checked: DataFrame, domain: Domain, as_of: datetime | Column) -> DataFrame:
     """``key``, ``value`` and target ``topic`` of every checked row.
 
@@ -79,8 +104,9 @@ def domain_messages(checked: DataFrame, domain: Domain, as_of: datetime | Column
     decoded once, and nothing has to be cached.
     """
     passed = F.col(REASON) == ""
+    checked = with_undecoded(checked)
     return checked.select(
-        F.when(passed, F.col(domain.key)).otherwise(F.col("event_id")).alias("key"),
+        F.when(passed, F.col(domain.key)).otherwise(refused_key(domain)).alias("key"),
         message_json(domain, passed, instant(as_of)).alias("value"),
         F.when(passed, F.lit(domain.silver_topic)).otherwise(F.lit(domain.dlq_topic)).alias("topic"),
     )
@@ -89,6 +115,7 @@ def domain_messages(checked: DataFrame, domain: Domain, as_of: datetime | Column
 def split_domain(checked: DataFrame, domain: Domain, as_of: datetime | Column) -> tuple[DataFrame, DataFrame]:
     """The same as two frames of ``key`` and ``value``: certified and rejected."""
     passed, clock = F.col(REASON) == "", instant(as_of)
+    checked = with_undecoded(checked)
     value = message_json(domain, passed, clock).alias("value")
     silver = emit_where(checked, passed, F.col(domain.key).alias("key"), value)
-    return silver, emit_where(checked, ~passed, F.col("event_id").alias("key"), value)
+    return silver, emit_where(checked, ~passed, refused_key(domain).alias("key"), value)

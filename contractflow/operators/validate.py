@@ -24,6 +24,9 @@ logger = logging.getLogger(__name__)
 
 ERRORS, VALID, REASON = "validation_errors", "is_valid", "error_reason"
 
+# The bytes of a message that could not be decoded, null for all others, and what is said of it.
+UNDECODED, NOT_DECODED = "undecoded", "payload could not be decoded"
+
 
 class Check(NamedTuple):
     """One compiled rule: when ``violated`` is true the row gets ``message``."""
@@ -58,7 +61,8 @@ class CompiledRules:
         return F.concat_ws("; ", *[F.when(c.violated, c.message) for c in self.checks])
 
     def tag(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({ERRORS: self.errors(), VALID: self.valid()})
+        """Both columns; the flag is read off the array, so that no condition is built twice."""
+        return df.withColumn(ERRORS, self.errors()).withColumn(VALID, F.size(ERRORS) == 0)
 
     def violations(self, df: DataFrame) -> DataFrame:
         """Violations per rule, straight from the conditions: one aggregate, no arrays, one row shuffled."""
@@ -136,6 +140,12 @@ def decode_failure(schema: T.StructType, payload: str) -> Check:
 
 
 def check_domain(df: DataFrame, domain: Domain) -> DataFrame:
-    """Add ``error_reason`` to flattened events of one of the nine streams."""
+    """Add ``error_reason`` to flattened events of one of the nine streams.
+
+    A message that could not be decoded has that for its reason, and no other.
+    """
     never = F.lit(None).cast("timestamp")  # no rule of these streams looks at the clock
-    return df.withColumn(REASON, compile_rules(domain.rules, df.schema, never).reason())
+    reason = compile_rules(domain.rules, df.schema, never).reason()
+    if UNDECODED in df.columns:
+        reason = F.when(F.col(UNDECODED).isNotNull(), F.lit(NOT_DECODED)).otherwise(reason)
+    return df.withColumn(REASON, reason)

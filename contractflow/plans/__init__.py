@@ -3,6 +3,7 @@
 from contractflow.plans.contract import (
     Contract,
     Field,
+    active_contracts,
     active_version,
     contract_for_topic,
     contract_from_dict,
@@ -23,6 +24,7 @@ __all__ = [
     "Domain",
     "Field",
     "Rule",
+    "active_contracts",
     "active_version",
     "contract_for_topic",
     "contract_from_dict",

@@ -161,7 +161,7 @@ def load_contracts(folder: str | Path) -> tuple[list[Contract], dict[str, str]]:
             continue
         try:
             loaded.append(load_contract(path))
-        except (ContractError, yaml.YAMLError, KeyError, TypeError, AttributeError) as error:
+        except (ContractError, yaml.YAMLError, KeyError, TypeError, AttributeError, ValueError, OSError) as error:
             skipped[path.name] = f"{type(error).__name__}: {error}"
     return loaded, skipped
 
@@ -176,6 +176,19 @@ def contract_for_topic(contracts: Iterable[Contract], topic: str) -> Contract:
     return active_version([c for c in listed if c.topic == topic], names[0])
 
 
+def active_contracts(contracts: Iterable[Contract]) -> tuple[list[Contract], dict[str, str]]:
+    """The highest active version of every contract, and why others are left out."""
+    listed = list(contracts)
+    names = dict.fromkeys(c.name for c in listed)
+    chosen = [active_version(listed, n) for n in names if any(c.name == n and c.status == "active" for c in listed)]
+    skipped = {}
+    for c in listed:
+        if not any(c is kept for kept in chosen):
+            reason = f"status is {c.status!r}" if c.status != "active" else "a higher version is active"
+            skipped[f"{c.name} {c.version}"] = reason
+    return chosen, skipped
+
+
 def active_version(contracts: Iterable[Contract], name: str) -> Contract:
     """The highest active version of a contract."""
     candidates = [c for c in contracts if c.name == name and c.status == "active"]

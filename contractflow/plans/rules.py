@@ -35,11 +35,15 @@ class Rule:
 
 UNRECOGNISED = "unrecognised"
 
-# The rule texts a contract may use, one form per rule kind.
+_NUMBER = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
+_OPERAND = r"(?:\d|\.|-)+"  # what may be meant for a number; whether it is one is asked afterwards
+
+# The rule texts a contract may use, one form per rule kind. Operands that are no numbers are
+# told apart from texts of no form afterwards.
 RULE_FORMS = {
     "allowed_values": r"(?P<field>\w+)\s+in\s+\[(?P<items>.+)\]",
-    "compare": r"(?P<field>\w+)\s*(?P<op>>=|<=|!=|>|<)\s*(?P<number>[-.\d]+)",
-    "range": r"(?P<field>\w+)\s*>=\s*(?P<min>[-.\d]+)\s*&&\s*\w+\s*<=\s*(?P<max>[-.\d]+)",
+    "compare": r"(?P<field>\w+)\s*(?P<op>>=|<=|!=|>|<)\s*(?P<number>" + _OPERAND + ")",
+    "range": r"(?P<field>\w+)\s*>=\s*(?P<min>" + _OPERAND + r")\s*&&\s*\w+\s*<=\s*(?P<max>" + _OPERAND + ")",
     "not_empty": r"has\((?P<field>\w+)\)",
     "not_blank": r"""(?P<field>\w+)\s*!=\s*['"]{2}""",
     "regex": r"""(?P<field>\w+)\.matches\(['"](?P<pattern>.+)['"]\)""",
@@ -53,23 +57,26 @@ _ITEM = re.compile(r"""'(?P<single>[^']*)'|"(?P<double>[^"]*)"|(?P<bare>[^,\s'"]
 
 
 def _number(text: Any, rule: str) -> float:
-    try:
-        return float(text)
-    except (TypeError, ValueError):
-        raise ContractError(f"rule {rule!r}: {text!r} is not a number") from None
+    number = isinstance(text, (int, float)) and not isinstance(text, bool)
+    if not number and not (isinstance(text, str) and re.fullmatch(_NUMBER, text.strip())):
+        raise ContractError(f"rule {rule!r}: {text!r} is not a number")
+    return float(text)
 
 
 def _items(text: str) -> list[str]:
     found = []
     for match in _ITEM.finditer(text):
         quoted = match["single"] if match["single"] is not None else match["double"]
-        found.append(quoted.strip() if quoted is not None else match["bare"].strip())
+        found.append(quoted if quoted is not None else match["bare"].strip())
     return found
 
 
 def rule_from_text(name: str, text: str, enabled: bool = True) -> Rule:
-    """Read one rule text; a text of no known form becomes an unrecognised rule."""
+    """Read one rule text; a text of no known form becomes an unrecognised rule, and so does a disabled one,
+    which is not read any further."""
     text = text.strip()
+    if not enabled:
+        return Rule(name, UNRECOGNISED, None, {}, text, False)
     for kind, form in _FORMS.items():
         match = form.fullmatch(text)
         if match is None:
@@ -90,7 +97,8 @@ def rule_from_check(target: str, check: Mapping[str, Any]) -> Rule:
     """Read one typed check of a field; the rule is named ``<field>-<check type>``."""
     kind = str(check.get("type", ""))
     name = str(check.get("name", f"{target}-{kind}"))
-    enabled = not check.get("disabled", False)
+    if check.get("disabled", False):
+        return Rule(name, UNRECOGNISED, target, {}, repr(dict(check)), False)
     try:
         if kind == "not_empty":
             args: dict[str, Any] = {}
@@ -101,20 +109,28 @@ def rule_from_check(target: str, check: Mapping[str, Any]) -> Rule:
         elif kind == "range_by_field":
             args = {
                 "by": check["field"],
-                "ranges": {
-                    str(value): (_number(low, name), _number(high, name))
-                    for value, (low, high) in check["ranges"].items()
-                },
+                "ranges": _ranges(check["ranges"], name),
             }
         elif kind == "not_future":
-            args = {"tolerance": int(check.get("tolerance_seconds", 0))}
+            args = {"tolerance": int(_number(check.get("tolerance_seconds", 0), name))}
         elif kind == "regex":
             args = {"pattern": check["pattern"]}
         else:
-            return Rule(name, UNRECOGNISED, target, {}, repr(dict(check)), enabled)
+            return Rule(name, UNRECOGNISED, target, {}, repr(dict(check)))
     except KeyError as missing:
         raise ContractError(f"check {name!r} lacks {missing}") from None
-    return Rule(name, kind, target, args, "", enabled)
+    return Rule(name, kind, target, args)
+
+
+def _ranges(ranges: Any, rule: str) -> dict[str, tuple[float, float]]:
+    if not isinstance(ranges, Mapping) or not ranges:
+        raise ContractError(f"check {rule!r}: ranges must map at least one value to its bounds")
+    found = {}
+    for value, bounds in ranges.items():
+        if not isinstance(bounds, (list, tuple)) or len(bounds) != 2:
+            raise ContractError(f"check {rule!r}: the range of {value!r} is no pair of bounds")
+        found[str(value)] = (_number(bounds[0], rule), _number(bounds[1], rule))
+    return found
 
 
 def _bound(value: Any, rule: str) -> float | None:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def pin(spark: SparkSession) -> SparkSession:
@@ -16,24 +15,9 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder.
+    """A new folder name under the cluster's shared checkpoint folder, or without one, under the warehouse.
 
-    Only a local session without that setting falls back to a folder of its own; on a
-    cluster a machine-local folder would not be seen by the executors, so that is an error.
+    Both are seen by every executor; a folder of one machine would not be.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="contractflow-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/contractflow/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly per-row work, such as decoding, on an input of few splits.
-
-    An input with a split per core is returned as it is, so nothing large is ever shuffled. Meant for
-    a scan: counting the splits behind a shuffle would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -23,6 +23,7 @@ from contractflow.sources.tables import (
     quarantine_schema,
     replace_load,
     retained,
+    retention_days,
     table_ddl,
     union_widened,
     widen,
@@ -47,6 +48,7 @@ __all__ = [
     "quarantine_schema",
     "replace_load",
     "retained",
+    "retention_days",
     "table_ddl",
     "table_stream",
     "union_widened",

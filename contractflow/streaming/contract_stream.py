@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from contractflow.operators.decode import PAYLOAD, RAW, RAW_BYTES, decode_contract
-from contractflow.operators.routing import audit_columns, count_columns, project_fields
+from contractflow.operators.routing import audit_columns, count_columns, drift_column, project_fields
 from contractflow.operators.validate import ERRORS, VALID, validate
 from contractflow.plans import Contract
 from contractflow.sources.kafka import DEFAULT_TRIGGER, with_trigger
@@ -43,6 +43,7 @@ def tag_messages(
     as_of: Column | None = None,
     avro_schema: str | None = None,
     decode_check: bool = True,
+    drift: bool = False,
 ) -> DataFrame:
     """Both sides' columns and the verdict, declared once on the stream.
 
@@ -58,6 +59,7 @@ def tag_messages(
         *audit_columns(contract, clock),
         VALID,
         ERRORS,
+        *(drift_column(contract) if drift else []),
         *[F.when(~F.col(VALID), F.col(name)).alias(name) for name in (RAW, RAW_BYTES) if name in tagged.columns],
     )
 
@@ -65,7 +67,7 @@ def tag_messages(
 def provision_stats(spark: SparkSession, table: str, provider: str = "parquet") -> str:
     for statement in namespace_statements(table):
         spark.sql(statement)
-    spark.sql(table_ddl(table, STATS_SCHEMA, provider=provider))
+    spark.sql(table_ddl(table, STATS_SCHEMA, provider=provider))  # without dates: rows of one plain table
     return table
 
 
@@ -76,15 +78,18 @@ def batch_writer(
 
     Each output is written under a load id made of the query and batch ids. A batch that is
     replayed after a crash replaces its own rows, and a restart from a new checkpoint gets
-    ids of its own instead of replacing another run's.
+    ids of its own instead of replacing another run's. Only the first batch after a start can
+    be a replay, so only that one looks for rows of its own.
     """
-    bronze = bronze_schema(contract).fieldNames()
+    bronze = bronze_schema(contract, tables.drift).fieldNames()
+    written: set[int] = set()
     quarantine = quarantine_schema(contract).fieldNames()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
         spark = batch.sparkSession
         load_id = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        fresh = bool(written)
         # Cached for three short reads: compressing the columns would cost more than decoding them did.
         # The setting is that of the stream's own session.
         spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
@@ -92,6 +97,7 @@ def batch_writer(
         try:
             counts = batch.agg(*count_columns(), F.max(F.unix_micros("ingested_at")).alias("clock")).first()
             if counts["total"] == 0:
+                written.add(batch_id)
                 return
             # One clock for all rows: as a literal its date needs no sort before the partitioned write.
             clocked = batch.withColumn("ingested_at", F.timestamp_micros(F.lit(counts["clock"])))
@@ -106,14 +112,15 @@ def batch_writer(
                 ),
             ):
                 if rows:
-                    replace_load(clocked.filter(side).select(*columns), table, load_id, partitioning, tables.provider)
-                else:
+                    load = clocked.filter(side).select(*columns)
+                    replace_load(load, table, load_id, partitioning, tables.provider, fresh)
+                elif not fresh:
                     drop_load(spark, table, load_id, tables.provider)
             if stats_table:
                 line = (batch_id, counts["total"], counts["valid"], counts["invalid"], time.monotonic() - started)
-                replace_load(
-                    spark.createDataFrame([line], STATS_SCHEMA), stats_table, load_id, provider=tables.provider
-                )
+                stats = spark.createDataFrame([line], STATS_SCHEMA)
+                replace_load(stats, stats_table, load_id, (), tables.provider, fresh)
+            written.add(batch_id)
         finally:
             batch.unpersist()
 
@@ -132,7 +139,7 @@ def start_contract_stream(
     decode_check: bool = True,
 ) -> StreamingQuery:
     """Route a message stream into the contract's tables."""
-    tagged = tag_messages(messages, contract, as_of, avro_schema, decode_check)
+    tagged = tag_messages(messages, contract, as_of, avro_schema, decode_check, tables.drift)
     writer = tagged.writeStream.foreachBatch(batch_writer(contract, tables, stats_table))
     return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
 

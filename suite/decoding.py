@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from contractflow import compile_rules, validate
 from contractflow.functions import frame, frame_payload, frame_schema_id, is_framed
 from contractflow.operators import (
+    conformance_error,
     decode_framed,
     decode_json,
     drift_fields,
@@ -105,7 +106,7 @@ def key_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM {events_sql('logistics.shipments')}")
 def envelope_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrapped, framed, decoded and flattened again: nothing is lost."""
-    return decoded_events(spark, sf_dir, "logistics.shipments").drop("kafka_key")
+    return decoded_events(spark, sf_dir, "logistics.shipments").drop("kafka_key", "undecoded")
 
 
 @query(f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS produced_at) FROM {events_sql('sales.transactions')}")
@@ -122,7 +123,7 @@ def envelope_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0),
         F.lit(AS_OF),
     )
-    return flatten_event(decode_framed(messages, event_schema(domain, flat=True)), domain).drop("kafka_key")
+    return flatten_event(decode_framed(messages, event_schema(domain, flat=True)), domain).drop("kafka_key", "undecoded")
 
 
 @query(
@@ -214,7 +215,6 @@ def union_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(compile_rules(rules, df.schema, AS_OF, "parsed_payload").tag(df), ["event_id"])
 
 
-# A writer schema for alert events.
 ALERT_SCHEMA = {
     "type": "record",
     "name": "Alert",
@@ -226,23 +226,23 @@ ALERT_SCHEMA = {
             "name": "severity",
             "type": {"type": "enum", "name": "Severity", "symbols": ["LOW", "MEDIUM", "HIGH", "CRITICAL"]},
         },
-        {"name": "level", "type": "double"},
+        {"name": "level", "type": "int"},
     ],
 }
 _WRITTEN = (
     "(SELECT event_id, alert_id, sensor_id, machine_id, severity, "
-    "CASE WHEN event_id % 11 = 0 THEN 'high' ELSE '1.5' END AS level "
+    "CAST(CASE WHEN event_id % 11 = 0 THEN 1.5 ELSE 2 END AS DOUBLE) AS level "
     f"FROM {events_sql('sensors.alerts')})"
 )
 _MISFIT = (
     "CASE WHEN sensor_id IS NULL THEN 'MissingField' WHEN severity = 'EMERGENCY' THEN 'UnknownSymbol' "
-    "WHEN level = 'high' THEN 'WrongType' END"
+    "WHEN level = 1.5 THEN 'WrongType' END"
 )
 
 
 def _written_alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     flat = flat_events(spark, sf_dir, "sensors.alerts")
-    level = F.when(F.expr("substring(event_id, 2)").cast("long") % 11 == 0, "high").otherwise("1.5")
+    level = F.when(F.expr("substring(event_id, 2)").cast("long") % 11 == 0, 1.5).otherwise(2.0)
     df = flat.select("event_id", "alert_id", "sensor_id", "machine_id", "severity", level.alias("level"))
     return split_conforming(df, ALERT_SCHEMA, "bronze.sensors.alerts", "producer_avro_serialization")
 
@@ -261,7 +261,7 @@ def conformance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     (
         "SELECT 'producer_avro_serialization' AS error_stage, error_type, "
-        "CASE error_type WHEN 'MissingField' THEN 'sensor_id is required' WHEN 'WrongType' THEN 'level is not a double' "
+        "CASE error_type WHEN 'MissingField' THEN 'sensor_id is required' WHEN 'WrongType' THEN 'level is not a int' "
         "ELSE 'severity is not one of [''LOW'', ''MEDIUM'', ''HIGH'', ''CRITICAL'']' END AS error_message, "
         "'bronze.sensors.alerts' AS target_topic, event_id, severity FROM "
         f"(SELECT *, {_MISFIT} AS error_type FROM {_WRITTEN}) WHERE error_type IS NOT NULL"
@@ -278,3 +278,48 @@ def conformance_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("failed_event", "$.event_id").alias("event_id"),
         F.get_json_object("failed_event", "$.severity").alias("severity"),
     )
+
+
+def _refused_fields(schema: dict, df: DataFrame, key: str) -> DataFrame:
+    error = conformance_error(schema, df.schema)
+    return df.select(key, error["error_type"].alias("error_type"), error["error_message"].alias("error_message"))
+
+
+def _record(**fields: object) -> dict:
+    return {"type": "record", "name": "Row", "fields": [{"name": n, "type": t} for n, t in fields.items()]}
+
+
+_MICROS = {"type": "long", "logicalType": "timestamp-micros"}
+
+
+@query("SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'MissingField' END AS error_type, CASE WHEN event_id % 9 = 0 THEN 'at is required' END AS error_message FROM events")
+def conformance_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times and dates fit their logical types, in plain fields and in unions with null."""
+    at = F.col("ts").cast("timestamp")
+    df = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 9 != 0, at).alias("at"), at.alias("seen"), F.to_date(at).alias("day"))
+    schema = _record(event_id="long", at=_MICROS, seen=["null", _MICROS], day={"type": "int", "logicalType": "date"})
+    return _refused_fields(schema, df, "event_id")
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, CASE WHEN l_discount <> floor(l_discount) THEN 'WrongType' WHEN l_orderkey > 2000 THEN 'WrongType' END AS error_type, "
+    "CASE WHEN l_discount <> floor(l_discount) THEN 'l_discount is not a int' WHEN l_orderkey > 2000 THEN 'big is not a int' END AS error_message FROM lineitem"
+)
+def conformance_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that would be rounded or cut off do not fit a whole type; whole ones do."""
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_quantity", (F.col("l_orderkey") + (2**31 - 2001)).alias("big"))
+    schema = _record(l_orderkey="long", l_linenumber="int", l_discount="int", l_quantity="double", big="int")
+    error = conformance_error(schema, df.schema)
+    return df.select("l_orderkey", "l_linenumber", error["error_type"].alias("error_type"), error["error_message"].alias("error_message"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type IN ('error', 'signup') THEN 'WrongType' WHEN props IS NOT NULL THEN 'WrongType' END AS error_type, "
+    "CASE WHEN event_type IN ('error', 'signup') THEN 'event_type is none of one of [''click'', ''view''], one of [''purchase'']' "
+    "WHEN props IS NOT NULL THEN 'props is none of long, double' END AS error_message FROM events"
+)
+def conformance_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A value of a union needs one branch that fits; text fits no number."""
+    names = [{"type": "enum", "name": "Seen", "symbols": ["click", "view"]}, {"type": "enum", "name": "Done", "symbols": ["purchase"]}]
+    schema = _record(event_id=["null", "long", "string"], event_type=["null", *names], value=["null", "long", "double"], props=["null", "long", "double"])
+    return _refused_fields(schema, table(spark, sf_dir, "events").drop("ts", "user_id"), "event_id")

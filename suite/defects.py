@@ -9,9 +9,9 @@ from contractflow.operators.defects import (
     Defect,
     blank,
     constant,
-    duplicate_key,
     future_time,
     inject,
+    inject_duplicates,
     null_out,
     unknown_value,
     whitespace,
@@ -85,14 +85,41 @@ def inject_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "SELECT o_custkey, CASE WHEN o_orderkey % 100 >= 85 THEN o_orderkey - 15 ELSE o_orderkey END AS order_id, "
-    "CASE WHEN o_orderkey % 100 >= 85 THEN 'duplicate' ELSE '' END AS defects FROM orders"
-)
+_SPARSE = "o_orderkey * 7"
+
+
+def _duplicates_sql(key: str, shown: str) -> str:
+    """The n-th hit row of a group of hundreds takes from the n-th other row."""
+    numbered = f"(SELECT *, {key} AS number FROM orders)"
+    ranked = (
+        f"(SELECT *, number % 100 >= 85 AS hit, number // 100 % 1024 AS grp, row_number() OVER "
+        f"(PARTITION BY number // 100 % 1024, number % 100 >= 85 ORDER BY number) AS n FROM {numbered})"
+    )
+    shown_source = shown.replace("number", "s.number")
+    shown_row = shown.replace("number", "r.number")
+    return (
+        f"SELECT r.o_custkey, CASE WHEN s.n IS NOT NULL THEN {shown_source} ELSE {shown_row} END AS order_id, "
+        f"CASE WHEN s.n IS NOT NULL THEN 'duplicate' ELSE '' END AS defects FROM {ranked} r "
+        f"LEFT JOIN {ranked} s ON r.hit AND NOT s.hit AND r.grp = s.grp AND r.n = s.n"
+    )
+
+
+@query(_duplicates_sql(_SPARSE, "number"))
 def inject_duplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """True duplicates: each hit takes the id of one row outside the hit set."""
-    df = table(spark, sf_dir, "orders").withColumn("order_id", F.col("o_orderkey"))
-    return inject(df, "o_orderkey", [duplicate_key("order_id", 15)]).select(
+    """True duplicates on a sparse key: each hit takes the id of one row that exists and is not hit."""
+    df = table(spark, sf_dir, "orders").withColumn("order_id", F.expr(_SPARSE))
+    df = df.withColumn("key", F.col("order_id"))
+    return inject_duplicates(df, "key", "order_id", 15).select(
+        "o_custkey", "order_id", F.array_join("injected_defects", ",").alias("defects")
+    )
+
+
+@query(_duplicates_sql("o_orderkey * 3 + 1", "'ORD-' || number"))
+def inject_duplicate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a text key, numbered by the number it holds."""
+    df = table(spark, sf_dir, "orders").withColumn("order_id", F.expr("'ORD-' || (o_orderkey * 3 + 1)"))
+    number = F.substring("key", 5, 20).cast("long")
+    return inject_duplicates(df.withColumn("key", F.col("order_id")), "key", "order_id", 15, number).select(
         "o_custkey", "order_id", F.array_join("injected_defects", ",").alias("defects")
     )
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractflow import check_domain
+from contractflow.functions import frame
 from contractflow.operators import decode_framed, domain_messages, event_schema, flatten_event, split_domain
 from contractflow.plans import DOMAINS
-from suite.mappings import domain_messages_of, events_sql, flat_events
-from suite.registry import AS_OF, query, reason_sql
+from suite.mappings import PRODUCED_AT, SCHEMA_ID, domain_messages_of, events_sql
+from suite.registry import AS_OF, query, reason_sql, table
 
 # stream -> its rules as SQL conditions with their messages, in order
 VIOLATIONS: dict[str, list[tuple[str, str]]] = {
@@ -85,7 +86,7 @@ def _domain_query(name: str) -> None:
 
     @query(outcome_sql(name), f"domain_{name.split('.')[1]}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        checked = check_domain(flat_events(spark, sf_dir, name), domain)
+        checked = check_domain(decoded_events(spark, sf_dir, name), domain)
         passed = F.col("error_reason") == ""
         return checked.select(
             "event_id",
@@ -196,3 +197,73 @@ def domain_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("body.failed_at").isNotNull() & F.col("body.validated_at").isNull(), "failed")
         .alias("stamp"),
     )
+
+
+_BROKEN_SQL = (
+    "CASE event_id % 4 WHEN 0 THEN encode(props) WHEN 1 THEN from_hex('0000000007') || encode('{\"event_id\": ') "
+    "WHEN 2 THEN encode('') END"
+)
+
+
+@query(
+    "SELECT 'k' || event_id AS key, 'dlq.sensors.machines' AS topic, 'payload could not be decoded' AS error_reason, "
+    f"'k' || event_id AS kafka_key, to_base64({_BROKEN_SQL}) AS raw_payload_base64, true AS stamped FROM events WHERE event_id % 4 < 3 "
+    "UNION ALL SELECT 'E' || event_id, 'dlq.sensors.machines', 'machine_id is null; site_id is null', NULL, NULL, true "
+    "FROM events WHERE event_id % 4 = 3"
+)
+def dlq_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unframed, broken and empty messages reach the dead-letter topic whole; a readable event with nulls does not."""
+    domain, row = DOMAINS["sensors.machines"], F.col("event_id")
+    good = F.to_json(F.struct(F.concat(F.lit("E"), row.cast("string")).alias("event_id"), F.lit(PRODUCED_AT).alias("produced_at")))
+    value = (
+        F.when(row % 4 == 0, F.col("props").cast("binary"))
+        .when(row % 4 == 1, frame(F.lit('{"event_id": '), F.lit(SCHEMA_ID)))
+        .when(row % 4 == 2, F.lit(b""))
+        .otherwise(frame(good, F.lit(SCHEMA_ID)))
+    )
+    messages = table(spark, sf_dir, "events").select(F.concat(F.lit("k"), row.cast("string")).alias("key"), value.alias("value"))
+    flat = flatten_event(decode_framed(messages, event_schema(domain)), domain)
+    routed = domain_messages(check_domain(flat, domain), domain, AS_OF)
+    body = F.from_json("value", "error_reason string, kafka_key string, raw_payload_base64 string, failed_at timestamp")
+    return routed.select("key", "topic", body.alias("body")).select(
+        "key",
+        "topic",
+        "body.error_reason",
+        "body.kafka_key",
+        "body.raw_payload_base64",
+        F.col("body.failed_at").isNotNull().alias("stamped"),
+    )
+
+
+def _json_query(name: str) -> None:
+    """Both outputs of a stream with the content of every field, as written and as read back."""
+    domain = DOMAINS[name]
+    kinds = {"string": "VARCHAR", "double": "DOUBLE"}
+    columns = {**_ENVELOPE, **domain.columns}
+    cast = {c: f"CAST({c} AS {kinds[k]})" for c, k in columns.items()}
+    kafka_key = f"coalesce({cast[domain.key]}, {cast['event_id']})" if domain.keeps_kafka_key else "CAST(NULL AS VARCHAR)"
+    reason = "error_reason" if domain.error_on_valid else "nullif(error_reason, '')"
+    listed = {"kafka_key": kafka_key, **cast, "error_reason": reason}
+    keys = ", ".join(f"CASE WHEN {sql} IS NOT NULL THEN '{c}' END" for c, sql in listed.items())
+    stamp = "CASE WHEN error_reason = '' THEN 'validated_at' ELSE 'failed_at' END"
+
+    @query(
+        f"SELECT CASE WHEN error_reason = '' THEN {cast[domain.key]} ELSE {cast['event_id']} END AS key, "
+        f"concat_ws(',', {keys}, {stamp}) AS json_keys, {', '.join(f'{sql} AS {c}' for c, sql in listed.items())}, "
+        f"CAST({_STAMP} AS BIGINT) AS stamp FROM {checked_sql(name)}",
+        f"json_{name.split('.')[1]}",
+    )
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        routed = domain_messages(check_domain(decoded_events(spark, sf_dir, name), domain), domain, AS_OF)
+        fields = ", ".join(f"{c} {k}" for c, k in {"kafka_key": "string", **columns, "error_reason": "string"}.items())
+        body = F.from_json("value", f"{fields}, validated_at timestamp, failed_at timestamp").alias("body")
+        return routed.select("key", F.array_join(F.json_object_keys("value"), ",").alias("json_keys"), body).select(
+            "key",
+            "json_keys",
+            *[F.col(f"body.{c}").alias(c) for c in listed],
+            F.coalesce("body.validated_at", "body.failed_at").cast("long").alias("stamp"),
+        )
+
+
+for _name in DOMAINS:
+    _json_query(_name)

@@ -187,6 +187,16 @@ def uniqueness_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.uniqueness(table(spark, sf_dir, "documents"), "text", digest=True)
 
 
+@query("SELECT count(*) AS records, true AS close FROM lineitem")
+def uniqueness_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sketch's distinct count, within four of the standard deviations that it states."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    sketched = M.uniqueness(lineitem, "l_partkey", approximate=True, error=0.02).select("records", F.col("distinct_ids").alias("near"))
+    exact = M.uniqueness(lineitem, "l_partkey").select("records", F.col("distinct_ids").alias("exact"))
+    both = sketched.join(exact, "records")
+    return both.select("records", (F.abs(F.col("near") - F.col("exact")) <= 0.08 * F.col("exact")).alias("close"))
+
+
 @query(
     "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber "
     "HAVING count(*) > 1 ORDER BY copies DESC, l_orderkey, l_linenumber LIMIT 10"

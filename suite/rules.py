@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -348,83 +350,60 @@ def contract_yaml_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(validate(table(spark, sf_dir, "events"), contract, AS_OF), ["event_id"])
 
 
-METRICS = load_contract(CONTRACTS / "sensor_metrics.yaml")
-# The events table read as sensor metrics, in SQL valid for Spark and DuckDB alike.
-_METRIC_COLUMNS = {
-    "event_id": "event_id",
-    "sensor_id": "CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 40 = 1 THEN '   ' "
-    "WHEN event_id % 40 = 2 THEN 'S' ELSE 'sensor-' || user_id END",
-    "sensor_type": "CASE event_type WHEN 'click' THEN 'temperature' WHEN 'view' THEN 'pressure' "
-    "WHEN 'purchase' THEN 'humidity' WHEN 'signup' THEN 'vibration' "
-    "ELSE CASE WHEN event_id % 3 = 0 THEN 'current' WHEN event_id % 3 = 1 THEN 'sound' END END",
-    "location": "CASE WHEN event_id % 2 = 0 THEN 'hall' END",
-    "metric_name": "CASE WHEN event_id % 31 = 0 THEN '' ELSE 'level' END",
-    "metric_value": "CASE WHEN event_id % 53 = 0 THEN NULL WHEN event_id % 53 = 1 THEN value * 1000 ELSE value - 5 END",
-    "unit": "'u'",
-    "alert_level": "CASE event_id % 7 WHEN 0 THEN 'INFO' WHEN 1 THEN 'WARNING' WHEN 2 THEN 'DEBUG' ELSE 'CRITICAL' END",
-    "alert_message": "props",
-    "event_time": "ts",
+ORDERS = load_contract(CONTRACTS / "orders.yaml")
+ORDERS_AS_OF = datetime(2001, 1, 1)
+# The orders table with some values made missing, in SQL valid for Spark and DuckDB alike.
+_ORDER_COLUMNS = {
+    "o_orderkey": "o_orderkey",
+    "o_orderstatus": "CASE WHEN o_orderkey % 29 <> 4 THEN o_orderstatus END",
+    "o_orderpriority": "CASE WHEN o_orderkey % 40 = 0 THEN NULL WHEN o_orderkey % 40 = 1 THEN '   ' ELSE o_orderpriority END",
+    "o_totalprice": "CASE WHEN o_orderkey % 53 <> 0 THEN o_totalprice END",
+    "o_orderdate": "o_orderdate",
 }
-_METRIC_SQL = f"(SELECT {', '.join(f'{e} AS {c}' for c, e in _METRIC_COLUMNS.items())} FROM events)"
+_ORDER_SQL = f"(SELECT {', '.join(f'{e} AS {c}' for c, e in _ORDER_COLUMNS.items())} FROM orders)"
 
 
 @query(
     verdict_sql(
-        _METRIC_SQL,
-        "event_id",
+        _ORDER_SQL,
+        "o_orderkey",
         [
-            ("sensor_id IS NULL", "NULL_VIOLATION [sensor_id-required]: 'sensor_id' is null"),
-            (
-                "sensor_id IS NULL OR trim(sensor_id) = ''",
-                "NOT_EMPTY_VIOLATION [sensor_id-not_empty]: 'sensor_id' is null or empty",
-            ),
+            ("o_orderkey IS NULL", "NULL_VIOLATION [o_orderkey-required]: 'o_orderkey' is null"),
             (
-                "NOT regexp_matches(sensor_id, '^[A-Za-z0-9_-]{3,64}$')",
-                "REGEX_VIOLATION [sensor_id-regex]: 'sensor_id' does not match pattern",
+                "o_orderstatus IS NULL OR o_orderstatus NOT IN ('O', 'F')",
+                "ALLOWED_VALUES_VIOLATION [o_orderstatus-allowed_values]: 'o_orderstatus' not in ['O', 'F']",
             ),
-            ("sensor_type IS NULL", "NULL_VIOLATION [sensor_type-required]: 'sensor_type' is null"),
+            ("o_orderpriority IS NULL", "NULL_VIOLATION [o_orderpriority-required]: 'o_orderpriority' is null"),
             (
-                "sensor_type IS NULL OR sensor_type NOT IN "
-                "('temperature', 'pressure', 'humidity', 'vibration', 'current')",
-                "ALLOWED_VALUES_VIOLATION [sensor_type-allowed_values]: 'sensor_type' not in "
-                "['temperature', 'pressure', 'humidity', 'vibration', 'current']",
+                "o_orderpriority IS NULL OR trim(o_orderpriority) = ''",
+                "NOT_EMPTY_VIOLATION [o_orderpriority-not_empty]: 'o_orderpriority' is null or empty",
             ),
-            ("metric_name IS NULL", "NULL_VIOLATION [metric_name-required]: 'metric_name' is null"),
             (
-                "metric_name IS NULL OR trim(metric_name) = ''",
-                "NOT_EMPTY_VIOLATION [metric_name-not_empty]: 'metric_name' is null or empty",
+                "NOT regexp_matches(o_orderpriority, '^[1-4]-[A-Z ]+$')",
+                "REGEX_VIOLATION [o_orderpriority-regex]: 'o_orderpriority' does not match pattern",
             ),
-            ("metric_value IS NULL", "NULL_VIOLATION [metric_value-required]: 'metric_value' is null"),
+            ("o_totalprice IS NULL", "NULL_VIOLATION [o_totalprice-required]: 'o_totalprice' is null"),
             (
-                "metric_value < -9999 OR metric_value > 9999",
-                "RANGE_VIOLATION [metric_value-range]: 'metric_value' out of [-9999.0, 9999.0]",
+                "o_totalprice < 5000 OR o_totalprice > 480000",
+                "RANGE_VIOLATION [o_totalprice-range]: 'o_totalprice' out of [5000.0, 480000.0]",
             ),
             (
-                "CASE sensor_type WHEN 'temperature' THEN metric_value < -50 OR metric_value > 150 "
-                "WHEN 'pressure' THEN metric_value < 0 OR metric_value > 1200 "
-                "WHEN 'humidity' THEN metric_value < 0 OR metric_value > 100 "
-                "WHEN 'vibration' THEN metric_value < 0 OR metric_value > 50 "
-                "WHEN 'current' THEN metric_value < 0 OR metric_value > 500 END",
-                "RANGE_VIOLATION [metric_value-range_by_field]: 'metric_value' out of range for its 'sensor_type'",
+                "CASE o_orderstatus WHEN 'O' THEN o_totalprice < 20000 OR o_totalprice > 400000 "
+                "WHEN 'F' THEN o_totalprice < 0 OR o_totalprice > 250000 END",
+                "RANGE_VIOLATION [o_totalprice-range_by_field]: 'o_totalprice' out of range for its 'o_orderstatus'",
             ),
-            ("alert_level IS NULL", "NULL_VIOLATION [alert_level-required]: 'alert_level' is null"),
             (
-                "alert_level IS NULL OR alert_level NOT IN ('INFO', 'WARNING', 'CRITICAL')",
-                "ALLOWED_VALUES_VIOLATION [alert_level-allowed_values]: 'alert_level' not in "
-                "['INFO', 'WARNING', 'CRITICAL']",
-            ),
-            ("event_time IS NULL", "NULL_VIOLATION [event_time-required]: 'event_time' is null"),
-            (
-                "floor(epoch(event_time)) > 1706140800 + 300",
-                "NOT_FUTURE_VIOLATION [event_time-not_future]: 'event_time' is in the future",
+                "o_orderdate > TIMESTAMP '2001-01-02'",
+                "NOT_FUTURE_VIOLATION [o_orderdate-not_future]: 'o_orderdate' is in the future",
             ),
         ],
-    )
+    ),
+    "contract_sensor_metrics",  # the name under which this contract with all check kinds was first registered
 )
-def contract_sensor_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contract_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All check types in one contract, several per field, messages in listed order."""
-    df = table(spark, sf_dir, "events").selectExpr(*[f"{e} AS {c}" for c, e in _METRIC_COLUMNS.items()])
-    return verdicts(validate(df, METRICS, AS_OF), ["event_id"])
+    df = table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {c}" for c, e in _ORDER_COLUMNS.items()])
+    return verdicts(validate(df, ORDERS, ORDERS_AS_OF), ["o_orderkey"])
 
 
 def _rule_counts_sql() -> str:

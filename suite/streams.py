@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,14 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from contractflow import scratch
 from contractflow.functions import instant
 from contractflow.operators import event_schema
-from contractflow.plans import DOMAINS
+from contractflow.plans import DOMAINS, Contract
 from contractflow.sources import Tables, file_sink, provision
 from contractflow.streaming import provision_stats, start_contract_stream, start_domain_streams
-from suite.domains import checked_sql, outcome_sql
+from suite.domains import outcome_sql
 from suite.mappings import domain_message_stream, event_messages, row_stream
-from suite.registry import AS_OF, query
+from suite.registry import AS_OF, query, reason_sql
 from suite.routing import BRONZE_SQL, EVENT_REASON, QUARANTINE_SQL, bronze_view, quarantine_view
-from suite.rules import EVENTS
+from suite.rules import EVENT_VIOLATIONS, EVENTS
 from suite.tables import new_database
 
 
@@ -126,20 +128,65 @@ def stream_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.select("key", "topic", body.alias("body")).select("key", "topic", "body.event_id", "body.error_reason")
 
 
-@query(
-    " UNION ALL ".join(
-        f"SELECT CASE WHEN error_reason = '' THEN 'silver.{name}' ELSE 'dlq.{name}' END AS topic, count(*) AS messages, "
-        f"count(CASE WHEN error_reason = '' THEN {d.key} ELSE event_id END) AS keyed FROM {checked_sql(name)} GROUP BY 1"
-        for name, d in DOMAINS.items()
-    )
-)
+@query(" UNION ALL ".join(outcome_sql(name) for name in DOMAINS))
 def stream_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nine streams at once: nine queries, eighteen topics."""
+    """All nine streams at once: nine queries, eighteen topics, compared row by row."""
     target = run_domains(spark, sf_dir, list(DOMAINS))
-    parts = [spark.read.parquet(f"{target}/stream={name}").select("key", "topic") for name in DOMAINS]
+    body = F.from_json("value", "event_id string, error_reason string")
+    parts = []
+    for name in DOMAINS:
+        routed = spark.read.parquet(f"{target}/stream={name}").select("key", "topic", body.alias("body"))
+        parts.append(routed.select("body.event_id", F.coalesce("body.error_reason", F.lit("")).alias("error_reason"), "key", "topic"))
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionAll(part)
-    return everything.groupBy("topic").agg(F.count("*").alias("messages"), F.count("key").alias("keyed"))
+    return everything
+
+
+def small_contract(db: str, fields: int) -> Contract:
+    """The events contract as it was when it knew only its first fields."""
+    known = EVENTS.fields[:fields]
+    names = {f.name for f in known}
+    rules = tuple(r for r in EVENTS.rules if r.field in names)
+    return replace(EVENTS, fields=known, rules=rules, table=f"{db}.events", quarantine_table=f"{db}.events_quarantine")
+
+
+def _passed_sql(fields: int) -> str:
+    """The rules on the first fields, as SQL on the events."""
+    names = {f.name for f in EVENTS.fields[:fields]}
+    conditions = [v for r, v in zip(EVENTS.active_rules, EVENT_VIOLATIONS, strict=True) if r.field in names]
+    return f"{reason_sql('|', conditions)} = ''"
+
 
+_OLD_FIELDS = 4
 
+
+@query(
+    f"SELECT event_id, 1 AS version, CAST(NULL AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS props FROM events WHERE {_passed_sql(_OLD_FIELDS)} "
+    f"UNION ALL SELECT event_id, 2, value, props FROM events WHERE {EVENT_REASON} = ''"
+)
+def stream_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a contract, the second with more fields, stream into one table: no value is lost."""
+    db = new_database(spark)
+    for version, fields in ((1, _OLD_FIELDS), (2, len(EVENTS.fields))):
+        contract = replace(small_contract(db, fields), version=str(version))
+        tables = Tables(contract.table, contract.quarantine_table, contract.partitioning)
+        if version == 1:
+            provision(spark, contract, tables)  # the second version meets the table as the first left it
+        start_contract_stream(event_stream(spark, sf_dir), contract, tables, scratch(spark, "checkpoint"), trigger=None, as_of=instant(AS_OF)).awaitTermination()
+    spark.catalog.refreshTable(tables.bronze)
+    return spark.table(tables.bronze).select("event_id", F.col("schema_version").cast("int").alias("version"), "value", "props")
+
+
+@query(
+    "SELECT event_id, CASE WHEN props IS NULL THEN 'value' ELSE 'props,value' END AS unknown, props FROM events "
+    f"WHERE {_passed_sql(_OLD_FIELDS)} AND value IS NOT NULL"
+)
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that messages carry and the contract does not know are stored as a map."""
+    db = new_database(spark)
+    contract = small_contract(db, _OLD_FIELDS)
+    tables = provision(spark, contract, Tables(contract.table, contract.quarantine_table, contract.partitioning, drift=True))
+    start_contract_stream(event_stream(spark, sf_dir), contract, tables, scratch(spark, "checkpoint"), trigger=None, as_of=instant(AS_OF)).awaitTermination()
+    unknown = F.array_join(F.sort_array(F.map_keys("unknown_fields")), ",").alias("unknown")
+    return spark.table(tables.bronze).select("event_id", unknown, F.col("unknown_fields")["props"].alias("props"))

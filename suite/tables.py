@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from contractflow import pin, scratch
 from contractflow.sources import Tables, append, drop_expired, provision, retained, table_ddl, widen
-from suite.alerts import CONTRACT, TAGGED_SQL, alert_tables
+from suite.alerts import BRONZE_SQL, CLOCK_SECONDS, CONTRACT, QUARANTINE_SQL, alert_tables
 from suite.registry import query, table
 
 
@@ -22,43 +22,28 @@ def new_database(spark: SparkSession) -> str:
     return name
 
 
-def _filled(df: DataFrame, label: str) -> DataFrame:
-    """``table, column, type, filled``: the stored layout and how many values each column holds."""
-    lines = [
-        F.struct(
-            F.lit(label).alias("table_name"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.count(f.name).alias("filled"),
-        )
-        for f in df.schema
-        if f.name != "load_id"
-    ]
-    return df.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+_AUDIT_SQL = f"CAST({CLOCK_SECONDS} AS BIGINT) AS ingested, '{CONTRACT.version}' AS schema_version, '{CONTRACT.format}' AS source_format, '2024-02-01' AS day"
+_FIELDS = list(CONTRACT.field_names)
 
 
-_AUDIT = {"ingested_at": "timestamp", "schema_version": "string", "source_format": "string"}
-_BRONZE = {**dict.fromkeys(CONTRACT.field_names, "string"), **_AUDIT, "ingested_at_date": "date"}
-_QUARANTINE = {"raw_payload": "string", **_AUDIT, "validation_errors": "array<string>", "ingested_at_date": "date"}
-
-
-def _layout_sql(label: str, columns: dict[str, str], condition: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{label}' AS table_name, '{name}' AS column_name, '{kind}' AS type, "
-        f"(SELECT count(*) FROM {TAGGED_SQL} WHERE {condition}) AS filled"
-        for name, kind in columns.items()
-    )
-
-
-@query(_layout_sql("bronze", _BRONZE, "errors = ''") + " UNION ALL " + _layout_sql("quarantine", _QUARANTINE, "errors <> ''"))
+@query(
+    f"SELECT 'bronze' AS side, {', '.join(_FIELDS)}, '' AS errors, {_AUDIT_SQL} FROM {BRONZE_SQL} "
+    f"UNION ALL SELECT 'quarantine', {', '.join(_FIELDS)}, errors, {_AUDIT_SQL} FROM {QUARANTINE_SQL}"
+)
 def provision_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both tables of the alert contract created from it, loaded, and read back."""
+    """Both tables of the alert contract created from it, loaded, and read back value by value."""
     db = new_database(spark)
     tables = provision(spark, CONTRACT, Tables(f"{db}.alerts", f"{db}.alerts_quarantine", CONTRACT.partitioning))
     bronze, quarantine = alert_tables(spark, sf_dir)
     append(bronze, tables.bronze, tables.partitioning)
     append(quarantine, tables.quarantine, tables.quarantine_partitioning)
-    return _filled(spark.table(tables.bronze), "bronze").unionAll(_filled(spark.table(tables.quarantine), "quarantine"))
+    stamps = [F.col("ingested_at").cast("long").alias("ingested"), "schema_version", "source_format", F.col("ingested_at_date").cast("string").alias("day")]
+    good = spark.table(tables.bronze).select(F.lit("bronze").alias("side"), *_FIELDS, F.lit("").alias("errors"), *stamps)
+    raw = F.from_json("raw_payload", ", ".join(f"{name} string" for name in _FIELDS)).alias("raw")
+    bad = spark.table(tables.quarantine).select("*", raw).select(
+        F.lit("quarantine").alias("side"), *[F.col(f"raw.{name}").alias(name) for name in _FIELDS], F.array_join("validation_errors", "|").alias("errors"), *stamps
+    )
+    return good.unionAll(bad)
 
 
 @query(
@@ -97,4 +82,4 @@ def schema_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     append(old, name)
     widen(spark, name, new.schema)
     append(new, name)
-    return spark.table(name).drop("load_id")
+    return spark.table(name).select("c_custkey", "c_name", "c_acctbal")

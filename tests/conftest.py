@@ -25,11 +25,15 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    return session
+    yield session
+    for row in session.sql("SHOW DATABASES LIKE 'cf_*'").collect():
+        session.sql(f"DROP DATABASE {row[0]} CASCADE")
 
 
 @pytest.fixture
 def database(spark):
     from suite.tables import new_database
 
-    return new_database(spark)
+    name = new_database(spark)
+    yield name
+    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

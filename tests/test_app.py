@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
-from contractflow import app, load_contract, validate
-from contractflow.operators import route
+from contractflow import app, contract_from_dict, load_contract, validate
+from contractflow.operators import certified, metrics, quarantined, route
+from contractflow.plans import ContractError
 from contractflow.sources import append, provision
 from suite.alerts import CLOCK, FIELDS, injected_alerts
 
@@ -34,8 +37,6 @@ def contract_file(database, tmp_path):
 
 
 def test_provision_and_report(spark, contract_file, capsys):
-    from pyspark.sql import functions as F
-
     assert app.run_provision(spark, str(contract_file.parent), "parquet") == 1
     assert "skipped: broken.yaml" in capsys.readouterr().out
     contract = load_contract(contract_file)
@@ -47,9 +48,62 @@ def test_provision_and_report(spark, contract_file, capsys):
     append(quarantine, tables.quarantine)
     app.main(["report", "--contract", str(contract_file)], spark)
     printed = capsys.readouterr().out
-    assert "|completeness|overall_completeness_pct" in printed
-    assert "sensor-id-not-empty|100" in printed.replace(" ", "")
-    assert "|latency" in printed and "false" in printed
+    assert "completeness|overall_completeness_pct|" in printed
+    assert "violations|sensor-id-not-empty|100.000" in printed
+    assert "sla|latency < 30.0|0.000" in printed
+    app.main(["report", "--contract", str(contract_file), "--output", "report_lines"], spark)
+    assert spark.table("report_lines").where("section = 'violations'").count() == 3
+    spark.sql("DROP TABLE report_lines")
+
+
+def test_the_report_is_not_cut_and_scans_each_table_once(spark, database):
+    rules = [{"name": f"rule-{i:03d}", "expr": f"a > {i}"} for i in range(150)]
+    doc = {
+        "info": {"title": "wide"},
+        "storage": {"icebergTable": f"{database}.w", "quarantineTable": f"{database}.w_q"},
+        "schema": {"fields": [{"name": "a", "type": "long"}, {"name": "event_time", "type": "timestamp"}]},
+        "quality": {"rules": rules},
+        "format": "json",
+    }
+    contract = contract_from_dict(doc)
+    tables = provision(spark, contract)
+    rows = spark.range(200).selectExpr("id AS a", "TIMESTAMP'2024-01-01' AS event_time")
+    tagged = validate(rows, contract, CLOCK).withColumn("raw_payload", F.to_json(F.struct("a")))
+    bronze, quarantine = certified(tagged, contract, CLOCK, payload=None), quarantined(tagged, contract, CLOCK)
+    append(bronze, tables.bronze)
+    append(quarantine, tables.quarantine)
+    lines = {r["metric"]: r["value"] for r in app.report(spark, contract) if r["section"] == "violations"}
+    assert lines == {"decode": 0.0} | {f"rule-{i:03d}": float(i + 1) for i in range(150)}
+    counted = metrics.quality_row(spark.table(tables.bronze), spark.table(tables.quarantine), {}, rules=list(lines))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 2
+
+
+def test_drafts_do_not_run(spark, tmp_path):
+    path = tmp_path / "draft.json"
+    path.write_text(json.dumps({"info": {"title": "d", "status": "draft"}}))
+    with pytest.raises(ContractError, match="'draft', not active"):
+        app.main(["report", "--contract", str(path)], spark)
+
+
+def test_retention_job(spark, database, tmp_path):
+    doc = {
+        "info": {"title": "r"},
+        "format": "json",
+        "sla": {"retentionPeriod": "10 days"},
+        "storage": {"icebergTable": f"{database}.r", "quarantineTable": f"{database}.r_q", "partitioning": ["days(ingested_at)"]},
+        "schema": {"fields": [{"name": "a", "type": "long"}]},
+    }
+    path = tmp_path / "r.json"
+    path.write_text(json.dumps(doc))
+    contract = load_contract(path)
+    tables = provision(spark, contract)
+    for day in (1, 20):
+        clock = datetime(2024, 1, day)
+        tagged = validate(spark.range(3).selectExpr(f"{day} * 10L AS a"), contract, clock)
+        append(certified(tagged, contract, clock, payload=None), tables.bronze, tables.partitioning)
+    assert app.run_retain(spark, str(path), "parquet", datetime(2024, 1, 25)) == 1
+    assert {r.a for r in spark.table(tables.bronze).collect()} == {200}
 
 
 def test_jobs_need_their_arguments():

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from contractflow import contract_from_dict, load_contract, load_contracts
-from contractflow.plans import ContractError, Field, active_version, contract_for_topic, split_topic
+from contractflow.plans import ContractError, Field, active_version, contract_for_topic, rule_from_text, split_topic
 from suite.registry import CONTRACTS
 
 
@@ -137,3 +137,44 @@ def test_highest_active_version():
     assert active_version(contracts, "c").version == "1.10.0"
     with pytest.raises(ContractError):
         active_version(contracts, "other")
+
+
+def test_blanks_inside_quotes_belong_to_the_value():
+    rule = rule_from_text("r", "a in [' A ', \"B \", C , 'D,E']")
+    assert rule.args["values"] == [" A ", "B ", "C", "D,E"]
+
+
+def test_disabled_rules_are_not_read():
+    rules = [{"name": "off", "expr": "f > 1.2.3", "disabled": True}, {"name": "on", "expr": "f > 1"}]
+    contract = contract_from_dict({"quality": {"rules": rules}})
+    assert [r.name for r in contract.active_rules] == ["on"]
+    checks = [{"type": "range", "min": "low", "disabled": True}, {"type": "not_empty"}]
+    off = contract_from_dict({"contract": {"name": "c", "fields": [{"name": "a", "checks": checks}]}})
+    assert [r.kind for r in off.active_rules] == ["not_empty"]
+
+
+@pytest.mark.parametrize("text", ["f > 1-2", "f >= 1 && f <= 2.", "f < .", "f >= -- && f <= 3"])
+def test_malformed_numbers_are_told_from_unknown_forms(text):
+    if text == "f >= 1 && f <= 2.":
+        assert rule_from_text("r", text).args == {"min": 1.0, "max": 2.0}
+    else:
+        with pytest.raises(ContractError, match="is not a number"):
+            rule_from_text("r", text)
+    assert rule_from_text("r", "f > 1e5").kind == "unrecognised"
+
+
+def test_one_bad_file_does_not_stop_a_folder(tmp_path):
+    faults = {
+        "tolerance": {"type": "not_future", "tolerance_seconds": "soon"},
+        "pair": {"type": "range_by_field", "field": "b", "ranges": {"x": [1, 2, 3]}},
+        "none": {"type": "range_by_field", "field": "b", "ranges": {}},
+        "bound": {"type": "range", "min": "low"},
+    }
+    for name, check in faults.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps({"contract": {"name": name, "fields": [{"name": "a", "checks": [check]}]}}))
+    (tmp_path / "bytes.yaml").write_bytes(b"\xff\xfe\x00x")
+    (tmp_path / "folder.yaml").mkdir()
+    (tmp_path / "good.json").write_text(json.dumps({"info": {"title": "good"}}))
+    loaded, skipped = load_contracts(tmp_path)
+    assert [c.name for c in loaded] == ["good"]
+    assert sorted(skipped) == ["bound.json", "bytes.yaml", "folder.yaml", "none.json", "pair.json", "tolerance.json"]

@@ -7,6 +7,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from contractflow.operators import iso_text
+
 from contractflow.operators.defects import (
     blank,
     bucket,
@@ -14,6 +16,7 @@ from contractflow.operators.defects import (
     duplicate_key,
     future_time,
     inject,
+    inject_duplicates,
     null_out,
     unknown_value,
     whitespace,
@@ -93,3 +96,33 @@ def test_huge_and_negative_keys_do_not_overflow(spark):
 def test_text_keys_are_hashed(spark, rows):
     got = inject(rows.withColumn("s", F.col("v")), "s", [blank("v", 10)]).filter("v = ''").count()
     assert 100 < got < 300
+
+
+def test_duplicates_on_sparse_and_text_keys_exist(spark):
+    for key in (F.col("id") * 7, F.concat(F.lit("K"), F.col("id").cast("string")), F.lit("same")):
+        df = spark.range(3000).withColumn("key", key).withColumn("dup", F.col("id").cast("string"))
+        got = inject_duplicates(df, "key", "dup", 15, groups=8)
+        hit = got.filter("array_contains(injected_defects, 'duplicate')")
+        left = got.filter("NOT array_contains(injected_defects, 'duplicate')").select("dup")
+        assert hit.count() == hit.join(left, "dup", "left_semi").count() == hit.select("dup").distinct().count()
+        assert got.count() == 3000
+        assert str(key) == str(F.lit("same")) or hit.count() > 300
+
+
+def test_arithmetic_duplicates_refuse_other_keys(spark, rows):
+    with pytest.raises(ValueError, match="no integer"):
+        inject(rows.withColumn("s", F.col("v")), "s", [duplicate_key("dup", 15)])
+
+
+def test_times_are_utc_in_any_session(spark):
+    at = spark.createDataFrame([(0,), (1706140800123456,), (-1,)], "m long").select(F.timestamp_micros("m").alias("t"))
+    wanted = ["1970-01-01T00:00:00.000000+00:00", "2024-01-25T00:00:00.123456+00:00", "1969-12-31T23:59:59.999999+00:00"]
+    for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert [r[0] for r in at.select(iso_text(F.col("t"))).collect()] == wanted
+            if zone != "UTC":
+                with pytest.raises(RuntimeError, match="contractflow.pin"):
+                    future_time("at", 10, datetime(2024, 1, 1)).replace(F.lit("2024-01-01"), F.lit(1))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
