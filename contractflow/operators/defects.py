@@ -126,7 +126,7 @@ def inject_duplicates(
     if number is None:
         number = F.col(key) if isinstance(df.schema[key].dataType, T.IntegralType) else F.xxhash64(key)
     hit = F.pmod(number, F.lit(100)) >= 100 - pct
-    group = F.pmod(F.floor(number / 100), F.lit(groups))
+    group = F.floor(F.pmod(number, F.lit(100 * groups)) / 100)  # the division is exact below 2**53
     order = Window.partitionBy("__group", "__hit").orderBy("__number", key)
     ranked = df.withColumns({"__number": number, "__hit": F.coalesce(hit, F.lit(False)), "__group": group})
     ranked = ranked.withColumn("__rank", F.row_number().over(order))

@@ -199,15 +199,15 @@ def test_conformance(spark):
         ]
     }
     rows = [
-        ("a", None, "LOW", "5", 1, "f"),
-        ("b", None, "LOW", "5", None, None),
-        (None, None, "odd", "5", 1, "f"),
-        ("d", None, "odd", "x", 1, "f"),
-        ("e", None, None, "5", 1, "f"),
-        ("f", None, "HIGH", "x", 1, "f"),
+        ("a", None, "LOW", 5.0, 1, "f"),
+        ("b", None, "LOW", 5.0, None, None),
+        (None, None, "odd", 5.0, 1, "f"),
+        ("d", None, "odd", 5.5, 1, "f"),
+        ("e", None, None, 5.0, 1, "f"),
+        ("f", None, "HIGH", 5.5, 1, "f"),
         ("g", None, "HIGH", None, 1, "f"),
     ]
-    df = spark.createDataFrame(rows, "id string, note string, level string, n string, x int, filled string")
+    df = spark.createDataFrame(rows, "id string, note string, level string, n double, x int, filled string")
     fits, errors = split_conforming(df, schema, "bronze.a.b")
     assert [r.id for r in fits.orderBy("id").collect()] == ["a", "b"]
     got = {json.loads(r.failed_event).get("id"): (r.error_type, r.error_message) for r in errors.collect()}
