@@ -18,10 +18,10 @@ def _both(links: DataFrame) -> DataFrame:
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Every neighbour above a node is tied to the least of the node and its neighbours."""
+    """Every neighbour above a node is tied to the least of the node and its neighbours; links may repeat."""
     both = _both(links)
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -41,12 +41,27 @@ def components(links: DataFrame) -> DataFrame:
     Null ends, repeated links and links of a node to itself are dropped; no links give no rows.
     """
     pointed = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = written(pointed, "links")
+    now = written(pointed, "links", thin=True)
     state = _print(now)
     while state[0]:
-        now = written(_small_star(_large_star(now)), "links")
+        now = written(_small_star(_large_star(now)), "links", thin=True)
         before, state = state, _print(now)
         if state == before:
             break
     leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(node, component) of a forest (node, parent) in which every parent is smaller than its node.
+
+    Nodes look up their parents' parents until nothing changes: as many rounds as the logarithm of the depth.
+    """
+    now = written(parents.select("node", F.col("parent").alias("component")), "roots", thin=True)
+    while True:
+        above = now.select(F.col("node").alias("component"), F.col("component").alias("higher"))
+        step = written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots", thin=True)
+        now = step.drop("moved")
+        if step.where("moved").isEmpty():
+            break
+    return now.union(now.select(F.col("component").alias("node"), "component").distinct())

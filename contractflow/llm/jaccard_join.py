@@ -9,6 +9,7 @@ Then, recursively and exactly:
 
 * every region has a pivot; a set's cell is that of the pivot it shares most prefix shingles with, and
   its distance to that pivot is computed;
+* two sets are compared whole only if their prefixes share as many shingles as close sets must;
 * sets within the radius of their pivot are linked to it, and what is linked needs no other comparison;
 * regions that still hold sets of several components are joined again around more pivots. Of two sets in
   one cell only those are compared whose distances to the cell's pivot differ by the radius at most
@@ -20,6 +21,7 @@ Equal sets are one node throughout. Sets are compared as 64-bit hashes of their
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,14 +29,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractflow.llm.components import components
-from contractflow.llm.store import written
+from contractflow.llm.components import components, roots
+from contractflow.llm.store import small_batches, written
 from contractflow.llm.text import LOWER, NOT_SPACE, U64, find_words, mix, parts, run_hashes, utf8, windows
 
 SKETCH_BITS = 21  # of the shingle's hash: counts for the order by rarity
 CHUNK = 1 << 14
-FILTER_BITS = 27  # of the text's hash: which texts to read again
+FILTER_BITS = 27  # of a row's hash: which texts to read again
 FIRST_PIVOTS = 64
+SENT_NODES = 500_000  # of at most 24 bytes each
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    return zlib.compress(numbers.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,9 +66,22 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(docs: DataFrame, size: int) -> np.ndarray:
-    """How often shingles occur in all documents, by the leading bits of their hash: an array of fixed size."""
+    """How often shingles occur in all documents, by the leading bits of their hash: an array of fixed size.
+
+    A task sends what it has counted, in chunks, full ones whole and others as the cells in use.
+    """
     cells = 1 << SKETCH_BITS
-    names = ["chunk", "counts"]
+    names = ["chunk", "at", "counts"]
+
+    def sent(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        rows = []
+        for chunk, counts in total.items():
+            used = np.flatnonzero(counts)
+            if len(used):
+                whole = 4 * len(used) > 3 * CHUNK
+                rows.append((chunk, b"" if whole else used.astype(np.uint16).tobytes(), packed(counts if whole else counts[used])))
+        columns = list(zip(*rows, strict=True)) or [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
@@ -65,22 +89,21 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
             for part in parts(batch, 0):
                 _, hashes = shingles(part.column(0), size)
                 total += np.bincount((hashes >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
-        chunks = [total[i : i + CHUNK] for i in range(0, cells, CHUNK)]
-        kept = [i for i, c in enumerate(chunks) if c.any()]
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array([chunks[i].tobytes() for i in kept], pa.binary())], names)
+        yield sent({i // CHUNK: total[i : i + CHUNK] for i in range(0, cells, CHUNK)})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[chunk] = total.get(chunk, 0) + np.frombuffer(counts, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())], names)
+            for row in batch.to_pylist():
+                counts = unpacked(row["counts"], np.int64)
+                total.setdefault(row["chunk"], np.zeros(CHUNK, np.int64))[np.frombuffer(row["at"], np.uint16) if row["at"] else slice(None)] += counts
+        yield sent(total)
 
-    schema = "chunk int, counts binary"
-    out = np.zeros(cells, np.int64)
+    schema = "chunk int, at binary, counts binary"
+    out = np.zeros((cells // CHUNK, CHUNK), np.int64)
     for row in docs.select("text").mapInArrow(count, schema).repartition(16, "chunk").mapInArrow(add, schema).collect():
-        out[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(row["counts"], np.int64)
-    return out
+        out[row["chunk"], np.frombuffer(row["at"], np.uint16) if row["at"] else slice(None)] = unpacked(row["counts"], np.int64)
+    return out.ravel()
 
 
 def distinct(text: np.ndarray, hashes: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +140,7 @@ def signatures(text: np.ndarray, hashes: np.ndarray, rows: int) -> tuple[np.ndar
 
 
 def measured(docs: DataFrame, size: int, percent: int, rarity) -> DataFrame:
-    """(doc_id, k, n, sig_a, sig_b, prefix) of every document; k is a hash of the text."""
+    """(doc_id, k, n, sig_a, sig_b, prefix) of every document; k is a hash of its id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,11 +157,14 @@ def measured(docs: DataFrame, size: int, percent: int, rarity) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, k long, n long, sig_a long, sig_b long, prefix array<long>")
 
 
+KEY = ["sig_a", "sig_b", "n"]
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
-    """(node, shingles) of the wanted nodes, from their texts.
+    """(sig_a, sig_b, n, shingles) of the wanted nodes, from the text of one row of each.
 
-    A filter of fixed size over hashes of texts goes to all tasks, so that only the wanted texts (and
-    chance matches, which the join drops) are read again into shingles and shuffled.
+    A filter of fixed size over the rows' hashes k goes to all tasks, so that only the wanted rows (and
+    chance matches) are read again into shingles; nothing is shuffled, unless rows are repeated.
     """
     cells, word = 1 << FILTER_BITS, F.pmod("k", F.lit(1 << FILTER_BITS))
     words = wanted.groupBy(F.floor(word / 64).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(k, {cells}) % 64 AS INT))")).alias("bits"))
@@ -157,10 +183,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
                 text, hashes = distinct(*shingles(part.column(1), size), rarity.value)
                 n, a, b = signatures(text, hashes, part.num_rows)
                 sets = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), hashes.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(n), pa.array(a), pa.array(b), sets], ["n", "sig_a", "sig_b", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n), sets], [*KEY, "shingles"])
 
-    found = docs.mapInArrow(run, "n long, sig_a long, sig_b long, shingles array<long>")
-    return found.join(wanted.select("node", "n", "sig_a", "sig_b"), ["n", "sig_a", "sig_b"]).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    found = written(docs.mapInArrow(run, "sig_a long, sig_b long, n long, shingles array<long>"), "shingles")
+    twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice", thin=True)
+    some = twice.count()
+    if not some:
+        return found
+    twice = F.broadcast(twice) if some <= SENT_NODES else twice
+    again = found.join(twice, KEY, "left_semi").groupBy(*KEY).agg(F.first("shingles").alias("shingles"))
+    return written(found.join(twice, KEY, "left_anti").unionByName(again), "shingles")
 
 
 def could_share(percent: int, n: Column, pos: Column, m: Column, at: Column) -> Column:
@@ -169,13 +201,40 @@ def could_share(percent: int, n: Column, pos: Column, m: Column, at: Column) ->
     return F.least(n - pos, m - at) * (100 + percent) >= percent * (n + m)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b, common, total) for pairs of nodes: sizes of the intersection and of the union."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb")).cast("long")
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", common.alias("common"), F.size("sa").alias("n"), F.size("sb").alias("m"))
-    return both.select("a", "b", "common", (F.col("n") + F.col("m") - F.col("common")).alias("total"))
+def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share as much as close sets must.
+
+    Sets of n and m shingles that are close share a number o of them. The i-th shared one has at most
+    n - o shingles before it in the one set that the other lacks, so at least o - n + p of the shared ones lie in
+    a prefix of p, and the lesser such number in both. And o is no more than either size.
+    """
+    ends = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends", thin=True)
+    held = nodes.select("node", "n", "prefix").join(F.broadcast(ends) if ends.count() <= SENT_NODES else ends, "node")
+    one, two = (held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
+    both = pairs.hint("merge").join(two, F.col("b") == F.col("node_b")).hint("merge").join(one, F.col("a") == F.col("node_a"))
+    n, m = F.col("n_a"), F.col("n_b")
+    least = F.ceil(percent * (n + m) / F.lit(100 + percent))
+    lie = F.least(least - n + F.size("prefix_a"), least - m + F.size("prefix_b"))
+    shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
+    return both.where((least <= F.least(n, m)) & (shared >= lie)).select("a", "b")
+
+
+def verified(pairs: DataFrame, wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, total) for pairs of nodes: sizes of the intersection and of the union.
+
+    Both joins read the sets by one shuffle. They are merge joins at any size, so that a larger input
+    does the same work.
+    """
+    ends = [wanted.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in KEY]) for x in "ab"]
+    keyed = pairs.join(ends[0], "a").join(ends[1], "b").hint("merge")
+
+    def on(x: str):
+        return [F.col(f"{c}_{x}") == sets[c] for c in KEY]
+
+    one = keyed.join(sets, on("b")).withColumnRenamed("shingles", "s_b").drop(*KEY).hint("merge")
+    both = one.join(sets, on("a"))
+    common = F.size(F.array_intersect("s_b", "shingles")).cast("long").alias("common")
+    return both.select("a", "b", common, (F.col("n_a") + F.col("n_b")).alias("both")).select("a", "b", "common", (F.col("both") - F.col("common")).alias("total"))
 
 
 def near_duplicates(
@@ -194,67 +253,67 @@ def near_duplicates(
     the smallest of no component that holds another; repeated rows are returned each. Other columns are not read.
     Large intermediate tables are written to the shared folder; only fixed-size sketches reach the driver.
     """
+    with small_batches(docs.sparkSession):  # every job over texts runs in here
+        return _near_duplicates(docs, text, doc_id, size, percent, log)
+
+
+def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent: int, log: Callable[[str], None]) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).withColumn("k", F.xxhash64("text"))
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id", "text"))
     counts = sketch(docs, size)
     rarity = spark.sparkContext.broadcast(np.round(np.log2(1.0 + counts) * 1000).astype(np.uint16))
     rows = written(measured(docs, size, percent, rarity), "sets")
-    key = ["sig_a", "sig_b", "n"]
-    classes = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"), F.first("k").alias("k"))
+    classes = rows.where("n > 0").groupBy(*KEY).agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k"))["k"].alias("k"))
     nodes = written(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n")
     pivots = tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("node").alias("pivot")).where("held > 1")
     regions = written(tokens.join(pivots, "token").select("token", "node", "n", "pos", "pivot"), "regions")
 
-    # cells: the pivot with which a set shares most of its prefix
-    other = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("m"))
-    shared = regions.where("node <> pivot").groupBy("node", "n", "pivot").agg(F.count("*").alias("times")).join(other, "pivot")
-    sized = shared.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-    cells = sized.groupBy("node").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
-    pairs = written(cells.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-    far = F.col("common") * 100 < percent * F.col("total")
+    # cells: the pivot with which a set shares most of its prefix; a pivot is the region's least node
+    shared = regions.where("node <> pivot").select("node", "pivot").repartition("node").groupBy("node", "pivot").agg(F.count("*").alias("times"))
+    cells = shared.groupBy("node").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
+    pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs", thin=True)
 
     def measure(pairs: DataFrame) -> DataFrame:
+        pairs = written(possible(pairs, nodes, percent), "pairs", thin=True)
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = written(nodes.select("node", "n", "sig_a", "sig_b", "k").join(ends, "node"), "wanted")
-        sets = written(sets_of(docs, wanted, size, rarity), "shingles")
-        return written(verified(pairs, sets, nodes), "distances")
+        wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted", thin=True)
+        return written(verified(pairs, wanted, sets_of(docs, wanted, size, rarity)), "distances")
 
+    near = F.col("common") * 100 >= percent * F.col("total")
     distances = measure(pairs)
-    homes = cells.join(distances.withColumnsRenamed({"a": "node", "b": "pivot"}).select("node", "pivot", "common", "total").union(distances.select("b", "a", "common", "total")), ["node", "pivot"])
-    homes = written(homes.select("node", F.col("pivot").alias("home"), (1 - F.col("common") / F.col("total")).alias("away")), "cells")
-    links = distances.where(~far).select("a", "b")
-    part = written(components(links), "components")
+    homes = distances.select(F.col("b").alias("node"), F.col("a").alias("home"), (1 - F.col("common") / F.col("total")).alias("away"))
+    part = roots(distances.where(near).select(F.col("b").alias("node"), F.col("a").alias("parent")))
 
-    tested, active, slots, radius = distances.select("a", "b"), regions.drop("pivot"), FIRST_PIVOTS, 1 - percent / 100
+    tested, active, slots, radius = pairs, regions.drop("pivot"), FIRST_PIVOTS, 1 - percent / 100
     while True:
         state = active.join(part.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
         mixed = state.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("token")
-        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state")
+        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state", thin=True)
         left = state.count()
         log(f"{left} rows of unresolved regions, {slots} pivots each")
         if not left:
             break
-        drawn = state.groupBy("token", F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots)).alias("slot")).agg(F.min(F.struct("node", "n", "pos", "c", "home", "away")).alias("q"))
-        drawn = written(drawn.select("token", "q"), "pivots")
-        near = F.col("home").isNull() | F.col("q.home").isNull() | (F.col("home") != F.col("q.home")) | (F.abs(F.col("away") - F.col("q.away")) <= radius + 1e-9)
+        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
+        drawn = state.groupBy("token", slot.alias("slot")).agg(F.min(F.struct("node", "n", "pos", "c", "home", "away")).alias("q")).select("token", "q")
+        window = F.col("home").isNull() | F.col("q.home").isNull() | (F.col("home") != F.col("q.home")) | (F.abs(F.col("away") - F.col("q.away")) <= radius + 1e-9)
         fits = could_share(percent, F.col("n"), F.col("pos"), F.col("q.n"), F.col("q.pos"))
-        met = state.join(drawn, "token").where((F.col("node") != F.col("q.node")) & (F.col("c") != F.col("q.c")) & fits & near)
+        met = state.join(drawn, "token").where((F.col("node") != F.col("q.node")) & (F.col("c") != F.col("q.c")) & fits & window)
         pairs = met.select(F.least("node", "q.node").alias("a"), F.greatest("node", "q.node").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", thin=True)
         if not pairs.isEmpty():
             distances = measure(pairs)
-            tested = written(tested.union(distances.select("a", "b")), "tested")
-            new = distances.where(~far).select("a", "b")
+            tested = tested.union(pairs)
+            new = distances.where(near).select("a", "b")
             if not new.isEmpty():
-                part = written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components")
+                part = written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components", thin=True)
         used = drawn.select("token", F.col("q.node").alias("node"))
         active = state.select("token", "node", "n", "pos").join(used, ["token", "node"], "left_anti")
         slots *= 4
 
-    joined = nodes.join(part, "node", "left").select(*key, "low", F.coalesce("component", "node").alias("component"))
-    joined = written(joined, "members")
+    joined = nodes.join(part, "node", "left").select(*KEY, "low", F.coalesce("component", "node").alias("component"))
+    joined = written(joined, "members", thin=True)
     least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    ids = joined.join(least, "component").select(*key, "component_id")
-    out = rows.drop("prefix", "k").join(ids, key, "left")
+    ids = joined.join(least, "component").select(*KEY, "component_id")
+    out = rows.drop("prefix", "k").join(ids, KEY, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

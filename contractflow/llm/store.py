@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,9 +15,25 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written once as Parquet and read from there."""
+def written(df: DataFrame, name: str, thin: bool = False) -> DataFrame:
+    """df, written once as Parquet and read from there.
+
+    ``thin`` is for a few numbers a row: an eighth of the session's shuffle partitions write it.
+    """
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    out = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if thin else df
+    out.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of few rows for the jobs run inside, so that Python and the JVM hold little of a task's texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that no power of it vanishes modulo 2**64
