@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from contractflow.llm import chat
+from contractflow.llm.queries import transcript_lines
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def conversations(n, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for t in range(rng.randint(1, 6)):
+            role = "user" if t % 2 == 0 else "assistant"
+            text = "\n".join("word " * rng.randint(1, 30 if role == "user" else 90) + ("?" if role == "user" else ".") for _ in range(rng.randint(1, 4)))
+            rows.append((c, t, role, text))
+    return rows
+
+
+def test_decoding_against_all_paths():
+    rng = np.random.default_rng(3)
+    start, step = rng.normal(size=chat.STATES), rng.normal(size=(chat.STATES, chat.STATES))
+    for n in (1, 2, 4):
+        scores = rng.normal(size=(n, chat.STATES))
+
+        def total(path, scores=scores):
+            return start[path[0]] + sum(scores[i, s] for i, s in enumerate(path)) + sum(step[a, b] for a, b in zip(path, path[1:], strict=False))
+
+        best = max(itertools.product(range(chat.STATES), repeat=n), key=total)
+        got = chat.decode(scores, np.array([0]), start[None], {}, step)
+        assert tuple(got.tolist()) == best
+
+
+@pytest.mark.parametrize("partitions", ["1", "3", "8"])
+def test_borders_of_partitions_do_not_matter(spark, partitions):
+    """One conversation holds most lines, so it lies across every border."""
+    rng = random.Random(6)
+    rows = conversations(12) + [(99, t, "user" if t % 2 == 0 else "assistant", "\n".join("w " * rng.randint(1, 60) for _ in range(3))) for t in range(150)]
+    turns = spark.createDataFrame(rows, TURNS)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parsed = chat.parse(transcript_lines(turns), ("known",)).orderBy("conv", "turn", "line").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = [(r["conv"], r["turn"], r["line"], r["role"], r["begins"], r["rendered"]) for r in parsed]
+    if not hasattr(test_borders_of_partitions_do_not_matter, "first"):
+        test_borders_of_partitions_do_not_matter.first = got
+    assert got == test_borders_of_partitions_do_not_matter.first
+    for conv in {r[0] for r in got}:
+        whole = "".join(r[5] for r in got if r[0] == conv)
+        assert whole.count("<|end|>\n") == whole.count("<|user|>\n") + whole.count("<|assistant|>\n") + whole.count("<|system|>\n")
+        assert whole.endswith("<|end|>\n") and whole.startswith("<|")
+
+
+def test_marked_roles_are_recovered(spark):
+    lines = transcript_lines(spark.createDataFrame(conversations(80), TURNS)).cache()
+    parsed = chat.parse(lines, ("known", "text")).collect()
+    marked = [r for r in parsed if any(r["text"].startswith(m) for m in ("User:", "Human:", "AI:", "Assistant:", "###"))]
+    assert len(marked) > 50
+    assert sum(r["known"] == r["role"] for r in marked) > 0.97 * len(marked)
+    assert not any("User: " in r["rendered"] for r in marked if r["role"] == "user" and r["begins"])
+
+
+def test_odd_rows(spark):
+    rows = [(None, 0, "user", "a"), (None, 0, "user", "a"), (1, None, None, None), (1, 0, "assistant", ""), (2, 0, "narrator", "x" * 100_000), (3, 0, "user", "User:"), (4, 1, "system", "\n\n")]
+    parsed = chat.parse(transcript_lines(spark.createDataFrame(rows, TURNS))).collect()
+    assert len(parsed) == 2 + 1 + 1 + 1 + 1 + 3 + parsed_markers(rows)
+    assert {r["conv"] for r in parsed} == {None, 1, 2, 3, 4}
+    assert all(r["role"] in chat.ROLES for r in parsed)
+    empty = transcript_lines(spark.createDataFrame([], TURNS))
+    assert chat.parse(empty).count() == 0
+
+
+def parsed_markers(rows):
+    """Lines that markers of their own line add, by the style of the conversation."""
+    import zlib
+
+    style = lambda c: zlib.crc32(("" if c is None else str(c)).encode()) % 4
+    return sum(style(c) == 2 and role in ("system", "user", "assistant") for c, _, role, _ in rows)
+
+
+def test_extra_columns_are_kept(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "hello there")], TURNS)
+    from pyspark.sql import functions as F
+
+    lines = transcript_lines(turns).withColumns({"rendered": F.lit("theirs"), "state": F.lit(9), "ask": F.lit("x")})
+    got = chat.parse(lines.drop("rendered")).first()
+    assert "hello there" in got["rendered"]

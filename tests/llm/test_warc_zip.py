@@ -28,7 +28,9 @@ def wanted(pages):
     return sorted(out, key=str)
 
 
-def test_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("sent", [0, Z.SENT_DIGESTS])
+def test_round_trip(spark, tmp_path, monkeypatch, sent):
+    monkeypatch.setattr(Z, "SENT_DIGESTS", sent)
     df = spark.createDataFrame(PAGES, "page_id long, url string, html string").selectExpr("*", "'x' AS payload", "1 AS record_type")
     path = f"file://{tmp_path}/out"
     Z.write_packages(df.repartition(3), path)
