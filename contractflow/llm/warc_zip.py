@@ -33,6 +33,7 @@ DOS_DATE = (1 << 5) | 1  # 1980-01-01
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 RANGE = 8 << 20
+SENT_DIGESTS = 500_000  # of about sixty bytes each
 
 
 def payload_digest(payload: bytes) -> str:
@@ -129,12 +130,17 @@ def write_packages(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     A null html is an empty payload. A null page_id comes after all others: it revisits a page that has one,
     and among themselves such pages are all responses. Rows that repeat a page_id with its payload are
     one capture and are all responses if that page_id is the smallest. A null url has no target.
+
+    Payloads that occur twice or more are known by their digests. Up to ``SENT_DIGESTS`` of them are sent to
+    all tasks, so that no payload is shuffled; more are joined, where adaptive execution splits a hot one.
     """
     rows = pages.select(F.col(f"`{page_id}`").alias("page"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("key", F.unhex(F.sha2("payload", 256)))
-    first = rows.groupBy("key").agg(F.min("page").alias("first"))
-    known = rows.join(first, "key")
-    known = known.select(F.col("page").cast("string"), "url", "payload", F.col("first").cast("string"), (~F.col("page").eqNullSafe(F.col("first"))).alias("again"))
+    repeated = rows.groupBy("key").agg(F.min("page").alias("first"), F.count("*").alias("held")).where("held > 1")
+    repeated = written(repeated, "digests", thin=True)
+    known = rows.join(F.broadcast(repeated) if repeated.count() <= SENT_DIGESTS else repeated, "key", "left")
+    again = F.col("held").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
+    known = known.select(F.col("page").cast("string"), "url", "payload", F.col("first").cast("string"), again.alias("again"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def records() -> Iterator[bytes]:
