@@ -15,7 +15,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractflow.llm.store import written
 from contractflow.llm.text import NOT_SPACE, U64, append, byte_table, edges, find_words, mix, row_of, run_hashes, utf8, windows
 
 SYMBOLS = byte_table(*[(b, b) for b in b"#*$%&|<>"])
@@ -145,20 +144,19 @@ def learn(voted: DataFrame, names: tuple[str, ...]) -> LabelModel:
     return fit(patterns, np.array([r["n"] for r in rows]), names)
 
 
-def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, keep_text: bool = True) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """docs with features, votes, ``base_failed``, ``posterior`` and ``kept``.
 
     A null or empty text has no words and fails the base rule. Repeated rows are judged one by one and
-    alike. A column of docs whose name is one of the new names gives way to the new one. The measured
-    table is written once to the shared folder, as its votes are read twice; without ``keep_text`` it has no text.
+    alike. A column of docs whose name is one of the new names gives way to the new one. Texts are measured twice,
+    once to learn from all votes and once to judge: that moves and stores nothing but pattern counts.
     """
     n = F.col("n_words")
     votes = rules()
     taken = ["base_failed", "posterior", "kept", *[f"vote_{k}" for k in votes]]
     measured = features(docs.drop(*[c for c in docs.columns if c.lower() in taken and c != text]), text)
-    measured = measured if keep_text else measured.drop(text)
     failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
-    voted = written(measured.select("*", *[v.alias(f"vote_{k}") for k, v in votes.items()], failed.alias("base_failed")), "quality")
+    voted = measured.select("*", *[v.alias(f"vote_{k}") for k, v in votes.items()], failed.alias("base_failed"))
     model = learn(voted, tuple(votes))
     scored = voted.withColumn("posterior", model.posterior())
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))

@@ -97,7 +97,7 @@ def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     model = fit(docs.where(~out))
     return label(docs.select("doc_id", out.alias("held_out"), "text"), model).drop("text", "lang_spans")
 
@@ -112,7 +112,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(docs, keep_text=False).select("doc_id", *base, "base_failed", "kept", "posterior")
+    return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
 SHARD_BYTES = 64 << 20
