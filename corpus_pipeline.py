@@ -21,6 +21,12 @@ from contractflow.llm.quality import judge
 from contractflow.llm.store import written
 
 TOKENIZER = "word_bpe_49k.json"
+SENT_ROWS = 500_000  # of about fifty bytes each
+
+
+def few_rows(spark: SparkSession) -> None:
+    """Hand texts to Python a thousand rows at a time, so that tasks hold little of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
 def apart(docs: DataFrame) -> DataFrame:
@@ -38,35 +44,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model learns from the rows with a label, of this stage's own input.
     """
+    few_rows(spark)
     found = label(apart(docs), fit(docs))
     return together(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that fail the base rule or are more probably bad than good."""
+    few_rows(spark)
     return together(judge(apart(docs)).where("kept"), docs)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves of each group of near copies the row with the smallest doc_id, and of repeated rows one.
 
-    Near copies share 85 % of their four-word shingles. Rows with a null doc_id come after all others.
+    Near copies share 85 % of their four-word shingles. Rows with a null doc_id come after all others; rows
+    that share their doc_id but differ otherwise are told apart by a hash of all columns. Up to ``SENT_ROWS``
+    rows that go are sent to all tasks, so that no text is shuffled; more are joined.
     """
-    rows = written(apart(docs).withColumn("__at", F.monotonically_increasing_id()), "rows")
-    key = F.struct(F.col("__row")["doc_id"].isNull().alias("none"), F.col("__row")["doc_id"].alias("doc_id"), F.col("__at").alias("at"))
-    classes = near_duplicates(rows.select(key.alias("doc_id"), "text"))
-    stay = classes.where("doc_id.at = component_id.at").select(F.col("doc_id.at").alias("__at"))
-    return together(rows.join(stay, "__at"), docs)
+    few_rows(spark)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
+    keyed = docs.withColumn("__key", key)
+    classes = written(near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text")), "classes")
+    goes = written(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct(), "goes", thin=True)
+    kept = keyed.join(F.broadcast(goes) if goes.count() <= SENT_ROWS else goes, "__key", "left_anti")
+    if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["__key"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in which ten words in a row of a benchmark item occur, or all of a shorter item."""
+    few_rows(spark)
     found = decontaminate(apart(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return together(found.where(~F.col("contaminated")), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document, with its place in a sequence of at most 4096 tokens."""
+    few_rows(spark)
     return pack(docs, public_tokenizers.path(TOKENIZER))
 
 
