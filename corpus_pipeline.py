@@ -22,6 +22,7 @@ from contractflow.llm.store import written
 
 TOKENIZER = "word_bpe_49k.json"
 SENT_ROWS = 500_000  # of about fifty bytes each
+NEAR_WORDS, NEAR_PERCENT = 5, 80  # near copies in the pipeline; the query op9 has limits of its own
 
 
 def few_rows(spark: SparkSession) -> None:
@@ -58,14 +59,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves of each group of near copies the row with the smallest doc_id, and of repeated rows one.
 
-    Near copies share 85 % of their four-word shingles. Rows with a null doc_id come after all others; rows
+    Near copies share 80 % of their five-word shingles or more. Rows with a null doc_id come after all others; rows
     that share their doc_id but differ otherwise are told apart by a hash of all columns. Up to ``SENT_ROWS``
     rows that go are sent to all tasks, so that no text is shuffled; more are joined.
     """
     few_rows(spark)
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
     keyed = docs.withColumn("__key", key)
-    classes = written(near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text")), "classes")
+    classes = written(near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), size=NEAR_WORDS, percent=NEAR_PERCENT), "classes")
     goes = written(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct(), "goes", thin=True)
     kept = keyed.join(F.broadcast(goes) if goes.count() <= SENT_ROWS else goes, "__key", "left_anti")
     if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():

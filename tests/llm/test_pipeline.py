@@ -61,6 +61,24 @@ def test_stages(spark, sf_dir):
     assert len({r["sequence_id"] for r in packed}) == one_by_one([r["length"] for r in packed], 4096)
 
 
+def test_near_copies_share_five_words_and_four_fifths(spark):
+    base = [f"w{i}" for i in range(500)]
+
+    def changed(times):
+        return " ".join(f"c{i}" if i % 40 == 20 and i // 40 < times else w for i, w in enumerate(base))
+
+    other = [f"v{i}" for i in range(500)]
+    texts = [" ".join(base), changed(11), " ".join(other), " ".join(other[:410])]
+    far = [f"u{i}" for i in range(500)]
+    texts += [" ".join(far), " ".join(f"c{i}" if i % 40 == 20 else w for i, w in enumerate(far))]  # 12 words: 0.780
+    rows = [(i, t, "en", "s", 1, "theirs", "theirs", "theirs", "theirs") for i, t in enumerate(texts)]
+    kept = P.jaccard_join(spark, spark.createDataFrame(rows, DOC), "").collect()
+    assert sorted(r["doc_id"] for r in kept) == [0, 2, 4, 5]
+    classes = plain_classes(list(range(6)), texts, size=5, percent=80)
+    assert sorted({c[2] for c in classes}) == [0, 2, 4, 5]
+    assert len({c[2] for c in plain_classes(list(range(6)), texts)}) == 6
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOC).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
