@@ -8,6 +8,7 @@ empty texts are rejected by the first stage (they have no language), repeated ro
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -41,13 +42,16 @@ def together(held: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts of which no language has half of the letters.
+    """Rejects texts without a letter, and nothing else.
 
-    The model learns from the rows with a label, of this stage's own input.
+    A text in several languages is kept, however its letters are shared out. The model learns from the rows with a
+    label, of this stage's own input; if they teach it no language, every word is of one unknown language.
     """
     few_rows(spark)
-    found = label(apart(docs), fit(docs))
-    return together(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)), docs)
+    model = fit(docs)
+    if not model.languages:
+        model = replace(model, languages=[UNKNOWN])
+    return together(label(apart(docs), model).where("score > 0"), docs)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,6 +79,24 @@ def test_near_copies_share_five_words_and_four_fifths(spark):
     assert len({c[2] for c in plain_classes(list(range(6)), texts)}) == 6
 
 
+def language_rows(spark, rows):
+    return spark.createDataFrame([(i, t, lang, "s", 1, "theirs", "theirs", "theirs", "theirs") for i, (t, lang) in enumerate(rows)], DOC)
+
+
+def test_without_any_label_only_letterless_texts_go(spark):
+    for lettered in ([("some words", None), ("жук", None)], [("some words", None), ("жук", None), ("12 34", "en")]):
+        docs = language_rows(spark, [*lettered, ("12 34 !", None), ("", None), (None, None)])
+        assert {r["text"] for r in P.language_id(spark, docs, "").collect()} == {"some words", "жук"}
+
+
+def test_texts_of_many_languages_stay(spark):
+    known = [("the quick brown fox", "en"), ("быстрая лиса бежит", "ru"), ("γρήγορη αλεπού τρέχει", "el"), ("שועל מהיר רץ", "he")]
+    mixed = " ".join(t for t, _ in known)
+    docs = language_rows(spark, [*known, (mixed, None), ("12", None)])
+    assert P.label(docs, P.fit(docs)).where("text = '" + mixed + "'").first()["score"] < 0.5
+    assert {r["doc_id"] for r in P.language_id(spark, docs, "").collect()} == {0, 1, 2, 3, 4}
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOC).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
