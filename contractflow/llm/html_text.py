@@ -26,13 +26,17 @@ CLOSES = {  # a start tag and the open elements that it ends, not looking beyond
     "dd": ({"dt", "dd"}, {"dl"}),
     "option": ({"option"}, {"select", "datalist"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}),
-    "td": ({"td", "th"}, {"table", "tr"}),
-    "th": ({"td", "th"}, {"table", "tr"}),
+    "td": ({"td", "th", "caption"}, {"table", "tr"}),
+    "th": ({"td", "th", "caption"}, {"table", "tr"}),
     "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+SECTIONS = frozenset({"thead", "tbody", "tfoot"})
+CELLS = frozenset({"td", "th"})
+PARENTS = {"td": SECTIONS | {"tr", "table"}, "th": SECTIONS | {"tr", "table"}, "tr": SECTIONS | {"table"}, **dict.fromkeys(SECTIONS, frozenset({"table"}))}
+SEALED = frozenset({"td", "th", "caption", "template", "svg", "noscript", "iframe"})  # what is in these belongs to no table around them
 CELL_BARRIERS = frozenset({"table", "td", "th", "caption"})
 HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.IGNORECASE)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -76,16 +80,35 @@ class Tree(HTMLParser):
         while found is not None and len(self.open) > found:
             self._pop()
 
+    def _push(self, node: Node) -> None:
+        self.open[-1].children.append(node)
+        if node.tag not in VOID:
+            self.open.append(node)
+            self.count[node.tag] = self.count.get(node.tag, 0) + 1
+
+    def _into_table(self, tag: str) -> None:
+        """End what stands between a part of a table and the part that holds it; imply the row of a cell."""
+        parents = PARENTS[tag]
+        if not any(self.count.get(t) for t in parents):
+            return
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.open[i].tag in parents:
+                while len(self.open) > i + 1:
+                    self._pop()
+                if tag in CELLS and self.open[-1].tag != "tr":
+                    self._push(Node("tr", {}))
+                return
+            if self.open[i].tag in SEALED:
+                return
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK and self.count.get("p"):
             self._end_within({"p"}, CELL_BARRIERS)
         if tag in CLOSES:
             self._end_within(*CLOSES[tag])
-        node = Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
-        if tag not in VOID:
-            self.open.append(node)
-            self.count[tag] = self.count.get(tag, 0) + 1
+        if tag in PARENTS:
+            self._into_table(tag)
+        self._push(Node(tag, dict(attrs)))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML has no self-closing elements but the void ones
@@ -172,27 +195,38 @@ class Page:
                 self.word(line)
 
 
-def rows_of(table: Node) -> list[Node]:
-    """The rows of a table, those of nested tables left out."""
-    rows, todo = [], [table]
+def table_parts(table: Node) -> tuple[list[list[Node]], list[list]]:
+    """The cells of each row of a table, and by runs all else that stands in the table, its sections and its rows."""
+    rows: list[list[Node]] = []
+    loose: list[list] = [[]]
+    todo: list[object] = list(reversed(table.children))
     while todo:
         node = todo.pop()
-        for child in reversed(node.children):
-            if isinstance(child, Node) and not child.hidden and child.tag in ("thead", "tbody", "tfoot", "tr"):
-                todo.append(child)
-        if node.tag == "tr":
-            rows.append(node)
-    return rows
+        if node is None:  # the end of a section or row
+            loose.append([])
+        elif isinstance(node, Node) and (node.tag == "tr" or node.tag in SECTIONS or node.tag in CELLS):
+            if node.hidden:
+                continue
+            loose.append([])
+            if node.tag in CELLS:
+                rows[-1].append(node)
+                continue
+            if node.tag == "tr":
+                rows.append([])
+            todo.append(None)
+            todo.extend(reversed(node.children))
+        else:
+            loose[-1].append(node)
+    return rows, [run for run in loose if run]
 
 
-def table_lines(rows: list[Node], depth: int) -> list[str]:
+def table_lines(rows: list[list[Node]], depth: int) -> list[str]:
     """Rows of cells in aligned columns; a cell of several lines takes as many lines of the page.
 
     A cell over several columns widens none of them.
     """
     grid: list[list[tuple[list[str], int]]] = []
-    for row in rows:
-        cells = [c for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden]
+    for cells in rows:
         texts = [([line for line in render(c, depth + 1) if line.strip()], c.span) for c in cells]
         if any(lines for lines, _ in texts):
             grid.append(texts)
@@ -247,10 +281,9 @@ def render(top: Node, depth: int = 0) -> list[str]:
             if tag == "br":
                 page.newline()
                 continue
-            if tag == "table" and depth < DEEPEST and (rows := rows_of(node)):
+            if tag == "table" and depth < DEEPEST and (parts := table_parts(node))[0]:
                 page.block(2)
-                kept = {id(r) for r in rows}
-                loose = [c for c in node.children if not (isinstance(c, Node) and (id(c) in kept or c.tag in ("thead", "tbody", "tfoot", "colgroup")))]
+                rows, loose = parts
                 for line in [*_loose(loose, depth), *table_lines(rows, depth)]:
                     page.word(line)
                     page.flush()
@@ -283,11 +316,14 @@ def _space(tag: str, lists: list) -> int:
     return 2 if tag in SPACED and not (lists and tag in ("ul", "ol", "menu", "dir", "p")) else 1
 
 
-def _loose(nodes: list, depth: int) -> list[str]:
-    """Text of a table outside its rows, such as a caption."""
-    holder = Node("div", {})
-    holder.children = nodes
-    return [line for line in render(holder, depth) if line]
+def _loose(runs: list[list], depth: int) -> list[str]:
+    """Text of a table outside its cells, such as a caption; it stands before the rows, where browsers show it."""
+    out = []
+    for nodes in runs:
+        holder = Node("div", {})
+        holder.children = nodes
+        out += [line for line in render(holder, depth + 1) if line]
+    return out
 
 
 def page_text(html: str | None) -> str:

@@ -31,6 +31,35 @@ def test_pages(html):
     assert page_text(html) == CASES[html]
 
 
+TABLES = {
+    "<table><thead><th>Name<th>Age</thead><tr><td>Al<td>7</table>": "Name | Age\nAl   | 7",
+    "<table><td>a<td>b<tr><td>c<td>d</table>": "a | b\nc | d",
+    "<table><caption>cap<td>a<tr><td>b</table>": "cap\na\nb",
+    "<table><colgroup><col><tr><td>a<td>b</table>": "a | b",
+    "<table><colgroup>odd</colgroup><tr><td>a</table>": "odd\na",
+    "<table><tr><form><td>x</td></form><td>y</td></tr></table>": "x | y",
+    "<table><tr><div><b>t<td>x</td></b></div><td>y</td></tr></table>z": "t\nx | y\n\nz",
+    "<table><form><tr><td>x</td></tr></form><tr><td>y</table>": "x\ny",
+    "<table><tr>one<td>x</td>two</tr>three<tr><td>y</table>": "one\ntwo\nthree\nx\ny",
+    "<table><tbody>in body<tr><td>x</tbody></table>": "in body\nx",
+    "<table><tr><td>x</td><p>par</p><ul><li>item</ul></tr></table>": "par\n- item\nx",
+    "<table><tr><td>x</td><table><tr><td>inner</table></tr></table>": "inner\nx",
+    "<table><tr>only text</tr></table>": "only text",
+    "<table><tr hidden><td>h</td></tr><tr><template><td>t</td></template><td>x</td><script>s</script></table>": "x",
+}
+
+
+@pytest.mark.parametrize("html", TABLES)
+def test_no_text_of_a_table_is_lost(html):
+    assert page_text(html) == TABLES[html]
+
+
+def test_deep_tables_without_cells():
+    assert page_text("<table><tr>" * 3_000 + "x") == "x"
+    assert page_text("<table><tr><td>a</td>" * 300).count("a") == 300
+    assert page_text("<table><tr>" + "<form><td>y</td></form>" * 2_000).count("y") == 2_000
+
+
 def test_deep_and_long_pages():
     assert page_text("<div>" * 50_000 + "x") == "x"
     assert page_text("<table><tr><td>" * 3_000 + "x") == "x"
