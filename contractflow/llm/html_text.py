@@ -37,6 +37,7 @@ SECTIONS = frozenset({"thead", "tbody", "tfoot"})
 CELLS = frozenset({"td", "th"})
 PARENTS = {"td": SECTIONS | {"tr", "table"}, "th": SECTIONS | {"tr", "table"}, "tr": SECTIONS | {"table"}, **dict.fromkeys(SECTIONS, frozenset({"table"}))}
 SEALED = frozenset({"td", "th", "caption", "template", "svg", "noscript", "iframe"})  # what is in these belongs to no table around them
+HEAD = frozenset("title meta link style script base noscript template".split())  # start tags that do not end an open head
 CELL_BARRIERS = frozenset({"table", "td", "th", "caption"})
 HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.IGNORECASE)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -102,6 +103,8 @@ class Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open[-1].tag == "head" and tag not in HEAD:
+            self._pop()
         if tag in BLOCK and self.count.get("p"):
             self._end_within({"p"}, CELL_BARRIERS)
         if tag in CLOSES:
@@ -132,6 +135,8 @@ class Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and BLANKS.sub("", data):
+            self._pop()
         self.open[-1].children.append(data)
 
     def unknown_decl(self, data: str) -> None:

@@ -54,6 +54,24 @@ def test_no_text_of_a_table_is_lost(html):
     assert page_text(html) == TABLES[html]
 
 
+HEADS = {
+    "<html><head><title>T</title><p>Hello <b>you</b><p>there": "Hello you\n\nthere",
+    "<head><meta charset=x><link rel=y><style>s</style><script>s</script><template><p>t</p></template>\n<div>a</div>b": "a\nb",
+    "<head>\n <title>T</title>\n plain <i>text</i>": "plain text",
+    "<head><title>T</title></head>\n<p>a": "a",
+    "<head><title>T</title><table><tr><td>a<td>b</table>": "a | b",
+    "<p>a<head>b": "ab",
+    "<head><title>T</title><body>a": "a",
+    "<head><noscript><p>n</p></noscript><base href=x>&nbsp;a": "\xa0a",
+    "<head><title>T</title></head>": "",
+}
+
+
+@pytest.mark.parametrize("html", HEADS)
+def test_an_open_head_ends_where_the_page_begins(html):
+    assert page_text(html) == HEADS[html]
+
+
 def test_deep_tables_without_cells():
     assert page_text("<table><tr>" * 3_000 + "x") == "x"
     assert page_text("<table><tr><td>a</td>" * 300).count("a") == 300
