@@ -9,7 +9,7 @@ which sums over prefixes give for all depths at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contractflow.llm.store import written
@@ -68,10 +68,39 @@ def directory(shards: DataFrame) -> DataFrame:
     return buckets.select("shard", rest.alias("rest"), number.alias("number")).select(F.concat("shard", F.when(F.col("rest") > 0, F.lpad(F.bin("number"), F.col("rest"), F.lit("0"))).otherwise("")).alias("entry"), "shard")
 
 
-def write_shards(docs: DataFrame, shards: DataFrame, path: str, key: str = "doc_id") -> None:
+def numbered(rows: DataFrame, kind: list[str]) -> DataFrame:
+    """rows with ``n``, counting the rows that are alike in the columns ``kind``, by ``row``, a row number in a written table.
+
+    Rows are counted by input partition and partitions get offsets, so that no task sorts all rows of a hot key.
+    """
+    part = rows.withColumn("part", F.shiftright("row", 33))
+    place = F.row_number().over(Window.partitionBy(*kind, "part").orderBy("row"))
+    before = F.sum("held").over(Window.partitionBy(*kind).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = part.groupBy(*kind, "part").agg(F.count("*").alias("held"))
+    offsets = counts.select(*[F.col(c).alias(f"_{c}") for c in [*kind, "part"]], F.coalesce(before, F.lit(0)).alias("offset"))
+    same = [part[c].eqNullSafe(offsets[f"_{c}"]) for c in [*kind, "part"]]
+    return part.withColumn("place", place).join(offsets, same).select(*kind, "row", (F.col("offset") + F.col("place")).alias("n"))
+
+
+def write_shards(docs: DataFrame, shards: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
     """Write docs into one folder per shard (``shard=<bits>``, ``shard=all`` for the empty prefix).
 
-    Keys must be distinct and not null here.
+    ``shards`` is what :func:`shard` returned for docs. Every row of docs is written once, null and repeated keys
+    included: rows of one key that lie in several shards are dealt to them by size, so that each shard holds
+    the rows and bytes that ``shards`` gives it. A row that ``shards`` lacks raises. docs are copied
+    once to the shared folder, so that their row numbers hold.
     """
-    named = shards.select(key, F.when(F.col("depth") == 0, "all").otherwise(F.col("shard")).alias("shard"))
-    docs.join(named, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    size = F.coalesce(F.octet_length(F.col(f"`{text}`").cast("string")), F.lit(0)).cast("long")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{key}`").alias("key"), size.alias("n_bytes"))
+    held = written(held.withColumn("row", F.monotonically_increasing_id()), "docs")
+    name = F.when(F.col("depth") == 0, "all").otherwise(F.col("shard"))
+    named = shards.select(F.col(f"`{key}`").alias("key"), "n_bytes", name.alias("shard"))
+    named = written(named.withColumn("row", F.monotonically_increasing_id()), "named")
+    kind = ["key", "n_bytes"]
+    places = numbered(held.select(*kind, "row"), kind)
+    targets = numbered(named, kind).join(named.select("row", "shard"), "row").select(*[F.col(c).alias(f"_{c}") for c in [*kind, "n"]], "shard")
+    same = [places[c].eqNullSafe(targets[f"_{c}"]) for c in [*kind, "n"]]
+    found = written(places.join(targets, same).select("row", "shard"), "places", thin=True)
+    lost = F.raise_error(F.lit("shards lacks a row of docs")).cast("string")
+    out = held.join(found, "row", "left").select("doc.*", F.coalesce("shard", lost).alias("shard"))
+    out.repartition("shard").write.partitionBy("shard").parquet(path)

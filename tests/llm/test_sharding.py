@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from contractflow.llm.sharding import directory, shard, write_shards
 from tests.llm.support import ODD_TEXTS, clashing, documents
@@ -58,3 +60,27 @@ def test_written_folders(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert back.count() == 20
     assert back.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).where("n > 100").count() == 0
+
+
+def test_written_rows_of_null_and_repeated_keys(spark, tmp_path):
+    texts = [("t%03d" % i) * (1 + i % 5) for i in range(200)] + [None, "", "same", "same"]
+    ids = [7 if i < 120 else None if i < 160 else i for i in range(200)] + [None, 7, 7, 7]
+    docs = clashing(documents(spark, texts, ids=ids), "key", "n", "row", "part").repartition(5)
+    for limit in (10**6, 300, 40):
+        rows = shard(docs, limit=limit)
+        path = f"{tmp_path}/{limit}"
+        write_shards(docs, rows, path)
+        back = spark.read.option("basePath", path).schema(StructType([*docs.schema.fields, StructField("shard", StringType())])).parquet(path)
+        wanted = sorted(zip(ids, texts, strict=True), key=str)
+        assert sorted(((r["doc_id"], r["text"]) for r in back.collect()), key=str) == wanted
+        size = F.coalesce(F.octet_length("text"), F.lit(0))
+        got = {r["shard"]: (r["n"], r["b"]) for r in back.groupBy("shard").agg(F.count("*").alias("n"), F.sum(size).alias("b")).collect()}
+        said = {r["shard"] or "all": (r["shard_docs"], r["shard_bytes"]) for r in rows.select("shard", "shard_docs", "shard_bytes").distinct().collect()}
+        assert got == said
+        assert all(b <= limit or n == 1 for n, b in got.values())
+
+
+def test_row_without_a_shard_raises(spark, tmp_path):
+    docs = documents(spark, ["a", "b"])
+    with pytest.raises(Exception, match="lacks a row"):
+        write_shards(docs, shard(docs).where("doc_id = 0"), f"{tmp_path}/out")
