@@ -118,20 +118,51 @@ def inject_duplicates(
 
     Hit are the rows whose key number mod 100 is among the last ``pct``; the number is an integer key
     itself, the hash of any other key, or ``number``. Rows are dealt into ``groups`` by their hundred, and in each
-    group the n-th hit row takes from the n-th other row. A hit without a source is left as it is and is
-    not listed in ``injected_defects``, which goes on from one that is there.
+    group the n-th hit row takes from the n-th other row; hits that are left over take the sources that other groups
+    have left over. A row without a key or a number is no hit and no source. Only a hit for which the whole table has
+    no source is left as it is and is not listed in ``injected_defects``, which goes on from one that is there.
+
+    Rows are numbered by counts of small cells (one key and 1,024th of the row hashes), so one key in all rows
+    meets in no task; only full copies of one row do. ``df`` is read several times and must give the same rows each time.
     """
     if not 0 < pct <= 50:
         raise ValueError("pct must lie in 1..50: every duplicate needs a source of its own")
     if number is None:
         number = F.col(key) if isinstance(df.schema[key].dataType, T.IntegralType) else F.xxhash64(key)
-    hit = F.pmod(number, F.lit(100)) >= 100 - pct
-    group = F.floor(F.pmod(number, F.lit(100 * groups)) / 100)  # the division is exact below 2**53
-    order = Window.partitionBy("__group", "__hit").orderBy("__number", key)
-    ranked = df.withColumns({"__number": number, "__hit": F.coalesce(hit, F.lit(False)), "__group": group})
-    ranked = ranked.withColumn("__rank", F.row_number().over(order))
-    sources = ranked.where(~F.col("__hit")).select("__group", "__rank", F.lit(True).alias("__hit"), F.col(column).alias("__source"), F.lit(True).alias("__found"))
-    joined = ranked.join(sources, ["__group", "__rank", "__hit"], "left")
+    hashed = [f"`{f.name}`" for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    whole = df.withColumns({
+        "__number": number,
+        "__hit": F.pmod(number, F.lit(100)) >= 100 - pct,
+        "__group": F.floor(F.pmod(number, F.lit(100 * groups)) / 100),  # the division is exact below 2**53
+        "__key": F.col(key),
+        "__salt": F.pmod(F.xxhash64(*hashed), F.lit(1024)),
+    })
+    keyed = F.col("__key").isNotNull() & F.col("__number").isNotNull()
+    ranked, rest = whole.where(keyed), whole.where(~keyed)
+    cell, side = ["__number", "__key", "__salt"], ["__group", "__hit"]
+    cells = ranked.groupBy(*side, *cell).agg(F.count("*").alias("__held")).withColumn("__hundred", F.floor(F.col("__number") / 100))
+
+    def before(order: list[str], *within: str) -> Column:
+        return F.coalesce(F.sum("__held").over(Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    hundreds = cells.groupBy(*side, "__hundred").agg(F.sum("__held").alias("__held"))
+    hundreds = hundreds.select(*side, "__hundred", before(["__hundred"], *side).alias("__first"))
+    cells = cells.withColumn("__in", before(cell, *side, "__hundred")).join(hundreds, [*side, "__hundred"])
+    cells = cells.select(*cell, (F.col("__first") + F.col("__in")).alias("__before"))
+    place = F.row_number().over(Window.partitionBy(*cell).orderBy("__key"))
+    ranked = ranked.withColumn("__place", place).join(cells, cell).withColumn("__rank", F.col("__before") + F.col("__place"))
+
+    # what one side of a group has beyond the other is numbered on through all groups
+    sums = whole.where(keyed).groupBy("__group").agg(F.count_if("__hit").alias("__hits"), F.count_if(~F.col("__hit")).alias("__others"))
+    over = [(True, F.col("__hits") - F.col("__others"), F.col("__others")), (False, F.col("__others") - F.col("__hits"), F.col("__hits"))]
+    sides = [sums.select("__group", F.lit(h).alias("__hit"), F.greatest(n, F.lit(0)).alias("__held"), met.alias("__met")) for h, n, met in over]
+    sides = sides[0].union(sides[1])
+    sides = sides.select(*side, "__met", before(["__group"], "__hit").alias("__past"))
+    ranked = ranked.join(sides, side)
+    own = F.col("__rank") <= F.col("__met")
+    ranked = ranked.withColumns({"__slot": F.when(own, F.col("__group")).otherwise(-1), "__rank": F.when(own, F.col("__rank")).otherwise(F.col("__past") + F.col("__rank") - F.col("__met"))})
+    sources = ranked.where(~F.col("__hit")).select("__slot", "__rank", F.lit(True).alias("__hit"), F.col(column).alias("__source"), F.lit(True).alias("__found"))
+    joined = ranked.join(sources, ["__slot", "__rank", "__hit"], "left").unionByName(rest, allowMissingColumns=True)
     done = F.coalesce("__found", F.lit(False))
     before = F.col(INJECTED) if INJECTED in df.columns else F.array().cast("array<string>")
     changed = {column: F.when(done, F.col("__source")).otherwise(F.col(column)), INJECTED: F.concat(before, F.when(done, F.array(F.lit(name))).otherwise(F.array().cast("array<string>")))}

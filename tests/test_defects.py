@@ -109,6 +109,24 @@ def test_duplicates_on_sparse_and_text_keys_exist(spark):
         assert str(key) == str(F.lit("same")) or hit.count() > 300
 
 
+def test_hits_of_a_hot_key_take_sources_of_other_groups(spark):
+    key = F.when(F.col("id") < 300, 99).when(F.col("id") < 600, None).otherwise(F.col("id") * 100)
+    df = spark.range(3000).withColumn("key", key).withColumn("dup", F.col("id"))
+    got = inject_duplicates(df, "key", "dup", 15, groups=8)
+    hit = got.filter("array_contains(injected_defects, 'duplicate')")
+    assert got.count() == 3000 and sorted(r["id"] for r in hit.collect()) == list(range(300))
+    assert hit.select("dup").distinct().count() == 300
+    assert hit.where("dup < 600").count() == 0
+    assert got.where("key IS NULL AND dup = id AND size(injected_defects) = 0").count() == 300
+
+
+def test_null_text_keys_are_no_sources(spark):
+    df = spark.range(400).withColumn("key", F.when(F.col("id") >= 200, F.col("id").cast("string"))).withColumn("dup", F.col("id"))
+    got = inject_duplicates(df, "key", "dup", 40)
+    assert got.count() == 400 and got.where("dup < 200 AND id >= 200").count() == 0
+    assert got.where("size(injected_defects) > 0").count() > 40
+
+
 def test_arithmetic_duplicates_refuse_other_keys(spark, rows):
     with pytest.raises(ValueError, match="no integer"):
         inject(rows.withColumn("s", F.col("v")), "s", [duplicate_key("dup", 15)])
