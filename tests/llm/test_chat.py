@@ -62,7 +62,7 @@ def test_borders_of_partitions_do_not_matter(spark, partitions):
 
 
 def test_marked_roles_are_recovered(spark):
-    lines = transcript_lines(spark.createDataFrame(conversations(80), TURNS)).cache()
+    lines = transcript_lines(spark.createDataFrame(conversations(80), TURNS))
     parsed = chat.parse(lines, ("known", "text")).collect()
     marked = [r for r in parsed if any(r["text"].startswith(m) for m in ("User:", "Human:", "AI:", "Assistant:", "###"))]
     assert len(marked) > 50
