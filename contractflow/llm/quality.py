@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contractflow.llm.text import NOT_SPACE, U64, append, byte_table, edges, find_words, mix, row_of, run_hashes, utf8, windows
+from contractflow.llm.text import NOT_SPACE, U64, Words, append, byte_table, edges, find_words, intern, mix, row_of, same_runs, utf8, windows
 
 SYMBOLS = byte_table(*[(b, b) for b in b"#*$%&|<>"])
 GOOD, BAD, ABSTAIN = 1, -1, 0
@@ -28,6 +28,24 @@ LETTERS = byte_table((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 SENTENCE_END = byte_table(*[(b, b) for b in b".!?"])
 
 
+def repeated_windows(words: Words, size: int) -> np.ndarray:
+    """The first words of the windows whose words occur, in this order, twice or more in their text."""
+    hashes, at = windows(words.hashes(), words.text, size)
+    keys = mix(hashes ^ mix(words.text[at].astype(U64) + U64(1)))
+    _, first, which, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    twice = np.flatnonzero(times[which] > 1)
+    one, two = at[twice], at[first[which[twice]]]
+    same = words.text[one] == words.text[two]
+    for j in range(size):
+        same &= same_runs(words.data, words.starts[one + j], words.ends[one + j], words.data, words.starts[two + j], words.ends[two + j])
+    if same.all():
+        return one
+    word, _, _ = intern(words.data, words.starts, words.ends)  # different windows have one hash: count them by their words
+    rows = np.stack([words.text[at], *[word[at + j] for j in range(size)]], 1)
+    _, which, times = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+    return at[times[which.ravel()] > 1]
+
+
 def measure(texts: pa.Array) -> list[np.ndarray]:
     """The counts of FEATURES for each text; a null or empty text has zeros."""
     data, offsets = utf8(texts)
@@ -39,22 +57,18 @@ def measure(texts: pa.Array) -> list[np.ndarray]:
         total = np.concatenate([[0], np.cumsum(flags)])
         return total[offsets[1:]] - total[offsets[:-1]]
 
-    hashes, at = windows(words.hashes(), words.text, 3)
     repeated = np.zeros(len(words.starts), bool)
-    if len(at):
-        keys = mix(hashes ^ mix(words.text[at].astype(U64) + U64(1)))
-        _, which, times = np.unique(keys, return_inverse=True, return_counts=True)
-        twice = at[times[which] > 1]
-        for j in range(3):
-            repeated[twice + j] = True
+    twice = repeated_windows(words, 3)
+    for j in range(3):
+        repeated[twice + j] = True
 
     starts, ends = edges(data != 0x0A, offsets)
     line_text = row_of(offsets, starts)
     with_word = np.add.reduceat(NOT_SPACE[data].astype(np.int64), starts)[: len(starts)] > 0 if len(starts) else np.empty(0, bool)
     starts, ends, line_text = starts[with_word], ends[with_word], line_text[with_word]
-    keys = mix(run_hashes(data, starts, ends) ^ mix(line_text.astype(U64) + U64(1)))
-    again = np.ones(len(keys), bool)
-    again[np.unique(keys, return_index=True)[1]] = False
+    line, _, _ = intern(data, starts, ends)
+    again = np.ones(len(line), bool)
+    again[np.unique(line_text * np.int64(len(line) + 1) + line, return_index=True)[1]] = False
 
     count = lambda index: np.bincount(index, minlength=rows).astype(np.int64)
     return [

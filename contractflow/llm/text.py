@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,10 @@ from pyspark.sql import types as T
 PART_BYTES = 1 << 20
 
 U64 = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so that no power of it vanishes modulo 2**64
 _STEP = U64(0xD6E8FEB86659FD93)
+_KEY = U64(0x243F6A8885A308D3)
+LONG = 512  # bytes; longer runs are hashed and compared one at a time
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)  # the first n bytes of eight
 
 
 def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -48,18 +51,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers = np.ones(1, U64)
-
-
-def powers(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        grown = np.full(max(n, 1024), _BASE, U64)
-        grown[0] = 1
-        _powers = np.cumprod(grown, dtype=U64)
-    return _powers
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows in them; a null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -71,16 +62,66 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; past the end come zeros."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run; the runs do not overlap, are in order and not empty."""
-    if not len(starts):
-        return np.empty(0, U64)
+    """A 64-bit hash of each byte run: eight bytes at a time are mixed in, so that no sum of powers can cancel out.
+
+    Equal hashes only suggest equal bytes: ``same_runs`` tells.
+    """
+    lengths = ends - starts
+    out = mix(lengths.astype(U64) * _STEP + _KEY)
+    long = np.flatnonzero(lengths > LONG)
+    at, live, i = eights(data), np.flatnonzero((lengths > 0) & (lengths <= LONG)), 0
+    while len(live):
+        block = at[starts[live] + i] & _KEEP[np.minimum(lengths[live] - i, 8)]
+        out[live] = mix((out[live] ^ block) + _STEP)
+        i += 8
+        live = live[lengths[live] > i]
+    for j in long.tolist():
+        out[j] = int.from_bytes(blake2b(data[starts[j] : ends[j]], digest_size=8).digest(), "little")
+    return out
+
+
+def same_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, from_: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Whether run i of data has the bytes of run i of the other data."""
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    kept = data if len(place) == len(data) else data[place + np.repeat(starts, lengths)]
-    value = (kept.astype(U64) + U64(1)) * powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(value, first) + lengths.astype(U64) * _STEP)
+    same = lengths == to - from_
+    one, two, live, i = eights(data), eights(other) if other is not data else None, np.flatnonzero(same & (lengths > 0) & (lengths <= LONG)), 0
+    two = one if two is None else two
+    while len(live):
+        keep = _KEEP[np.minimum(lengths[live] - i, 8)]
+        equal = (one[starts[live] + i] & keep) == (two[from_[live] + i] & keep)
+        same[live[~equal]] = False
+        i += 8
+        live = live[equal & (lengths[live] > i)]
+    for j in np.flatnonzero(same & (lengths > LONG)).tolist():
+        same[j] = data[starts[j] : ends[j]].tobytes() == other[from_[j] : to[j]].tobytes()
+    return same
+
+
+def intern(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each byte run, equal for equal bytes only; the first run of each number; that run's hash."""
+    hashes = run_hashes(data, starts, ends)
+    keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    rep = first[which]
+    wrong = np.flatnonzero(~same_runs(data, starts, ends, data, starts[rep], ends[rep]))
+    if len(wrong):
+        names: dict[bytes, int] = {}
+        added = []
+        for i in wrong.tolist():
+            raw = data[starts[i] : ends[i]].tobytes()
+            if raw not in names:
+                names[raw] = len(first) + len(added)
+                added.append(i)
+            which[i] = names[raw]
+        first = np.concatenate([first, added]).astype(np.int64)
+        keys = np.concatenate([keys, hashes[added]])
+    return which, first, keys
 
 
 @dataclass
@@ -137,7 +178,9 @@ def windows(hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray
         return np.empty(0, U64), np.empty(0, np.int64)
     out = hashes[:n] + U64(size)
     for j in range(1, size):
-        out = out * _STEP + hashes[j : j + n]
+        out ^= out >> U64(29)
+        out *= _STEP
+        out += hashes[j : j + n]
     at = np.flatnonzero(text[:n] == text[size - 1 :])
     return mix(out[at]), at
 
