@@ -41,10 +41,10 @@ def components(links: DataFrame) -> DataFrame:
     Null ends, repeated links and links of a node to itself are dropped; no links give no rows.
     """
     pointed = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = written(pointed, "links", thin=True)
+    now = written(pointed, "links")
     state = _print(now)
     while state[0]:
-        now = written(_small_star(_large_star(now)), "links", thin=True)
+        now = written(_small_star(_large_star(now)), "links")
         before, state = state, _print(now)
         if state == before:
             break
@@ -57,10 +57,10 @@ def roots(parents: DataFrame) -> DataFrame:
 
     Nodes look up their parents' parents until nothing changes: as many rounds as the logarithm of the depth.
     """
-    now = written(parents.select("node", F.col("parent").alias("component")), "roots", thin=True)
+    now = written(parents.select("node", F.col("parent").alias("component")), "roots")
     while True:
         above = now.select(F.col("node").alias("component"), F.col("component").alias("higher"))
-        step = written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots", thin=True)
+        step = written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots")
         now = step.drop("moved")
         if step.where("moved").isEmpty():
             break

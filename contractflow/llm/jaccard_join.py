@@ -186,7 +186,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n), sets], [*KEY, "shingles"])
 
     found = written(docs.mapInArrow(run, "sig_a long, sig_b long, n long, shingles array<long>"), "shingles")
-    twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice", thin=True)
+    twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice")
     some = twice.count()
     if not some:
         return found
@@ -208,7 +208,7 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     n - o shingles before it in the one set that the other lacks, so at least o - n + p of the shared ones lie in
     a prefix of p, and the lesser such number in both. And o is no more than either size.
     """
-    ends = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends", thin=True)
+    ends = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
     held = nodes.select("node", "n", "prefix").join(F.broadcast(ends) if ends.count() <= SENT_NODES else ends, "node")
     one, two = (held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
     both = pairs.hint("merge").join(two, F.col("b") == F.col("node_b")).hint("merge").join(one, F.col("a") == F.col("node_a"))
@@ -272,12 +272,12 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     # cells: the pivot with which a set shares most of its prefix; a pivot is the region's least node
     shared = regions.where("node <> pivot").select("node", "pivot").repartition("node").groupBy("node", "pivot").agg(F.count("*").alias("times"))
     cells = shared.groupBy("node").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
-    pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs", thin=True)
+    pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs")
 
     def measure(pairs: DataFrame) -> DataFrame:
-        pairs = written(possible(pairs, nodes, percent), "pairs", thin=True)
+        pairs = written(possible(pairs, nodes, percent), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted", thin=True)
+        wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted")
         return written(verified(pairs, wanted, sets_of(docs, wanted, size, rarity)), "distances")
 
     near = F.col("common") * 100 >= percent * F.col("total")
@@ -289,7 +289,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     while True:
         state = active.join(part.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
         mixed = state.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("token")
-        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state", thin=True)
+        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state")
         left = state.count()
         log(f"{left} rows of unresolved regions, {slots} pivots each")
         if not left:
@@ -300,19 +300,19 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
         fits = could_share(percent, F.col("n"), F.col("pos"), F.col("q.n"), F.col("q.pos"))
         met = state.join(drawn, "token").where((F.col("node") != F.col("q.node")) & (F.col("c") != F.col("q.c")) & fits & window)
         pairs = met.select(F.least("node", "q.node").alias("a"), F.greatest("node", "q.node").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", thin=True)
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             distances = measure(pairs)
             tested = tested.union(pairs)
             new = distances.where(near).select("a", "b")
             if not new.isEmpty():
-                part = written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components", thin=True)
+                part = written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components")
         used = drawn.select("token", F.col("q.node").alias("node"))
         active = state.select("token", "node", "n", "pos").join(used, ["token", "node"], "left_anti")
         slots *= 4
 
     joined = nodes.join(part, "node", "left").select(*KEY, "low", F.coalesce("component", "node").alias("component"))
-    joined = written(joined, "members", thin=True)
+    joined = written(joined, "members")
     least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = joined.join(least, "component").select(*KEY, "component_id")
     out = rows.drop("prefix", "k").join(ids, KEY, "left")

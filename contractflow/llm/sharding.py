@@ -100,7 +100,7 @@ def write_shards(docs: DataFrame, shards: DataFrame, path: str, key: str = "doc_
     places = numbered(held.select(*kind, "row"), kind)
     targets = numbered(named, kind).join(named.select("row", "shard"), "row").select(*[F.col(c).alias(f"_{c}") for c in [*kind, "n"]], "shard")
     same = [places[c].eqNullSafe(targets[f"_{c}"]) for c in [*kind, "n"]]
-    found = written(places.join(targets, same).select("row", "shard"), "places", thin=True)
+    found = written(places.join(targets, same).select("row", "shard"), "places")
     lost = F.raise_error(F.lit("shards lacks a row of docs")).cast("string")
     out = held.join(found, "row", "left").select("doc.*", F.coalesce("shard", lost).alias("shard"))
     out.repartition("shard").write.partitionBy("shard").parquet(path)

@@ -15,16 +15,25 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, thin: bool = False) -> DataFrame:
-    """df, written once as Parquet and read from there.
-
-    ``thin`` is for a few numbers a row: an eighth of the session's shuffle partitions write it.
-    """
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written once as Parquet and read from there."""
     spark = df.sparkSession
     path = folder(spark, name)
-    out = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)) if thin else df
-    out.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` made; what was computed from them has been written by then."""
+    for table in tables:
+        remove(table.sparkSession, table.stored_at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @contextmanager

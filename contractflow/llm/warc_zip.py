@@ -137,7 +137,7 @@ def write_packages(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     rows = pages.select(F.col(f"`{page_id}`").alias("page"), F.col(f"`{url}`").cast("string").alias("url"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("key", F.unhex(F.sha2("payload", 256)))
     repeated = rows.groupBy("key").agg(F.min("page").alias("first"), F.count("*").alias("held")).where("held > 1")
-    repeated = written(repeated, "digests", thin=True)
+    repeated = written(repeated, "digests")
     known = rows.join(F.broadcast(repeated) if repeated.count() <= SENT_DIGESTS else repeated, "key", "left")
     again = F.col("held").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     known = known.select(F.col("page").cast("string"), "url", "payload", F.col("first").cast("string"), again.alias("again"))
