@@ -71,7 +71,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("row"))
     keyed = docs.withColumn("__key", key)
     classes = written(near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), size=NEAR_WORDS, percent=NEAR_PERCENT), "classes")
-    goes = written(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct(), "goes", thin=True)
+    goes = written(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__key")).distinct(), "goes")
     kept = keyed.join(F.broadcast(goes) if goes.count() <= SENT_ROWS else goes, "__key", "left_anti")
     if not classes.groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["__key"])
