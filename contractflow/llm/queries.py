@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractflow.llm import chat
+from contractflow.llm import centroids, chat, factorisation
 from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
 from contractflow.llm.html_text import extract_text
 from contractflow.llm.jaccard_join import near_duplicates
@@ -193,3 +193,52 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def clustering_sql(k: int, rounds: int, dims: int) -> str:
+    """Every round as tables of its own: the centroids in rows, all distances, the nearest, the floors of the means."""
+    first = f"""
+SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)), x) - 1 AS INTEGER) AS cluster, x AS c
+FROM kept ORDER BY cluster LIMIT {k}"""
+    nearest = """
+SELECT row, x, cluster, d FROM (SELECT row, x, cluster, list_sum(list_transform(range(1, {dims} + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d FROM kept, c{i})
+QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, cluster) = 1"""
+    means = """
+SELECT cluster, list(CAST((v - ((v % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+  SELECT cluster, i, CAST(sum(x[i]) AS BIGINT) AS v, count(*) AS n FROM a{i}, (SELECT unnest(range(1, {dims} + 1)) AS i) GROUP BY ALL) GROUP BY cluster"""
+    tables = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = {dims})""",
+        f"c0 AS MATERIALIZED ({first})",
+    ]
+    for i in range(rounds + 1):
+        tables.append(f"a{i} AS MATERIALIZED ({nearest.format(i=i, dims=dims)})")
+        if i < rounds:
+            tables.append(f"m{i} AS MATERIALIZED ({means.format(i=i, dims=dims)})")
+            tables.append(f"c{i + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))")
+    return f"""
+WITH {", ".join(tables)}
+SELECT vec_id, cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (row) JOIN c{rounds} USING (cluster)
+"""
+
+
+@query(clustering_sql(40, 5, 64))
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256, seed=2)
+    return rows.join(F.broadcast(centroids.described(spark, found)), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query()
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+
+    def out(doc_id: str):
+        return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")).where(~out("doc_id"))
+    machine = factorisation.fit(factorisation.labelled(docs, labels), metadata=("n_chars",))
+    scored = factorisation.score(docs.select("doc_id", out("doc_id").alias("held_out"), "text", "n_chars"), machine, metadata=("n_chars",))
+    return scored.select("doc_id", "held_out", "score", "predicted")
