@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contractflow.llm import centroids, chat, factorisation
+from contractflow.llm import centroids, chat, factorisation, prefix_trie
 from contractflow.llm.decontaminate import CAPITALS, SMALL, WORD, decontaminate
 from contractflow.llm.html_text import extract_text
 from contractflow.llm.jaccard_join import near_duplicates
@@ -242,3 +242,53 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     machine = factorisation.fit(factorisation.labelled(docs, labels), metadata=("n_chars",))
     scored = factorisation.score(docs.select("doc_id", out("doc_id").alias("held_out"), "text", "n_chars"), machine, metadata=("n_chars",))
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def rebuilt(turns: DataFrame, most: int = 9, apart: int = 5) -> DataFrame:
+    """Conversations that share beginnings: c opens with the first h turns of c - c % apart and goes on with its own after its first h."""
+    rows = prefix_trie.numbered(prefix_trie.hashed_turns(turns))
+    h = F.pmod(F.crc32(F.col("conv").cast("string").cast("binary")), F.lit(most))
+    openings = rows.where(F.col("nth") < most).select(F.col("conv").alias("source"), "nth", "digest", "n_bytes")
+    first = prefix_trie.starts(rows)
+    given = first.select("conv", (F.col("conv") - F.col("conv") % apart).alias("source"), h.alias("h")).join(openings, "source").where("nth <= h")
+    order = lambda n: F.lit(n).alias("source")
+    parts = [first.select("conv", order(0), "nth", "digest", "n_bytes"), given.select("conv", order(1), "nth", "digest", "n_bytes")]
+    parts.append(rows.where(F.col("nth") > h).select("conv", order(2), "nth", "digest", "n_bytes"))
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+_SHIFT = "CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END"
+_CRC = "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda s, b: list_reduce(list_concat([xor(s, b)], range(0, 8)), lambda x, y: " + _SHIFT + ")), 4294967295)"
+
+
+@query(f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 5 AS source, {_CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT c.conv_id, 1 AS part, nth, role, text FROM convs c JOIN own o ON o.conv_id = c.source AND nth <= h
+  UNION ALL SELECT conv_id, 2, nth, role, text FROM convs JOIN own USING (conv_id) WHERE nth > h),
+placed AS (
+  SELECT conv_id, row_number() OVER w AS depth, octet_length(encode(text)) AS bytes,
+    array_agg(sha256(role || chr(1) || text)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, nth)),
+prefixes AS (
+  SELECT conv_id, depth, bytes, p FROM placed UNION ALL SELECT conv_id, 0, 0, CAST([] AS VARCHAR[]) FROM convs),
+flagged AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM prefixes),
+nodes AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes, list_slice(p, 1, depth - 1) AS up,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ids
+  FROM flagged GROUP BY p, depth),
+children AS (SELECT up AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up),
+filled AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+below AS (
+  SELECT list_slice(p, 1, d) AS p, sum((n - 1) * bytes) AS saved, sum(CAST(n_children = 0 AS INTEGER)) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM filled) GROUP BY list_slice(p, 1, d))
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, CASE WHEN f.depth > 0 THEN u.conv_id END AS parent_conv_id, CAST(f.n AS BIGINT) AS n_convs,
+  CAST(f.n_children AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ids) AS ends_sha256
+FROM filled f JOIN below ON below.p = f.p LEFT JOIN filled u ON u.p = f.up AND f.depth > 0
+""")
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(rebuilt(table(spark, sf_dir, "conversations")), ["source", "nth"])
