@@ -2,7 +2,8 @@
 
 A tree builder adds the end tags that HTML implies and forgives those that are missing or misplaced; a
 renderer walks the tree without recursion, leaves out what a browser does not show, keeps the space
-between blocks, marks list items and aligns the cells of tables.
+between blocks, marks list items and aligns the cells of tables. What it adds to the text is bounded: the
+constants below say how far it indents and pads; beyond that it goes on without, and no text is dropped.
 """
 
 from __future__ import annotations
@@ -39,19 +40,29 @@ PARENTS = {"td": SECTIONS | {"tr", "table"}, "th": SECTIONS | {"tr", "table"}, "
 SEALED = frozenset({"td", "th", "caption", "template", "svg", "noscript", "iframe"})  # what is in these belongs to no table around them
 HEAD = frozenset("title meta link style script base noscript template".split())  # start tags that do not end an open head
 CELL_BARRIERS = frozenset({"table", "td", "th", "caption"})
-HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.IGNORECASE)
+GONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!important\s*)?(?:;|$)", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\s*(?:!important\s*)?(?=;|$)", re.IGNORECASE)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 DEEPEST = 16  # tables within tables that are aligned; deeper ones are rendered as plain blocks
+INDENTED = 20  # levels of lists and quotes that are indented
+WIDEST = 40  # characters to which a column is padded; longer cells stand as they are
+PADDING = 8  # blanks for each other character of a table, at most; a table that takes more is not aligned
 
 
 class Node:
-    __slots__ = ("children", "hidden", "span", "start", "tag")
+    """``gone`` is not shown with all it holds; ``veil`` tells whether its own text is, None for as its parent's."""
+
+    __slots__ = ("children", "gone", "rows", "span", "start", "tag", "veil")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]):
+        style = attrs.get("style") or ""
         self.tag, self.children = tag, []
-        self.hidden = tag in UNSEEN or "hidden" in attrs or bool(HIDDEN.search(attrs.get("style") or "")) or (tag == "dialog" and "open" not in attrs)
+        self.gone = tag in UNSEEN or "hidden" in attrs or bool(GONE.search(style)) or (tag == "dialog" and "open" not in attrs)
+        said = VISIBILITY.findall(style)
+        self.veil = said[-1].lower() != "visible" if said else None
         self.start = _number(attrs.get("start"), 1) if tag == "ol" else 1
         self.span = max(1, min(1000, _number(attrs.get("colspan"), 1)))
+        self.rows = max(0, min(65534, _number(attrs.get("rowspan"), 1)))
 
 
 def _number(text: str | None, default: int) -> int:
@@ -144,6 +155,19 @@ class Tree(HTMLParser):
             self.handle_data(data[6:])
 
 
+def unveil(top: Node) -> None:
+    """Settle for every element whether its own text is hidden."""
+    top.veil = bool(top.veil)
+    todo = [top]
+    while todo:
+        node = todo.pop()
+        for child in node.children:
+            if isinstance(child, Node):
+                if child.veil is None:
+                    child.veil = node.veil
+                todo.append(child)
+
+
 class Page:
     """Lines of text under construction."""
 
@@ -200,57 +224,93 @@ class Page:
                 self.word(line)
 
 
-def table_parts(table: Node) -> tuple[list[list[Node]], list[list]]:
-    """The cells of each row of a table, and by runs all else that stands in the table, its sections and its rows."""
-    rows: list[list[Node]] = []
+def table_parts(table: Node) -> tuple[list[list[Node] | None], list[list]]:
+    """The cells of each row of a table, and by runs all else that stands in the table, its sections and its rows.
+
+    None stands where a section begins, beyond which no cell of an earlier row reaches.
+    """
+    rows: list[list[Node] | None] = []
     loose: list[list] = [[]]
-    todo: list[object] = list(reversed(table.children))
+    todo: list[object] = [c for c in reversed(table.children) if isinstance(c, Node) or not table.veil]
     while todo:
         node = todo.pop()
         if node is None:  # the end of a section or row
             loose.append([])
         elif isinstance(node, Node) and (node.tag == "tr" or node.tag in SECTIONS or node.tag in CELLS):
-            if node.hidden:
+            if node.gone:
                 continue
             loose.append([])
             if node.tag in CELLS:
                 rows[-1].append(node)
                 continue
-            if node.tag == "tr":
-                rows.append([])
+            rows.append([] if node.tag == "tr" else None)
             todo.append(None)
-            todo.extend(reversed(node.children))
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node) or not node.veil)
         else:
             loose[-1].append(node)
     return rows, [run for run in loose if run]
 
 
-def table_lines(rows: list[list[Node]], depth: int) -> list[str]:
-    """Rows of cells in aligned columns; a cell of several lines takes as many lines of the page.
-
-    A cell over several columns widens none of them.
-    """
+def table_grid(rows: list[list[Node] | None], depth: int) -> list[list[tuple[list[str], int]]]:
+    """For each row with text the lines and the columns of every cell; what a cell of an earlier row holds is a blank one."""
     grid: list[list[tuple[list[str], int]]] = []
+    held: list[tuple[int, int, int]] = []  # first column, columns and further rows of cells over several rows
     for cells in rows:
-        texts = [([line for line in render(c, depth + 1) if line.strip()], c.span) for c in cells]
+        if cells is None:
+            held = []
+            continue
+        texts: list[tuple[list[str], int]] = []
+        at, rest, new = 0, sorted(held), []
+        for c in cells:
+            while rest and rest[0][0] <= at:
+                texts.append(([], rest[0][1]))
+                at += rest.pop(0)[1]
+            texts.append(([line for line in render(c, depth + 1) if line.strip()], c.span))
+            if c.rows != 1:
+                new.append((at, c.span, c.rows - 1 if c.rows else 65534))
+            at += c.span
+        texts += [([], span) for _, span, _ in rest]
+        held = [(first, span, left - 1) for first, span, left in held if left > 1] + new
         if any(lines for lines, _ in texts):
             grid.append(texts)
+    return grid
+
+
+def table_lines(rows: list[list[Node] | None], depth: int) -> list[str]:
+    """Rows of cells in aligned columns; a cell of several lines takes as many lines of the page.
+
+    A cell over several columns widens none of them; one over several rows keeps its columns in those below. Columns are
+    padded to ``WIDEST`` characters at most, and a table that takes more than ``PADDING`` blanks for each other
+    character is not aligned: its cells stand one after the other.
+    """
+    grid = table_grid(rows, depth)
     width: dict[int, int] = {}
+    text = 0
     for texts in grid:
         at = 0
         for lines, span in texts:
             if span == 1:
-                width[at] = max(width.get(at, 0), *map(len, lines), 0)
+                width[at] = max(width.get(at, 0), *(min(len(line), WIDEST) for line in lines), 0)
+            text += sum(len(line) - line.count(" ") for line in lines)
             at += span
-    out = []
+    spare = PADDING * (text + 4)
+    out, blanks = [], 0
     for texts in grid:
-        for n in range(max(len(lines) for lines, _ in texts)):
-            at, cells = 0, []
-            for lines, span in texts:
-                room = sum(width.get(i, 0) for i in range(at, at + span)) + 3 * (span - 1)
-                cells.append((lines[n] if n < len(lines) else "").ljust(room))
-                at += span
+        rooms, at = [], 0
+        for _, span in texts:
+            rooms.append(sum(width.get(i, 0) for i in range(at, at + min(span, len(width) + 1))) + 3 * (min(span, len(width) + 1) - 1))
+            at += span
+        tall = max(len(lines) for lines, _ in texts)
+        whole = sum(rooms) + 3 * len(rooms)
+        for n in range(tall):
+            blanks += whole
+            if blanks > spare + text:
+                break
+            cells = [(lines[n] if n < len(lines) else "").ljust(room) for (lines, _), room in zip(texts, rooms, strict=True)]
             out.append(" | ".join(cells).rstrip())
+        else:
+            continue
+        return [" | ".join(lines[n] for lines, _ in texts if n < len(lines)) for texts in grid for n in range(max(len(lines) for lines, _ in texts))]
     return out
 
 
@@ -258,7 +318,7 @@ def render(top: Node, depth: int = 0) -> list[str]:
     """The lines of an element's visible text."""
     page = Page()
     lists: list[list] = []  # of each open list: kind and next number
-    pre = 0
+    pre = level = 0
     todo: list[tuple[str, object]] = [("children", top)]
     while todo:
         what, node = todo.pop()
@@ -271,7 +331,8 @@ def render(top: Node, depth: int = 0) -> list[str]:
             if tag in ("ul", "ol", "menu", "dir", "li", "blockquote", "dd"):
                 page.block(0)
                 if tag in ("li", "blockquote", "dd"):
-                    page.indent = page.indent[:-2]
+                    level -= 1
+                    page.indent = "  " * min(level, INDENTED)
                     page.prefix = ""
             if tag in BLOCK:
                 page.block(_space(tag, lists))
@@ -281,7 +342,7 @@ def render(top: Node, depth: int = 0) -> list[str]:
             continue
         if what == "node":
             tag = node.tag
-            if node.hidden:
+            if node.gone:
                 continue
             if tag == "br":
                 page.newline()
@@ -307,12 +368,16 @@ def render(top: Node, depth: int = 0) -> list[str]:
                     if lists and lists[-1][0] == "ol":
                         mark = f"{lists[-1][1]}. "
                         lists[-1][1] += 1
-                page.prefix = page.indent + (mark if tag == "li" else "  ")
-                page.indent += "  "
+                page.prefix = page.indent + (mark if tag == "li" or level < INDENTED else "")
+                level += 1
+                page.indent = "  " * min(level, INDENTED)
             if tag not in VOID:
                 todo.append(("end", node))
         for child in reversed(node.children):
-            todo.append(("node", child) if isinstance(child, Node) else ("text", child))
+            if isinstance(child, Node):
+                todo.append(("node", child))
+            elif not node.veil:
+                todo.append(("text", child))
     page.flush()
     return page.lines
 
@@ -336,6 +401,7 @@ def page_text(html: str | None) -> str:
     tree = Tree()
     tree.feed(html or "")
     tree.close()
+    unveil(tree.root)
     return "\n".join(render(tree.root))
 
 
@@ -343,7 +409,10 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with ``page_text``, the laid-out visible text of each page.
 
     Never null: a null or empty page, or one that shows nothing, has an empty text. Malformed HTML is read as
-    browsers do, as far as the rules above go; nothing is cut, however long or deep a page is. Repeated rows
-    are read alike; a column of pages that is named page_text gives way.
+    browsers do, as far as the rules above go; no text is cut, however long or deep a page is. Tables more than ``DEEPEST``
+    deep are blocks, lists and quotes are indented ``INDENTED`` levels, columns padded to ``WIDEST`` characters, and a
+    table that would take more than ``PADDING`` blanks a character is not aligned, so that a page's text is never many
+    times its HTML. Repeated rows are read alike; a column of pages that is named page_text gives way; an empty table
+    has no rows.
     """
     return append(pages, html, lambda column: [pa.array([page_text(p) for p in column.to_pylist()], pa.string())], "page_text string")

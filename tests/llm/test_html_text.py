@@ -72,6 +72,96 @@ def test_an_open_head_ends_where_the_page_begins(html):
     assert page_text(html) == HEADS[html]
 
 
+SPANS = {
+    "<table><tr><td rowspan=2>A<td>B<tr><td>C</table>": "A | B\n  | C",
+    "<table><tr><td>a<td rowspan=3>tall<td>c<tr><td>d<td>f<tr><td>g<td>i<tr><td>j<td>k</table>": "a | tall | c\nd |      | f\ng |      | i\nj | k",
+    "<table><tbody><tr><td rowspan=0>A<td>B<tr><td>C<tbody><tr><td>D<td>E</table>": "A | B\n  | C\nD | E",
+    "<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>": "ab    | c\n      | d\ne | f | g",
+    "<table><tr><td>a<td rowspan=9>b</table>": "a | b",
+    "<table><tr><td rowspan=2>a<td>b<tr><tr><td>c</table>": "a | b\nc",
+}
+
+
+@pytest.mark.parametrize("html", SPANS)
+def test_cells_over_several_rows(html):
+    assert page_text(html) == SPANS[html]
+
+
+VEILS = {
+    "<div style='visibility:hidden'>h<b style='visibility: visible'>seen</b>h</div>": "seen",
+    "<p style='visibility:hidden'>h<span style='visibility:visible'>a<i style='visibility:collapse'>b</i>c</span>": "ac",
+    "<div style='display:none'>h<b style='visibility:visible'>h</b></div>a": "a",
+    "<table style='visibility:hidden'><caption>h</caption><tr>h<td>h<td style='visibility:visible'>x</table>": "| x",
+    "<div style='visibility:hidden;visibility:visible'>a</div>": "a",
+}
+
+
+@pytest.mark.parametrize("html", VEILS)
+def test_visible_within_hidden(html):
+    assert page_text(html).strip() == VEILS[html]
+
+
+def test_what_is_added_to_the_text_is_bounded():
+    wide = "<table><tr><td>" + "w" * 20_000 + "<td>b" + "<tr><td>a<td>b" * 2_000 + "</table>"
+    lists = "<ul><li>x" * 3_000
+    columns = "<table><tr>" + "<td>" * 1_000 + "x<br>" * 1_000 + "</table>"
+    steps = "<table><tr>" + "".join(f"<td>{'y' * 40}" for _ in range(10)) + "<td>" + "x<br>" * 20_000 + "</table>"
+    spans = "<table>" + "<tr><td colspan=1000 rowspan=65000>z<td>q" * 1_000 + "</table>"
+    deep = "<table><tr><td>a<td>" * 16 + "<br>".join(["b"] * 500)
+    for page, mark, times in ((wide, "w", 20_000), (lists, "x", 3_000), (columns, "x", 1_000), (steps, "x", 20_000), (spans, "z", 1_000), (deep, "b", 500)):
+        text = page_text(page)
+        assert text.count(mark) == times
+        assert len(text) < 16 * len(page), (page[:40], len(text), len(page))
+
+
+def words_of(node):
+    """The visible words of a built page, by its own plain rules: nothing of what is gone, the rest where it is not hidden."""
+    tag, style, children = node
+    if tag in ("script", "template") or "display" in style:
+        return []
+    own = []
+    for child in children:
+        if isinstance(child, str):
+            own += [] if node_veiled(style) else child.split()
+        else:
+            own += words_of((child[0], child[1] or style, child[2]))
+    return own
+
+
+def node_veiled(style):
+    return "hidden" in style
+
+
+def built(node):
+    tag, style, children = node
+    inside = "".join(c if isinstance(c, str) else built(c) for c in children)
+    return f"<{tag}{f' style={chr(39)}{style}{chr(39)}' if style else ''}>{inside}</{tag}>"
+
+
+def random_page(rng, depth=0):
+    tag = rng.choice(["div", "p", "ul", "b", "table", "blockquote", "pre", "script", "section", "td"]) if depth else "div"
+    style = rng.choice(["", "", "", "visibility:hidden", "visibility:visible", "display:none"]) if depth else ""
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+    if tag == "script":
+        return (tag, style, [word()])
+    inner = lambda: random_page(rng, depth + 1) if depth < 4 and rng.random() < 0.6 else word() + " "
+    if tag == "table":
+        return (tag, style, [("tr", "", [(rng.choice(["td", "th"]), rng.choice(["", "", "visibility:visible"]), [inner()]) for _ in range(rng.randint(1, 3))]) for _ in range(rng.randint(1, 3))])
+    if tag == "ul":
+        return (tag, style, [("li", "", [inner()]) for _ in range(rng.randint(1, 3))])
+    tag = "div" if tag in ("td", "p") else tag
+    return (tag, style, [inner() for _ in range(rng.randint(1, 3))])
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_all_visible_words_of_random_pages(seed):
+    import random
+    import re
+
+    page = random_page(random.Random(seed))
+    assert sorted(re.findall("[a-g]{6}", page_text(built(page)))) == sorted(words_of(page))
+
+
 def test_deep_tables_without_cells():
     assert page_text("<table><tr>" * 3_000 + "x") == "x"
     assert page_text("<table><tr><td>a</td>" * 300).count("a") == 300
