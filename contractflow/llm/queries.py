@@ -16,7 +16,7 @@ from contractflow.llm.quality import judge
 from contractflow.llm.sharding import shard
 from contractflow.llm.store import folder
 from contractflow.llm.token_counts import count_tokens
-from contractflow.llm.warc_zip import read_packages, write_packages
+from contractflow.llm.warc_zip import page_of, read_packages, write_packages
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -87,11 +87,8 @@ def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_packages(pages, path)
     kind = pages.schema["page_id"].dataType
 
-    def page(column: str):
-        return F.nullif(F.regexp_extract(column, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
-
     records = read_packages(spark, path)
-    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+    return records.select(page_of("record_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").cast(kind).alias("refers_to"))
 
 
 @query()

@@ -3,8 +3,8 @@
 A package is a ZIP file with one stored (not compressed) WARC member and its index, as one task writes them;
 its directory has ZIP64 records throughout, so neither members nor packages end at 4 GB. The reader
 takes any such package, also with several members, without an index or with gzip members: it reads
-directories from the ends of the files, then index members, and deals the byte ranges of the
-records out to all tasks. Nothing but the ranges asked for is read.
+directories from the ends of the files, then index members (or, where there is none, the heads of the records), and
+deals the byte ranges of the records out to all tasks. Nothing but the ranges asked for is read.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contractflow.llm.store import written
@@ -33,6 +33,7 @@ DOS_DATE = (1 << 5) | 1  # 1980-01-01
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 RANGE = 8 << 20
+HEAD = 1 << 16  # bytes read at a time where heads are looked for
 SENT_DIGESTS = 500_000  # of about sixty bytes each
 
 
@@ -41,7 +42,14 @@ def payload_digest(payload: bytes) -> str:
 
 
 def record_id(page: object) -> str:
-    return f"<urn:page:{page}>"
+    """The id of a page's record. No page has an empty one; an empty id is a lone percent sign, which no other contains."""
+    return f"<urn:page:{'' if page is None else header_value(str(page)) or '%'}>"
+
+
+def page_of(column: str) -> Column:
+    """The id, as text, of the page that a record id was made from; null for a null page."""
+    name = F.regexp_extract(column, "(?s)^<urn:page:(.*)>$", 1)
+    return F.when(name == "%", F.lit("")).when(name != "", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
 
 
 def header_value(text: str) -> str:
@@ -62,7 +70,7 @@ def page_record(page: str | None, url: str | None, payload: bytes, refers_to: st
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", record_id("" if page is None else page)),
+        ("WARC-Record-ID", record_id(page)),
         ("WARC-Date", DATE),
         ("WARC-Payload-Digest", f"sha1:{payload_digest(payload)}"),
         ("X-Payload-Length", str(len(payload))),
@@ -218,26 +226,60 @@ def members(file: pa.NativeFile, size: int) -> Iterator[tuple[str, int, int, int
         at += CENTRAL_HEAD.size + names + extras + comments
 
 
+def indexed(file: pa.NativeFile, at: int, size: int) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records that an index member lists."""
+    stop, rest, head = at + size, b"", True
+    while at < stop:
+        chunk = read_range(file, at, min(RANGE, stop - at))
+        at += len(chunk)
+        *lines, rest = (rest + chunk).split(b"\n")
+        for line in lines[head:]:
+            offset, n = map(int, line.split())
+            yield offset, n
+        head = head and not lines
+
+
+def walked(file: pa.NativeFile, start: int, size: int) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records of a plain WARC member, from one head to the next; their blocks are passed over."""
+    at, held, held_at = start, b"", start
+    while at < start + size:
+        held, held_at = held[at - held_at :], at
+        while (end := held.find(b"\r\n\r\n")) < 0:
+            chunk = read_range(file, at + len(held), min(HEAD, start + size - at - len(held)))
+            if not chunk:
+                if held.strip():
+                    raise ValueError(f"a WARC record without an end of its head at byte {at}")
+                return
+            held += chunk
+        n = min(end + 4 + content_length(held[:end]) + 4, start + size - at)
+        yield at - start, n
+        at += n
+
+
 def ranges_of(path: str, size: int) -> Iterator[tuple[str, int, int, str | None]]:
-    """(path, first byte, length, record lengths) of ranges of whole records. Without an index, a WARC member
-    is one range whose records are found one after the other (null lengths)."""
+    """(path, first byte, length, record lengths) of ranges of whole records, of about ``RANGE`` bytes each.
+
+    Every member whose name ends in .warc or .warc.gz is read, in whatever folder. One that the ZIP file holds
+    compressed has no byte ranges and raises. Gzip members without an index are one range, whose records are
+    found one after the other (null lengths).
+    """
     with opened(path) as file:
         found = list(members(file, size))
-        stored = [m for m in found if m[1] == 0]
-        index = next((m for m in stored if m[0].startswith("indexes/")), None)
-        data = [m for m in stored if m[0].startswith("archive/") and m[0].endswith((".warc", ".warc.gz"))]
-        if index is None or len(data) != 1:
-            for _, _, start, length in data:
-                yield path, start, length, None
-            return
-        base, at, stop = data[0][2], index[2], index[2] + index[3]
-        rest, first, length, sizes, head = b"", 0, 0, [], True
-        while at < stop:
-            chunk = read_range(file, at, min(RANGE, stop - at))
-            at += len(chunk)
-            *lines, rest = (rest + chunk).split(b"\n")
-            for line in lines[head:]:
-                offset, n = map(int, line.split())
+        data = [m for m in found if m[0].lower().endswith((".warc", ".warc.gz"))]
+        for name, method, *_ in data:
+            if method:
+                raise ValueError(f"{path}: the member {name} is compressed (method {method}) and cannot be read by ranges")
+        index = next((m for m in found if m[1] == 0 and m[0].startswith("indexes/")), None)
+        for _, _, base, whole in data:
+            if index is not None and len(data) == 1:
+                records = indexed(file, index[2], index[3])
+            elif read_range(file, base, 2) == b"\x1f\x8b":
+                yield path, base, whole, None
+                continue
+            else:
+                records = walked(file, base, whole)
+            first, length, sizes = 0, 0, []
+            for offset, n in records:
                 if sizes and (length + n > RANGE or first + length != offset):
                     yield path, base + first, length, " ".join(map(str, sizes))
                     sizes, length = [], 0
@@ -245,9 +287,8 @@ def ranges_of(path: str, size: int) -> Iterator[tuple[str, int, int, str | None]
                     first = offset
                 sizes.append(n)
                 length += n
-            head = head and not lines
-        if sizes:
-            yield path, base + first, length, " ".join(map(str, sizes))
+            if sizes:
+                yield path, base + first, length, " ".join(map(str, sizes))
 
 
 class Reader:
@@ -306,7 +347,8 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
     """The response and revisit records of all packages in a folder, which executors read by ranges.
 
     ``intact`` tells whether a payload has the digest its header states (null where there is none to compare).
-    An empty folder has no rows; a file that is no ZIP file raises.
+    An empty folder has no rows; a file that is no ZIP file raises, and so does a WARC member that it compresses. There
+    are as many tasks as the ranges have bytes for, whatever little the list of ranges takes.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "length")
 
@@ -331,7 +373,9 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], COLUMNS)
 
     ranges = written(files.repartition("path").mapInArrow(locate, "path string, start long, size long, sizes string"), "ranges")
-    return ranges.repartition("path", "start").mapInArrow(read, RECORDS)
+    count, size = ranges.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = min(count, max(-(-size // RANGE), spark.sparkContext.defaultParallelism))
+    return ranges.repartition(max(1, tasks)).mapInArrow(read, RECORDS)
 
 
 def records_in(file: pa.NativeFile, start: int, size: int, sizes: str | None) -> Iterator[tuple]:

@@ -8,6 +8,7 @@ import struct
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from contractflow.llm import warc_zip as Z
 
@@ -77,6 +78,45 @@ def test_no_zip_file(spark, tmp_path):
         Z.read_packages(spark, f"file://{tmp_path}").collect()
 
 
+def test_compressed_members_raise(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.wacz", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("archive/one.warc", Z.page_record("1", None, b"one", None, False))
+    with pytest.raises(Exception, match="is compressed"):
+        Z.read_packages(spark, f"file://{tmp_path}").collect()
+
+
+def test_members_without_an_index_are_split_between_records(spark, tmp_path, monkeypatch):
+    """Payloads that look like records, and blocks larger than what is read at a time."""
+    pages = [b"x" * 70_000, b"\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\nhello", b"", b"y" * 300] * 5
+    data = b"".join(Z.page_record(str(i), None, p, None, False) for i, p in enumerate(pages))
+    with zipfile.ZipFile(tmp_path / "a.wacz", "w") as z:
+        z.writestr("data/one.WARC", data)
+        z.writestr("archive/two.warc", Z.page_record("99", None, b"two", None, False))
+    monkeypatch.setattr(Z, "RANGE", 100_000)
+    found = list(Z.ranges_of(f"file://{tmp_path}/a.wacz", (tmp_path / "a.wacz").stat().st_size))
+    assert len(found) > 4 and max(r[2] for r in found) <= 100_000 and sum(r[2] for r in found) > len(data)
+    rows = Z.read_packages(spark, f"file://{tmp_path}")
+    assert sorted((r["record_id"], bytes(r["payload"])) for r in rows.collect()) == sorted([*[(f"<urn:page:{i}>", p) for i, p in enumerate(pages)], ("<urn:page:99>", b"two")])
+
+
+def test_reading_takes_as_many_tasks_as_there_are_bytes(spark, tmp_path):
+    text = F.repeat(F.col("id").cast("string"), 250_000)
+    pages = spark.range(100, 260, 1, 2).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), text.alias("html"))
+    Z.write_packages(pages, f"file://{tmp_path}/out")
+    records = Z.read_packages(spark, f"file://{tmp_path}/out")
+    assert records.select("payload_bytes").rdd.getNumPartitions() == 120_000_000 // Z.RANGE + 1
+    assert records.agg(F.sum("payload_bytes")).first()[0] == 120_000_000
+
+
+def test_odd_ids(spark, tmp_path):
+    ids = ["", None, "a\nb", "%0A", "a+b %41", "é>", " x "]
+    df = spark.createDataFrame([(x, "u", f"page {x!r}") for x in ids] + [("z", "u", "page ''"), ("z2", None, "page 'a\\nb'")], "page_id string, url string, html string")
+    Z.write_packages(df, f"file://{tmp_path}/out")
+    rows = Z.read_packages(spark, f"file://{tmp_path}/out").select(Z.page_of("record_id").alias("page"), Z.page_of("refers_to").alias("to")).collect()
+    assert {r["page"] for r in rows} == {*ids, "z", "z2"}
+    assert {(r["page"], r["to"]) for r in rows if r["to"] is not None} == {("z", ""), ("z2", "a\nb")}
+
+
 def test_zip64_values():
     extra = struct.pack("<HHB", 9, 1, 0) + struct.pack("<HHQQ", 1, 16, 5 << 32, 6 << 32)
     assert Z.zip64_values(extra, [Z.FULL32, 17, Z.FULL32]) == [5 << 32, 17, 6 << 32]
