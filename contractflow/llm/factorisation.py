@@ -18,13 +18,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractflow.llm.quality import measure
 from contractflow.llm.store import discard, written
-from contractflow.llm.text import LOWER, NOT_SPACE, U64, append, byte_table, find_words, parts, utf8
+from contractflow.llm.text import LOWER, NOT_SPACE, U64, append, byte_table, find_words, lean, parts, utf8
 
 BUCKETS = 1 << 14
 STEPS = 12
@@ -178,7 +179,7 @@ def fit(
     text: str = "text",
     metadata: tuple[str, ...] = (),
     most_rows: int = MOST_ROWS,
-    rounds: int = 20,
+    rounds: int = 12,
     rate: float = 0.5,
     keep: float = 1e-4,
 ) -> Machine:
@@ -207,28 +208,30 @@ def fit(
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(cuts, feature.astype(np.int32)), pa.ListArray.from_arrays(cuts, value.astype(np.float32))], ["y", "feature", "value"])
 
-    made = rows.mapInArrow(featurised, "y double, feature array<int>, value array<float>")
-    shared = written(made.withColumn("share", F.pmod(F.xxhash64("feature", "value"), F.lit(SHARES))), "features")
-    held = shared.repartition(SHARES, "share")
+    made = rows.mapInArrow(lean(featurised), "y double, feature array<int>, value array<float>")
+    shared = written(made, "features")
+    held = shared.coalesce(SHARES)  # no shuffle: a task takes some of the files
     for i in range(rounds):
         sent = spark.sparkContext.broadcast(machine)
 
         def learn(batches: Iterator[pa.RecordBatch], sent=sent, i=i) -> Iterator[pa.RecordBatch]:
-            shares: dict[int, list] = {}
+            some = []
             for batch in batches:
-                for share, y, feature, value in zip(batch.column(3).to_pylist(), batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                    shares.setdefault(share, []).append((feature.values.to_numpy().astype(np.int64), value.values.to_numpy().astype(float), y))
-            for share, some in shares.items():
-                some.sort(key=lambda r: (len(r[0]), zlib.crc32(r[0].tobytes()), r[1].tobytes(), r[2]))  # tasks may get rows in any order
-                m = trained(sent.value, some, rate / (1 + i / 4), keep, seed=1000 * i + share)
-                flat = np.concatenate([[m.bias], m.weights, m.factors.ravel()]).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([len(some)]), pa.array([zlib.compress(flat.tobytes(), 1)], pa.binary())], ["share", "n", "parameters"])
-
-        found = sorted(held.mapInArrow(learn, "share int, n long, parameters binary").collect(), key=lambda r: r["share"])
+                for y, feature, value in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                    some.append((feature.values.to_numpy().astype(np.int32), value.values.to_numpy(), y))
+            if not some:
+                return
+            share = TaskContext.get().partitionId()
+            some.sort(key=lambda r: (len(r[0]), zlib.crc32(r[0].tobytes()), r[1].tobytes(), r[2]))  # files may come in any order
+            m = trained(sent.value, some, rate / (1 + i / 4), keep, seed=1000 * i + share)
+            flat = np.concatenate([[m.bias], m.weights, m.factors.ravel()]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([share], pa.int32()), pa.array([len(some)]), pa.array([zlib.compress(flat.tobytes(), 1)], pa.binary())], ["share", "n", "parameters"])
+
+        found = sorted(held.mapInArrow(lean(learn), "share int, n long, parameters binary").collect(), key=lambda r: r["share"])
         total = sum(r["n"] for r in found)
         mean = sum(np.frombuffer(zlib.decompress(r["parameters"]), np.float32).astype(float) * (r["n"] / total) for r in found)
         machine = Machine(float(mean[0]), mean[1 : n + 1], mean[n + 1 :].reshape(n, FACTORS))
-        sent.unpersist()
+        sent.destroy()
     discard(shared)
     return machine
 
@@ -257,4 +260,4 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", metadata: tuple
                 scores = m.scores(row, feature, value, part.num_rows)
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], list(out.names))
 
-    return whole.mapInArrow(run, out)
+    return whole.mapInArrow(lean(run), out)
