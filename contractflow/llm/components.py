@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractflow.llm.store import written
+from contractflow.llm.store import discard, written
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def components(links: DataFrame) -> DataFrame:
     now = written(pointed, "links")
     state = _print(now)
     while state[0]:
-        now = written(_small_star(_large_star(now)), "links")
+        old, now = now, written(_small_star(_large_star(now)), "links")
+        discard(old)
         before, state = state, _print(now)
         if state == before:
             break
@@ -60,8 +61,10 @@ def roots(parents: DataFrame) -> DataFrame:
     now = written(parents.select("node", F.col("parent").alias("component")), "roots")
     while True:
         above = now.select(F.col("node").alias("component"), F.col("component").alias("higher"))
-        step = written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots")
+        old, step = now, written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots")
+        discard(old)
         now = step.drop("moved")
+        now.stored_at = step.stored_at
         if step.where("moved").isEmpty():
             break
     return now.union(now.select(F.col("component").alias("node"), "component").distinct())

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contractflow.llm.store import written
-from contractflow.llm.text import ALNUM, LOWER, U64, append, find_words, parts, run_hashes, utf8, windows
+from contractflow.llm.text import ALNUM, LOWER, U64, append, find_words, lean, parts, run_hashes, utf8, windows
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -140,7 +140,7 @@ def shingle_counts(docs: DataFrame, text: str, block) -> dict[tuple[int, int], i
             some = times > 0
             yield pa.RecordBatch.from_arrays([pa.array(np.full(int(some.sum()), width, np.int32)), pa.array(keys[some].view(np.int64)), pa.array(times[some])], ["width", "hash", "n"])
 
-    counted = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(run, "width int, hash long, n long")
+    counted = docs.select(F.col(f"`{text}`").cast("string")).mapInArrow(lean(run), "width int, hash long, n long")
     return {(r["width"], r["hash"]): r["n"] for r in counted.groupBy("width", "hash").agg(F.sum("n").alias("n")).collect()}
 
 

@@ -30,10 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contractflow.llm.components import components, roots
-from contractflow.llm.store import small_batches, written
-from contractflow.llm.text import LOWER, NOT_SPACE, U64, find_words, mix, parts, run_hashes, utf8, windows
+from contractflow.llm.store import discard, small_batches, written
+from contractflow.llm.text import LOWER, NOT_SPACE, U64, find_words, lean, mix, parts, utf8, windows
 
-SKETCH_BITS = 21  # of the shingle's hash: counts for the order by rarity
+SKETCH_BITS = (21, 24)  # of the shingle's hash, by the number of documents: counts for the order by rarity
 CHUNK = 1 << 14
 FILTER_BITS = 27  # of a row's hash: which texts to read again
 FIRST_PIVOTS = 64
@@ -65,12 +65,12 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return text, full
 
 
-def sketch(docs: DataFrame, size: int) -> np.ndarray:
+def sketch(docs: DataFrame, size: int, bits: int) -> np.ndarray:
     """How often shingles occur in all documents, by the leading bits of their hash: an array of fixed size.
 
     A task sends what it has counted, in chunks, full ones whole and others as the cells in use.
     """
-    cells = 1 << SKETCH_BITS
+    cells = 1 << bits
     names = ["chunk", "at", "counts"]
 
     def sent(total: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -84,11 +84,21 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total, waiting = np.zeros(cells, np.int64), []
+
+        def settle() -> None:
+            used, times = np.unique(np.concatenate(waiting), return_counts=True)
+            total[used] += times
+            waiting.clear()
+
         for batch in batches:
             for part in parts(batch, 0):
                 _, hashes = shingles(part.column(0), size)
-                total += np.bincount((hashes >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=cells)
+                waiting.append((hashes >> U64(64 - bits)).astype(np.uint32))
+                if sum(map(len, waiting)) > cells // 4:
+                    settle()
+        if waiting:
+            settle()
         yield sent({i // CHUNK: total[i : i + CHUNK] for i in range(0, cells, CHUNK)})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +111,7 @@ def sketch(docs: DataFrame, size: int) -> np.ndarray:
 
     schema = "chunk int, at binary, counts binary"
     out = np.zeros((cells // CHUNK, CHUNK), np.int64)
-    for row in docs.select("text").mapInArrow(count, schema).repartition(16, "chunk").mapInArrow(add, schema).collect():
+    for row in docs.select("text").mapInArrow(lean(count), schema).repartition(16, "chunk").mapInArrow(add, schema).toLocalIterator():
         out[row["chunk"], np.frombuffer(row["at"], np.uint16) if row["at"] else slice(None)] = unpacked(row["counts"], np.int64)
     return out.ravel()
 
@@ -110,7 +120,7 @@ def distinct(text: np.ndarray, hashes: np.ndarray, rarity: np.ndarray) -> tuple[
     """Distinct (text, hash), by text and within a text from rare to common: by rarity class, then by hash."""
     if not len(text):
         return text, hashes
-    rank = rarity[(hashes >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+    rank = rarity[(hashes >> U64(64 - (len(rarity).bit_length() - 1))).astype(np.int64)]
     if text[-1] < 1 << 16:
         key = (text.astype(U64) << U64(48)) | (rank.astype(U64) << U64(32)) | (hashes >> U64(32))
         order = np.argsort(key)
@@ -154,7 +164,7 @@ def measured(docs: DataFrame, size: int, percent: int, rarity) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(a), pa.array(b), prefix], ["doc_id", "k", "n", "sig_a", "sig_b", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, k long, n long, sig_a long, sig_b long, prefix array<long>")
+    return docs.mapInArrow(lean(run), f"doc_id {kind}, k long, n long, sig_a long, sig_b long, prefix array<long>")
 
 
 KEY = ["sig_a", "sig_b", "n"]
@@ -185,14 +195,18 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
                 sets = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n), sets], [*KEY, "shingles"])
 
-    found = written(docs.mapInArrow(run, "sig_a long, sig_b long, n long, shingles array<long>"), "shingles")
+    found = written(docs.mapInArrow(lean(run), "sig_a long, sig_b long, n long, shingles array<long>"), "shingles")
+    sent.destroy()
     twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice")
     some = twice.count()
     if not some:
+        discard(twice)
         return found
-    twice = F.broadcast(twice) if some <= SENT_NODES else twice
-    again = found.join(twice, KEY, "left_semi").groupBy(*KEY).agg(F.first("shingles").alias("shingles"))
-    return written(found.join(twice, KEY, "left_anti").unionByName(again), "shingles")
+    few = F.broadcast(twice) if some <= SENT_NODES else twice
+    again = found.join(few, KEY, "left_semi").groupBy(*KEY).agg(F.first("shingles").alias("shingles"))
+    out = written(found.join(few, KEY, "left_anti").unionByName(again), "shingles")
+    discard(found, twice)
+    return out
 
 
 def could_share(percent: int, n: Column, pos: Column, m: Column, at: Column) -> Column:
@@ -201,14 +215,17 @@ def could_share(percent: int, n: Column, pos: Column, m: Column, at: Column) ->
     return F.least(n - pos, m - at) * (100 + percent) >= percent * (n + m)
 
 
-def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+
+
+def possible(pairs: DataFrame, ends: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose prefixes share as much as close sets must.
 
     Sets of n and m shingles that are close share a number o of them. The i-th shared one has at most
     n - o shingles before it in the one set that the other lacks, so at least o - n + p of the shared ones lie in
     a prefix of p, and the lesser such number in both. And o is no more than either size.
     """
-    ends = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
     held = nodes.select("node", "n", "prefix").join(F.broadcast(ends) if ends.count() <= SENT_NODES else ends, "node")
     one, two = (held.select(*[F.col(c).alias(f"{c}_{x}") for c in held.columns]) for x in "ab")
     both = pairs.hint("merge").join(two, F.col("b") == F.col("node_b")).hint("merge").join(one, F.col("a") == F.col("node_a"))
@@ -260,11 +277,13 @@ def near_duplicates(
 def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent: int, log: Callable[[str], None]) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id", "text"))
-    counts = sketch(docs, size)
+    least, most = SKETCH_BITS
+    counts = sketch(docs, size, min(max(docs.count().bit_length(), least), most))
     rarity = spark.sparkContext.broadcast(np.round(np.log2(1.0 + counts) * 1000).astype(np.uint16))
     rows = written(measured(docs, size, percent, rarity), "sets")
     classes = rows.where("n > 0").groupBy(*KEY).agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k"))["k"].alias("k"))
     nodes = written(classes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    del counts
     tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n")
     pivots = tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("node").alias("pivot")).where("held > 1")
     regions = written(tokens.join(pivots, "token").select("token", "node", "n", "pos", "pivot"), "regions")
@@ -275,15 +294,20 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs")
 
     def measure(pairs: DataFrame) -> DataFrame:
-        pairs = written(possible(pairs, nodes, percent), "pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        ends = ends_of(pairs)
+        close = written(possible(pairs, ends, nodes, percent), "close")
+        discard(ends)
+        ends = ends_of(close)
         wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted")
-        return written(verified(pairs, wanted, sets_of(docs, wanted, size, rarity)), "distances")
+        sets = sets_of(docs, wanted, size, rarity)
+        out = written(verified(close, wanted, sets), "distances")
+        discard(ends, close, wanted, sets)
+        return out
 
     near = F.col("common") * 100 >= percent * F.col("total")
     distances = measure(pairs)
     homes = distances.select(F.col("b").alias("node"), F.col("a").alias("home"), (1 - F.col("common") / F.col("total")).alias("away"))
-    part = roots(distances.where(near).select(F.col("b").alias("node"), F.col("a").alias("parent")))
+    part = written(roots(distances.where(near).select(F.col("b").alias("node"), F.col("a").alias("parent"))), "components")
 
     tested, active, slots, radius = pairs, regions.drop("pivot"), FIRST_PIVOTS, 1 - percent / 100
     while True:
@@ -306,13 +330,16 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
             tested = tested.union(pairs)
             new = distances.where(near).select("a", "b")
             if not new.isEmpty():
-                part = written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components")
+                old, part = part, written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components")
+                discard(old)
+            discard(distances)
         used = drawn.select("token", F.col("q.node").alias("node"))
         active = state.select("token", "node", "n", "pos").join(used, ["token", "node"], "left_anti")
         slots *= 4
 
     joined = nodes.join(part, "node", "left").select(*KEY, "low", F.coalesce("component", "node").alias("component"))
     joined = written(joined, "members")
+    rarity.destroy()
     least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = joined.join(least, "component").select(*KEY, "component_id")
     out = rows.drop("prefix", "k").join(ids, KEY, "left")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contractflow.llm.text import U64, append, parts
+from contractflow.llm.text import U64, append, lean, parts
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -125,7 +125,7 @@ def counted(labelled: DataFrame, text: str, lang: str) -> DataFrame:
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], ["lang", "bucket", "n"])
 
-    rows = labelled.select(F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")).mapInArrow(run, "lang string, bucket int, n long")
+    rows = labelled.select(F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")).mapInArrow(lean(run), "lang string, bucket int, n long")
     return rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 

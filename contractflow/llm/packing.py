@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from contractflow.llm.pretokens import cut, lexicon
 from contractflow.llm.store import written
-from contractflow.llm.text import parts, utf8
+from contractflow.llm.text import lean, parts, utf8
 
 
 class OpenBins:
@@ -139,7 +139,7 @@ def token_runs(docs: DataFrame, tokenizer_path: str, text: str, doc_id: str, cap
                     columns.append(pa.ListArray.from_arrays(cuts, ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids"][: len(columns)])
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(lean(run), schema)
 
 
 def pack(
