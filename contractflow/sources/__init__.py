@@ -1,5 +1,14 @@
 """Streams and tables the engine reads from and writes to."""
 
+from contractflow.sources.commits import (
+    CommitConflict,
+    CommitLog,
+    closed_days,
+    compact,
+    live_files,
+    snapshot,
+    vacuum,
+)
 from contractflow.sources.kafka import (
     MESSAGE_SCHEMA,
     as_messages,
@@ -31,10 +40,14 @@ from contractflow.sources.tables import (
 
 __all__ = [
     "MESSAGE_SCHEMA",
+    "CommitConflict",
+    "CommitLog",
     "Tables",
     "append",
     "as_messages",
     "bronze_schema",
+    "closed_days",
+    "compact",
     "contract_topic_stream",
     "drop_expired",
     "drop_load",
@@ -42,6 +55,7 @@ __all__ = [
     "file_stream",
     "kafka_sink",
     "kafka_stream",
+    "live_files",
     "namespace_statements",
     "provision",
     "provision_all",
@@ -49,9 +63,11 @@ __all__ = [
     "replace_load",
     "retained",
     "retention_days",
+    "snapshot",
     "table_ddl",
     "table_stream",
     "union_widened",
+    "vacuum",
     "widen",
     "with_trigger",
 ]

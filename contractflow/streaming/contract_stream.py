@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -15,6 +16,7 @@ from contractflow.operators.decode import PAYLOAD, RAW, RAW_BYTES, decode_contra
 from contractflow.operators.routing import audit_columns, count_columns, drift_column, project_fields
 from contractflow.operators.validate import ERRORS, VALID, validate
 from contractflow.plans import Contract
+from contractflow.sources.commits import CommitLog
 from contractflow.sources.kafka import DEFAULT_TRIGGER, with_trigger
 from contractflow.sources.tables import (
     Tables,
@@ -72,7 +74,7 @@ def provision_stats(spark: SparkSession, table: str, provider: str = "parquet")
 
 
 def batch_writer(
-    contract: Contract, tables: Tables, stats_table: str | None = None
+    contract: Contract, tables: Tables, stats_table: str | None = None, log: CommitLog | None = None
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` body: four actions at most, whatever the number of rules.
 
@@ -80,6 +82,9 @@ def batch_writer(
     replayed after a crash replaces its own rows, and a restart from a new checkpoint gets
     ids of its own instead of replacing another run's. Only the first batch after a start can
     be a replay, so only that one looks for rows of its own.
+
+    With a log, both sides are written under an id of this attempt and become visible by one commit. A batch
+    that was committed before a crash is not written again, and nothing is ever deleted.
     """
     bronze = bronze_schema(contract, tables.drift).fieldNames()
     written: set[int] = set()
@@ -89,7 +94,12 @@ def batch_writer(
         started = time.monotonic()
         spark = batch.sparkSession
         load_id = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
-        fresh = bool(written)
+        fresh = bool(written) or log is not None
+        if log is not None:
+            if not written and log.committed(load_id):
+                written.add(batch_id)
+                return
+            batch_load, load_id = load_id, f"{load_id}-{uuid.uuid4().hex[:8]}"
         # Cached for three short reads: compressing the columns would cost more than decoding them did.
         # The setting is that of the stream's own session.
         spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
@@ -120,6 +130,8 @@ def batch_writer(
                 line = (batch_id, counts["total"], counts["valid"], counts["invalid"], time.monotonic() - started)
                 stats = spark.createDataFrame([line], STATS_SCHEMA)
                 replace_load(stats, stats_table, load_id, (), tables.provider, fresh)
+            if log is not None:
+                log.commit_load(batch_load, load_id, counts["valid"], counts["invalid"])
             written.add(batch_id)
         finally:
             batch.unpersist()
@@ -137,9 +149,10 @@ def start_contract_stream(
     as_of: Column | None = None,
     avro_schema: str | None = None,
     decode_check: bool = True,
+    log: CommitLog | None = None,
 ) -> StreamingQuery:
-    """Route a message stream into the contract's tables."""
+    """Route a message stream into the contract's tables; with a log, each batch is one commit of both."""
     tagged = tag_messages(messages, contract, as_of, avro_schema, decode_check, tables.drift)
-    writer = tagged.writeStream.foreachBatch(batch_writer(contract, tables, stats_table))
+    writer = tagged.writeStream.foreachBatch(batch_writer(contract, tables, stats_table, log))
     return with_trigger(writer.option("checkpointLocation", checkpoint), trigger).start()
 
