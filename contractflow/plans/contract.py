@@ -70,7 +70,8 @@ def contract_from_dict(doc: Mapping[str, Any], enforce_required: bool | None = N
 
     ``enforce_required`` turns ``nullable: false`` into a check. It is on by default for the
     field/check form, which defines it so, and off for the rule-text form, where only a
-    ``has(...)`` rule makes a field required.
+    ``has(...)`` rule makes a field required. Rule texts may use numbers such as ``1e5`` and ``+5`` where the
+    document's quality section says ``numbers: any``.
     """
     if "contract" in doc:
         return _from_checks(doc["contract"], True if enforce_required is None else enforce_required)
@@ -81,8 +82,9 @@ def _from_rule_texts(doc: Mapping[str, Any], enforce_required: bool) -> Contract
     info, storage = doc.get("info", {}), doc.get("storage", {})
     fields = tuple(_field(f) for f in doc.get("schema", {}).get("fields", []))
     required = [required_rule(f.name) for f in fields if enforce_required and not f.nullable]
+    any_number = doc.get("quality", {}).get("numbers") == "any"
     rules = [
-        rule_from_text(r.get("name", "unnamed_rule"), r["expr"], not r.get("disabled", False))
+        rule_from_text(r.get("name", "unnamed_rule"), r["expr"], not r.get("disabled", False), any_number)
         for r in doc.get("quality", {}).get("rules", [])
         if r.get("expr", "").strip()
     ]

@@ -35,11 +35,10 @@ class Rule:
 
 UNRECOGNISED = "unrecognised"
 
-_NUMBER = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
-_OPERAND = r"(?:\d|\.|-)+"  # what may be meant for a number; whether it is one is asked afterwards
+_NUMBER = re.compile(r"(?P<plus>\+?)-?(?:\d+(?:\.\d*)?|\.\d+)(?P<power>(?:[eE][+-]?\d+)?)")
+_OPERAND = r"\S+"  # any word; whether it is a number is asked afterwards
 
-# The rule texts a contract may use, one form per rule kind. Operands that are no numbers are
-# told apart from texts of no form afterwards.
+# The rule texts a contract may use, one form per rule kind.
 RULE_FORMS = {
     "allowed_values": r"(?P<field>\w+)\s+in\s+\[(?P<items>.+)\]",
     "compare": r"(?P<field>\w+)\s*(?P<op>>=|<=|!=|>|<)\s*(?P<number>" + _OPERAND + ")",
@@ -58,7 +57,7 @@ _ITEM = re.compile(r"""'(?P<single>[^']*)'|"(?P<double>[^"]*)"|(?P<bare>[^,\s'"]
 
 def _number(text: Any, rule: str) -> float:
     number = isinstance(text, (int, float)) and not isinstance(text, bool)
-    if not number and not (isinstance(text, str) and re.fullmatch(_NUMBER, text.strip())):
+    if not number and not (isinstance(text, str) and _NUMBER.fullmatch(text.strip())):
         raise ContractError(f"rule {rule!r}: {text!r} is not a number")
     return float(text)
 
@@ -71,9 +70,19 @@ def _items(text: str) -> list[str]:
     return found
 
 
-def rule_from_text(name: str, text: str, enabled: bool = True) -> Rule:
+def _operand(word: str, any_number: bool) -> bool:
+    """Whether a word of a rule is an operand. Words with letters or quotes are not (they may belong to another form),
+    nor, unless ``any_number``, are numbers with a power of ten or a plus sign; any other word is meant for one."""
+    found = _NUMBER.fullmatch(word)
+    if found:
+        return any_number or not (found["plus"] or found["power"])
+    return not any(c.isalpha() or c in "'\"()[]&+" for c in word)
+
+
+def rule_from_text(name: str, text: str, enabled: bool = True, any_number: bool = False) -> Rule:
     """Read one rule text; a text of no known form becomes an unrecognised rule, and so does a disabled one,
-    which is not read any further."""
+    which is not read any further. ``any_number`` also reads operands such as ``1e5`` and ``+5``, which
+    are of no known form otherwise; a word that is meant for a number and is none raises."""
     text = text.strip()
     if not enabled:
         return Rule(name, UNRECOGNISED, None, {}, text, False)
@@ -82,6 +91,8 @@ def rule_from_text(name: str, text: str, enabled: bool = True) -> Rule:
         if match is None:
             continue
         parts = match.groupdict()
+        if not all(_operand(parts[p], any_number) for p in ("number", "min", "max") if p in parts):
+            continue
         target = parts.pop("field")
         if kind == "allowed_values":
             parts = {"values": _items(parts["items"])}

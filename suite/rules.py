@@ -293,6 +293,18 @@ def rule_uncompiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged_rows(table(spark, sf_dir, "events"), ["event_id"], rules)
 
 
+_NUMBER_FORMS = {"power": ("value < 2e2", "value >= 200"), "plus": ("user_id >= +10", "user_id < 10"), "point": ("value > .5", "value <= 0.5"), "both": ("user_id >= +1e1 && user_id <= 1.39E+2", "user_id < 10 OR user_id > 139"), "unit": ("event_id <= 1e300", "event_id > 1e300")}
+
+
+@query("SELECT event_id, rule FROM (" + " UNION ALL ".join(f"SELECT event_id, '{name}' AS rule FROM events WHERE {broken}" for name, (_, broken) in _NUMBER_FORMS.items()) + ")")
+def rule_number_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operands with powers of ten, signs and bare points, where a contract allows them."""
+    rules = [rule_from_text(name, text, any_number=True) for name, (text, _) in _NUMBER_FORMS.items()]
+    tagged = tagged_rows(table(spark, sf_dir, "events"), ["event_id"], rules)
+    named = F.explode(F.filter(F.split("errors", r"[\[\]]"), lambda x: x.isin(*_NUMBER_FORMS)))
+    return tagged.where("NOT is_valid").select("event_id", named.alias("rule"))
+
+
 @query(_ALL_PASS)
 def rule_disabled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged_rows(table(spark, sf_dir, "events"), ["event_id"], [rule_from_text("off", "value > 1000", enabled=False)])

@@ -178,3 +178,23 @@ def test_one_bad_file_does_not_stop_a_folder(tmp_path):
     loaded, skipped = load_contracts(tmp_path)
     assert [c.name for c in loaded] == ["good"]
     assert sorted(skipped) == ["bound.json", "bytes.yaml", "folder.yaml", "none.json", "pair.json", "tolerance.json"]
+
+
+@pytest.mark.parametrize(
+    "text, number", [("f > 1e5", 1e5), ("f <= +5", 5.0), ("f >= -1.5E-2", -0.015), ("f != .5", 0.5), ("f < 7.", 7.0)]
+)
+def test_any_number_form_where_the_contract_allows_it(text, number):
+    assert rule_from_text("r", text, any_number=True).args["number"] == number
+    plain = rule_from_text("r", text)
+    assert (plain.kind == "compare") == (not any(c in text[4:] for c in "eE+"))
+    doc = {"info": {"title": "t"}, "quality": {"numbers": "any", "rules": [{"name": "r", "expr": text}]}}
+    assert contract_from_dict(doc).active_rules[0].args["number"] == number
+
+
+def test_number_forms_in_bands_and_beside_other_forms():
+    band = rule_from_text("r", "f >= +1e1 && g <= 2E2", any_number=True)
+    assert (band.kind, band.args) == ("range", {"min": 10.0, "max": 200.0})
+    for text, kind in (("f < now()", "not_future"), ("f != ''", "not_blank"), ('f != ""', "not_blank"), ("f > g", "unrecognised"), ("f > 1e", "unrecognised")):
+        assert rule_from_text("r", text, any_number=True).kind == kind
+    with pytest.raises(ContractError, match="is not a number"):
+        rule_from_text("r", "f > 1.2.3", any_number=True)
