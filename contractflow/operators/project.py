@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,14 +72,18 @@ def iso_text(at: Column) -> Column:
     The text is made from the microseconds since the epoch, so it is the same in every session time zone.
     """
     micros = F.unix_micros(at)
-    day = F.date_add(F.lit(date(1970, 1, 1)), F.floor(micros / F.lit(Decimal(86_400_000_000))).cast("int"))
     rest = F.pmod(micros, F.lit(86_400_000_000))
+    day = F.date_add(F.lit(date(1970, 1, 1)), _whole(micros - rest, 86_400_000_000).cast("int"))
+    second = _whole(rest, 1_000_000)
+    clock = _whole(second, 3600) * 10_000 + F.pmod(_whole(second, 60), F.lit(60)) * 100 + F.pmod(second, F.lit(60))
+    shown, fraction = (F.substring((x + 1_000_000).cast("string"), 2, 6) for x in (clock, F.pmod(rest, F.lit(1_000_000))))
+    parts = [F.substring(shown, i, 2) for i in (1, 3, 5)]
+    return F.concat(day.cast("string"), F.lit("T"), parts[0], F.lit(":"), parts[1], F.lit(":"), parts[2], F.lit("."), fraction, F.lit("+00:00"))
 
-    def digits(unit: int, size: int, width: int) -> Column:
-        return F.lpad(F.pmod(F.floor(rest / F.lit(Decimal(unit))), F.lit(size)).cast("string"), width, "0")
 
-    clock = [digits(3_600_000_000, 24, 2), digits(60_000_000, 60, 2), digits(1_000_000, 60, 2)]
-    return F.concat(day.cast("string"), F.lit("T"), F.concat_ws(":", *clock), F.lit("."), digits(1, 1_000_000, 6), F.lit("+00:00"))
+def _whole(number: Column, unit: int) -> Column:
+    """How many whole units a long holds, in long arithmetic."""
+    return F.call_function("div", number, F.lit(unit).cast("long"))
 
 
 def message_json(domain: Domain, passed: Column, clock: Column) -> Column:
