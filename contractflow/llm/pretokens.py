@@ -115,7 +115,7 @@ class Lexicon:
     LONGEST = 64
     EACH = 48  # bytes of index for a pre-token
 
-    def __init__(self, path: str, lowered: bool, most: int = 64 << 20):
+    def __init__(self, path: str, lowered: bool, most: int = 32 << 20):
         self.whole, self.lowered, self.most = tokenizer(path), lowered, most
         self.forget()
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PART_BYTES = 1 << 20
+PART_BYTES = 3 << 17
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
