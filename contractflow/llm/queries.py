@@ -112,10 +112,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs).select("doc_id", *base, "base_failed", "kept", "posterior")
 
 
-SHARD_BYTES = 64 << 20
+SHARD_BYTES, LEAST_SHARDS = 64 << 20, 12  # a table of less than so many shards gets smaller ones
 
 
-def sharding_sql(limit: int) -> str:
+def sharding_sql() -> str:
     digits = "strpos('0123456789abcdef', md5(CAST(doc_id AS VARCHAR))[i]) - 1"
     four = " || ".join(f"CAST(x // {p} % 2 AS VARCHAR)" for p in (8, 4, 2, 1))
     return f"""
@@ -124,15 +124,18 @@ WITH rows AS (
     array_to_string(list_transform(list_transform(range(1, 17), lambda i: {digits}), lambda x: {four}), '') AS bits FROM documents),
 prefixes AS (SELECT doc_id, n_bytes, depth, substr(bits, 1, depth) AS shard FROM rows, (SELECT unnest(range(0, 65)) AS depth)),
 sums AS (SELECT depth, shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_docs FROM prefixes GROUP BY ALL),
-fits AS (SELECT * FROM prefixes JOIN sums USING (depth, shard) WHERE shard_bytes <= {limit} OR shard_docs = 1)
+most AS (SELECT least({SHARD_BYTES}, greatest(1, sum(n_bytes) // {LEAST_SHARDS})) AS bytes FROM rows),
+fits AS (SELECT * FROM prefixes JOIN sums USING (depth, shard), most WHERE shard_bytes <= bytes OR shard_docs = 1)
 SELECT doc_id, n_bytes, shard, CAST(depth AS INTEGER) AS depth, shard_bytes, shard_docs FROM fits
 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
 
 
-@query(sharding_sql(SHARD_BYTES))
+@query(sharding_sql())
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
+    docs = table(spark, sf_dir, "documents")
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return shard(docs, limit=min(SHARD_BYTES, max(1, total // LEAST_SHARDS)))
 
 
 # how the transcripts of the conversations are written, by conversation; the last without any markers
@@ -158,8 +161,11 @@ def transcript_lines(turns: DataFrame) -> DataFrame:
 
 @query()
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model is counted from three conversations in four; the fourth, marked ``held_out``, is only parsed."""
     lines = transcript_lines(table(spark, sf_dir, "conversations"))
-    return chat.parse(lines).withColumnRenamed("conv", "conv_id")
+    out = F.coalesce(F.pmod(F.crc32(F.reverse(F.col("conv").cast("string")).cast("binary")), F.lit(4)) == 2, F.lit(False))
+    shown = lines.withColumn("held_out", out).withColumn("known", F.when(~F.col("held_out"), F.col("known")))
+    return chat.parse(shown, ("held_out",)).withColumnRenamed("conv", "conv_id")
 
 
 @query()

@@ -95,3 +95,19 @@ def test_extra_columns_are_kept(spark):
     lines = transcript_lines(turns).withColumns({"rendered": F.lit("theirs"), "state": F.lit(9), "ask": F.lit("x")})
     got = chat.parse(lines.drop("rendered")).first()
     assert "hello there" in got["rendered"]
+
+
+def test_held_out_conversations(spark):
+    """Roles of lines that the model was not counted from: with markers, and without any."""
+    from pyspark.sql import functions as F
+
+    from contractflow.llm.queries import STYLES, op7_chat_formatting
+
+    sf = "/root/testdata/sf0.1"
+    told = transcript_lines(spark.read.parquet(f"{sf}/conversations.parquet")).select(F.col("conv").alias("conv_id"), "turn", "line", "known")
+    style = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(len(STYLES)))
+    rows = op7_chat_formatting(spark, sf).where("held_out").join(told, ["conv_id", "turn", "line"]).withColumn("marked", style < 3)
+    found = {r["marked"]: r for r in rows.groupBy("marked").agg(F.count("*").alias("n"), F.avg((F.col("role") == F.col("known")).cast("int")).alias("share")).collect()}
+    assert found[True]["n"] > 500 and found[True]["share"] > 0.97
+    most = max(r["count"] for r in rows.where("NOT marked").groupBy("known").count().collect())
+    assert found[False]["n"] > 200 and found[False]["share"] > 1.05 * most / found[False]["n"]  # better than naming one role
