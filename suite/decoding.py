@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contractflow import compile_rules, validate
 from contractflow.functions import frame, frame_payload, frame_schema_id, is_framed
@@ -22,6 +23,7 @@ from contractflow.operators import (
     wrap_event,
 )
 from contractflow.operators.decode import PAYLOAD
+from contractflow.operators.schemas import ReaderField, decode_by_schema
 from contractflow.plans import DOMAINS, rule_from_text
 from contractflow.sources import as_messages
 from suite.domains import decoded_events
@@ -323,3 +325,42 @@ def conformance_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [{"type": "enum", "name": "Seen", "symbols": ["click", "view"]}, {"type": "enum", "name": "Done", "symbols": ["purchase"]}]
     schema = _record(event_id=["null", "long", "string"], event_type=["null", *names], value=["null", "long", "double"], props=["null", "long", "double"])
     return _refused_fields(schema, table(spark, sf_dir, "events").drop("ts", "user_id"), "event_id")
+
+
+def _columns(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
+
+WRITERS = {
+    7: _columns(id=T.IntegerType(), user=T.IntegerType(), kind=T.StringType()),
+    8: _columns(event_id=T.LongType(), user_id=T.LongType(), event_type=T.StringType(), value=T.FloatType()),
+    70000: _columns(event_id=T.LongType(), user_id=T.LongType(), event_type=T.StringType(), value=T.DoubleType(), note=T.StringType()),
+}
+READER = (
+    ReaderField("event_id", T.LongType(), ("id",), required=True),
+    ReaderField("user_id", T.LongType(), ("uid", "user")),
+    ReaderField("event_type", T.StringType(), ("kind",)),
+    ReaderField("value", T.DoubleType(), default=-1.0),
+)
+
+
+@query(
+    "SELECT event_id AS at, CASE event_id % 5 WHEN 0 THEN 7 WHEN 1 THEN 8 WHEN 2 THEN CAST(70000 AS BIGINT) WHEN 3 THEN 9 END AS schema_id, "
+    "CASE WHEN event_id % 5 < 3 THEN event_id END AS event_id, CASE WHEN event_id % 5 < 3 THEN user_id END AS user_id, "
+    "CASE WHEN event_id % 5 < 3 THEN event_type END AS event_type, "
+    "CASE event_id % 5 WHEN 0 THEN -1 WHEN 1 THEN CAST(CAST(floor(value) AS FLOAT) AS DOUBLE) WHEN 2 THEN value END AS value, "
+    "event_id % 5 >= 3 AS undecoded FROM events"
+)
+def frames_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three schemas in one topic, read under one; an unknown id and a message without a frame stay as they came."""
+    events = table(spark, sf_dir, "events")
+    case = F.col("event_id") % 5
+    first = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("user"), F.col("event_type").alias("kind")))
+    second = F.to_json(F.struct("event_id", "user_id", "event_type", F.floor("value").alias("value")))
+    third = F.to_json(F.struct("event_id", "user_id", "event_type", "value", F.lit("not read").alias("note")))
+    body = F.when(case == 0, first).when(case == 1, second).otherwise(third)
+    number = F.when(case == 0, 7).when(case == 1, 8).when(case == 2, 70000).otherwise(9)
+    value = F.when(case < 4, frame(body, number)).otherwise(F.lit("{}").cast("binary"))
+    messages = events.select(F.col("event_id").cast("string").cast("binary").alias("key"), value.alias("value"))
+    decoded = decode_by_schema(messages, WRITERS, READER)
+    return decoded.select(F.col("kafka_key").cast("long").alias("at"), "schema_id", "event.*", F.col("undecoded").isNotNull().alias("undecoded"))
