@@ -4,6 +4,10 @@ Every rule votes good, votes bad or abstains. Expectation maximisation over the
 patterns estimates how accurate each rule is, without labels, and a document is judged by its
 posterior probability of being good instead of by all rules at once. The counts cover all documents;
 there are at most 3**rules patterns, whatever the number of documents.
+
+A rule that calls a good document bad does so rarely, while it calls a bad one good whenever that is bad in
+another way: most junk breaks one rule and keeps the others. So a rule has two rates, that of its false alarms, which
+is bounded, and that of its detections.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from contractflow.llm.text import NOT_SPACE, U64, Words, append, byte_table, edg
 
 SYMBOLS = byte_table(*[(b, b) for b in b"#*$%&|<>"])
 GOOD, BAD, ABSTAIN = 1, -1, 0
+FALSE_ALARM = 0.005  # of a rule's votes on good documents, at most this share says bad
+FEW_LINES = 10  # with fewer, a share of repeated lines tells nothing bad
 
 FEATURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -100,7 +106,7 @@ def rules() -> dict[str, Column]:
         "length": vote(n >= 80, n < 50),
         "word_length": vote((chars >= 3 * n) & (chars <= 9 * n) & enough, (chars < 2 * n) | (chars > 14 * n)),
         "symbols": vote((50 * F.col("n_symbols") <= n) & enough, 5 * F.col("n_symbols") > n),
-        "repeated_lines": vote((20 * F.col("n_dup_lines") <= F.col("n_lines")) & (F.col("n_lines") > 1), 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
+        "repeated_lines": vote((20 * F.col("n_dup_lines") <= F.col("n_lines")) & (F.col("n_lines") > 1), (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")) & (F.col("n_lines") >= FEW_LINES)),
         "repeated_words": vote((10 * F.col("n_repeat_words") <= n) & enough, 100 * F.col("n_repeat_words") > 30 * n),
         "letters": vote((10 * F.col("n_letters") >= 8 * chars) & enough, 10 * F.col("n_letters") < 6 * chars),
         "sentences": vote((F.col("n_stops") > 0) & (40 * F.col("n_stops") >= n), (n >= 80) & (F.col("n_stops") == 0)),
@@ -109,7 +115,8 @@ def rules() -> dict[str, Column]:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Naive Bayes over votes: log odds of good for each rule's vote of bad, none and good, and of the prior."""
+    """Naive Bayes over votes: log odds of good for each rule's vote of bad, none and good, and of the prior.
+    ``accuracy`` is the share of right votes, the mean of both classes' where these have rates of their own."""
 
     names: tuple[str, ...]
     prior: float
@@ -151,11 +158,44 @@ def fit(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], rounds
     return LabelModel(names, float(np.log(prior) - np.log1p(-prior)), tuple((-float(x), 0.0, float(x)) for x in lean), tuple(map(float, accuracy)))
 
 
+def fit_bounded(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], false_alarm: float = FALSE_ALARM, rounds: int = 500) -> LabelModel:
+    """The same with a rate of false alarms, of ``false_alarm`` at most, and a rate of detections for each rule.
+
+    It starts from rules that raise half as many false alarms and find three bad documents in ten; a rule always finds more
+    than it raises falsely, so that no vote speaks for its opposite. At least half of the documents are taken to be good:
+    one that no rule calls bad is always kept. An empty table gives the starting model.
+    """
+    m, weight = patterns.shape[1], counts.astype(float)
+    bad, good = (patterns == BAD).astype(float), (patterns == GOOD).astype(float)
+    false, found, prior = np.full(m, false_alarm / 2), np.full(m, 0.3), 0.8
+
+    def odds() -> tuple[np.ndarray, np.ndarray]:
+        return np.log(false / found), np.log1p(-false) - np.log1p(-found)
+
+    for _ in range(rounds if weight.sum() else 0):
+        against, for_ = odds()
+        fine = 1.0 / (1.0 + np.exp(-np.clip(np.log(prior) - np.log1p(-prior) + bad @ against + good @ for_, -500, 500)))
+
+        def share(of: np.ndarray, said: float, votes: float) -> np.ndarray:
+            return ((bad * of[:, None]).sum(0) + said) / (((bad + good) * of[:, None]).sum(0) + votes)
+
+        now_false = np.clip(share(fine * weight, 10 * false_alarm, 20), 1e-6, false_alarm)
+        now_found = np.clip(share((1 - fine) * weight, 6, 20), 2 * false_alarm, 0.99)
+        now_prior = float(np.clip((fine @ weight + 4.0) / (weight.sum() + 5.0), 0.5, 0.99))
+        settled = max(np.abs(now_false - false).max(), np.abs(now_found - found).max(), abs(now_prior - prior)) < 1e-9
+        false, found, prior = now_false, now_found, now_prior
+        if settled:
+            break
+    against, for_ = odds()
+    lean = tuple((float(a), 0.0, float(f)) for a, f in zip(against, for_, strict=True))
+    return LabelModel(names, float(np.log(prior) - np.log1p(-prior)), lean, tuple(map(float, (1 - false + found) / 2)))
+
+
 def learn(voted: DataFrame, names: tuple[str, ...]) -> LabelModel:
-    """The label model of all rows of a table with vote columns; only pattern counts reach the driver."""
+    """The label model, with bounded false alarms, of all rows of a table with vote columns; only pattern counts reach the driver."""
     rows = voted.groupBy(*[f"vote_{n}" for n in names]).agg(F.count("*").alias("n")).orderBy(*[f"vote_{n}" for n in names]).collect()
     patterns = np.array([[r[f"vote_{n}"] for n in names] for r in rows], int).reshape(len(rows), len(names))
-    return fit(patterns, np.array([r["n"] for r in rows]), names)
+    return fit_bounded(patterns, np.array([r["n"] for r in rows]), names)
 
 
 def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -42,6 +42,31 @@ def test_expectation_maximisation_finds_the_accuracies():
     assert abs(1 / (1 + np.exp(-model.prior)) - 0.7) < 0.04
 
 
+def test_rules_that_see_one_fault_each():
+    """Bad documents break one rule of six and keep the others; each rule alarms falsely on one good document in 400."""
+    rng = np.random.default_rng(2)
+    good, bad = np.ones((9_000, 6), int), np.ones((1_000, 6), int)
+    good[rng.random(good.shape) < 0.0025] = -1
+    bad[np.arange(1_000), rng.integers(0, 6, 1_000)] = -1
+    votes = np.concatenate([good, bad])
+    votes[rng.random(votes.shape) < 0.1] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = Q.fit_bounded(patterns, counts, tuple("abcdef"))
+    odds = np.array(model.odds)
+    total = model.prior + (votes[:, :, None] == np.array([-1, 0, 1])).astype(float).reshape(len(votes), -1) @ odds.ravel()
+    kept = total >= 0
+    flagged = (votes == -1).any(1)
+    assert kept[~flagged].all() and not kept[flagged].any()
+    assert (odds[:, 0] < 0).all() and (odds[:, 2] > 0).all()
+
+
+def test_bounded_rates_on_clean_and_empty_tables():
+    model = Q.fit_bounded(np.empty((0, 2), int), np.empty(0, int), ("a", "b"))
+    assert abs(1 / (1 + np.exp(-model.prior)) - 0.8) < 1e-9
+    clean = Q.fit_bounded(np.ones((1, 3), int), np.array([500]), ("a", "b", "c"))
+    assert clean.prior > 3 and all(g > 0 > b for b, _, g in clean.odds)
+
+
 def test_votes_of_a_model_without_rows():
     model = Q.fit(np.empty((0, 2), int), np.empty(0, int), ("a", "b"))
     assert model.accuracy == (0.8, 0.8)
