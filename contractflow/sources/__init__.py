@@ -7,6 +7,7 @@ from contractflow.sources.commits import (
     compact,
     live_files,
     snapshot,
+    upgrade,
     vacuum,
 )
 from contractflow.sources.kafka import (
@@ -67,6 +68,7 @@ __all__ = [
     "table_ddl",
     "table_stream",
     "union_widened",
+    "upgrade",
     "vacuum",
     "widen",
     "with_trigger",

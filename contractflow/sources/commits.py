@@ -25,6 +25,10 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contractflow.operators.decode import PAYLOAD, RAW
+from contractflow.operators.upgrade import message_of, rejudged_certified, rejudged_refused, rule_changes
+from contractflow.operators.validate import ERRORS
+from contractflow.plans import Contract
 from contractflow.sources.tables import BUCKET, LOAD_BUCKETS, LOAD_ID, Tables, date_column, drop_files, replace_load
 
 FOLD = 200  # versions from one folded state to the next
@@ -39,7 +43,7 @@ ENTRY = f"version long, kind string, load string, ids array<string>, valid long,
 
 
 class CommitConflict(RuntimeError):
-    """Another compaction of the same days was committed first."""
+    """Another compaction or upgrade of the same days was committed first."""
 
 
 @dataclass
@@ -97,9 +101,9 @@ class CommitLog:
         while True:
             version = self.latest() + 1
             if since is not None and version - 1 > since:
-                later = self.entries(since, version - 1).where("kind = 'compact'").select(F.explode("days").alias("d")).select("d.side", "d.day")
+                later = self.entries(since, version - 1).select(F.explode("days").alias("d")).select("d.side", "d.day")
                 if days & {tuple(r) for r in later.distinct().collect()}:
-                    raise CommitConflict(f"a compaction of the same days was committed after version {since}")
+                    raise CommitConflict(f"another change of the same days was committed after version {since}")
             entry = entry | {"version": version, "at": datetime.now().astimezone().isoformat()}
             entry["days"] = [d | {"version": version} for d in entry.get("days", ())]
             if self._create(self._file(version), json.dumps(entry)):
@@ -313,3 +317,55 @@ def vacuum(log: CommitLog, tables: Tables, keep: int, grace_seconds: float = GRA
 def closed_days(log: CommitLog, tables: Tables, sides: Iterable[str], before: date, target: int = TARGET_BYTES) -> list[int]:
     """Compact the closed days of several sides; the versions committed."""
     return [v for v in (compact(log, tables, side, before, target) for side in sides) if v is not None]
+
+
+def upgrade(log: CommitLog, tables: Tables, old: Contract, new: Contract, as_of: datetime | Column) -> int | None:
+    """Bring both tables of a JSON contract to a newer version, by the rules that changed; the version that shows it,
+    or None where no row changes.
+
+    Rows move between the sides, and messages change, in one commit: a reader sees all of it or nothing. Only loads
+    (of a day) with a row that changes are written again; all others stay as they are. A row keeps the time it was
+    ingested and takes the new contract's version if it changed. The raw text of a row that was certified is made from
+    its fields. A compaction or upgrade of the same days that is committed meanwhile raises CommitConflict.
+    """
+    changes, spark, version = rule_changes(old, new), log.spark, log.latest()
+    if changes.none or not version:
+        return None
+    held = {}
+    for side in ("bronze", "quarantine"):
+        name = side_of(tables, side)[0]
+        spark.catalog.refreshTable(name)
+        rows = spark.table(name)
+        held[side] = _live(rows.withColumns({"__id": F.col(LOAD_ID), "__day": day_of(tables, side)}), log, side, version)
+    good = rejudged_certified(held["bronze"], changes, as_of).withColumn("__moved", F.size(ERRORS) > 0)
+    before = held["quarantine"].withColumn("__before", F.col(ERRORS))
+    bad = rejudged_refused(before, new, changes, as_of).withColumn("__moved", F.size(ERRORS) == 0)
+    changed = {"bronze": F.col("__moved"), "quarantine": ~F.col(ERRORS).eqNullSafe(F.col("__before"))}
+    id, entries, writes, counts = f"upgrade-{uuid.uuid4().hex[:8]}", [], {}, {"bronze": 0, "quarantine": 0}
+    stay = {}
+    for side, rows in (("bronze", good), ("quarantine", bad)):
+        units = rows.groupBy("__day", "__id").agg(F.max(changed[side]).alias("hit")).cache()
+        hit = units.where("hit").select(F.coalesce("__day", F.lit("")).alias("__key"), F.col("__id").alias("__unit"))
+        keyed = rows.withColumn("__key", F.coalesce("__day", F.lit("")))
+        stay[side] = keyed.join(_sent(hit), (keyed["__key"] == hit["__key"]) & (keyed["__id"] == hit["__unit"]), "left_semi")
+        kept = F.sort_array(F.collect_set(F.when(~F.col("hit"), F.col("__id"))))
+        days = units.groupBy("__day").agg(F.max("hit").alias("hit"), kept.alias("held")).where("hit")
+        entries += [{"side": side, "day": r["__day"], "upto": version, "held": r["held"]} for r in days.toLocalIterator()]
+        units.unpersist()
+    if not entries:
+        return None
+    audit = ["ingested_at", "source_format"]
+    now = F.lit(new.version).alias("schema_version")
+    fields = list(new.field_names)
+    kept_good = stay["bronze"].where("NOT __moved").select(*fields, *audit, "schema_version")
+    raised = stay["quarantine"].where("__moved").select(*[F.col(f"{PAYLOAD}.{f}").alias(f) for f in fields], *audit, now)
+    writes["bronze"] = kept_good.unionByName(raised)
+    renewed = F.when(changed["quarantine"], F.lit(new.version)).otherwise(F.col("schema_version")).alias("schema_version")
+    kept_bad = stay["quarantine"].where("NOT __moved").select(RAW, *audit, renewed, ERRORS)
+    dropped = stay["bronze"].where("__moved").select(message_of(new).alias(RAW), *audit, now, ERRORS)
+    writes["quarantine"] = kept_bad.unionByName(dropped)
+    for side, rows in writes.items():
+        name, partitioning = side_of(tables, side)
+        replace_load(rows, name, id, partitioning, tables.provider, fresh=True)
+        counts[side] = spark.table(name).where(F.col(LOAD_ID) == id).count()
+    return log._commit({"kind": "upgrade", "ids": [id], "valid": counts["bronze"], "invalid": counts["quarantine"], "days": entries}, since=version)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from contractflow import scratch
 from contractflow.functions import instant
 from contractflow.operators import route
-from contractflow.sources import CommitLog, Tables, closed_days, live_files, provision, replace_load, snapshot
+from contractflow.plans import Contract, rule_from_text
+from contractflow.sources import CommitLog, Tables, closed_days, live_files, provision, replace_load, snapshot, upgrade
 from contractflow.streaming import start_contract_stream
 from suite.mappings import event_messages, row_stream
-from suite.registry import AS_OF, query
+from suite.registry import AS_OF, query, reason_sql
 from suite.routing import EVENT_REASON, tagged_events
-from suite.rules import EVENTS
+from suite.rules import EVENT_VIOLATIONS, EVENTS
 from suite.tables import new_database
 
 PARTS = 3
@@ -78,3 +80,42 @@ def compacted_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         few = F.col("files") <= F.ceil(2 * F.col("bytes") / target) + 1
         out.append(row.where("n > 0").select(F.lit(side).alias("side"), "n", "ids", same.alias("same_as_before"), few.alias("few_files")))
     return out[0].unionAll(out[1])
+
+
+def newer_events() -> Contract:
+    """The events contract with a rule dropped, one changed and one added, in another order."""
+    rules = {r.name: r for r in EVENTS.active_rules}
+    changed = rule_from_text("value-cap", "value <= 90")
+    added = rule_from_text("user-seven", "user_id != 7")
+    return replace(EVENTS, version="2.0.0", rules=(added, rules["ts-not-future"], rules["valid-event-type"], changed, rules["props-two-digits"]))
+
+
+_OLD = dict(zip([r.name for r in EVENTS.active_rules], EVENT_VIOLATIONS, strict=True))
+NEWER = reason_sql(
+    "|",
+    [
+        ("user_id = 7", "RANGE_VIOLATION [user-seven]: 'user_id' failed 'user_id != 7'"),
+        _OLD["ts-not-future"],
+        _OLD["valid-event-type"],
+        ("value > 90", "RANGE_VIOLATION [value-cap]: 'value' failed 'value <= 90'"),
+        _OLD["props-two-digits"],
+    ],
+)
+
+
+@query(f"SELECT CASE WHEN {NEWER} = '' THEN 'bronze' ELSE 'quarantine' END AS side, event_id, user_id, epoch_us(ts) AS ts_us, event_type, value, props, {NEWER} AS errors FROM events")
+def contract_upgraded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads judged by one version of a contract, brought to the next by its changed rules: as if judged from scratch."""
+    tables, log = event_tables(spark)
+    good, bad = route(tagged_events(spark, sf_dir), EVENTS, AS_OF)
+    raw = F.from_json("raw_payload", EVENTS.schema())
+    for part in range(PARTS):
+        mine = F.pmod(F.col("event_id"), F.lit(PARTS)) == part
+        theirs = F.pmod(raw["event_id"], F.lit(PARTS)) == part
+        log.load({"bronze": good.where(mine), "quarantine": bad.where(theirs)}, tables)
+    upgrade(log, tables, EVENTS, newer_events(), AS_OF)
+    good, bad = snapshot(log, tables)
+    columns = ["event_id", "user_id", F.unix_micros("ts").alias("ts_us"), "event_type", "value", "props"]
+    certified = good.select(F.lit("bronze").alias("side"), *columns, F.lit("").alias("errors"))
+    refused = bad.select(raw.alias("raw"), F.array_join("validation_errors", "|").alias("errors")).select("raw.*", "errors")
+    return certified.unionAll(refused.select(F.lit("quarantine").alias("side"), *columns, "errors"))
