@@ -35,16 +35,16 @@ def _print(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) for every node of the links (a, b); the component is its smallest node.
 
-    Null ends, repeated links and links of a node to itself are dropped; no links give no rows.
+    Null ends, repeated links and links of a node to itself are dropped; no links give no rows. ``rows``: as in ``written``.
     """
     pointed = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = written(pointed, "links")
+    now = written(pointed, "links", rows)
     state = _print(now)
     while state[0]:
-        old, now = now, written(_small_star(_large_star(now)), "links")
+        old, now = now, written(_small_star(_large_star(now)), "links", rows)
         discard(old)
         before, state = state, _print(now)
         if state == before:
@@ -53,15 +53,15 @@ def components(links: DataFrame) -> DataFrame:
     return leaves.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def roots(parents: DataFrame) -> DataFrame:
+def roots(parents: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, component) of a forest (node, parent) in which every parent is smaller than its node.
 
     Nodes look up their parents' parents until nothing changes: as many rounds as the logarithm of the depth.
     """
-    now = written(parents.select("node", F.col("parent").alias("component")), "roots")
+    now = written(parents.select("node", F.col("parent").alias("component")), "roots", rows)
     while True:
         above = now.select(F.col("node").alias("component"), F.col("component").alias("higher"))
-        old, step = now, written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots")
+        old, step = now, written(now.join(above, "component", "left").select("node", F.coalesce("higher", "component").alias("component"), F.col("higher").isNotNull().alias("moved")), "roots", rows)
         discard(old)
         now = step.drop("moved")
         now.stored_at = step.stored_at

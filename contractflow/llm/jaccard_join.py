@@ -170,7 +170,7 @@ def measured(docs: DataFrame, size: int, percent: int, rarity) -> DataFrame:
 KEY = ["sig_a", "sig_b", "n"]
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
+def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity, rows: int) -> DataFrame:
     """(sig_a, sig_b, n, shingles) of the wanted nodes, from the text of one row of each.
 
     A filter of fixed size over the rows' hashes k goes to all tasks, so that only the wanted rows (and
@@ -197,7 +197,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int, rarity) -> DataFrame:
 
     found = written(docs.mapInArrow(lean(run), "sig_a long, sig_b long, n long, shingles array<long>"), "shingles")
     sent.destroy()
-    twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice")
+    twice = written(found.groupBy(*KEY).agg(F.count("*").alias("held")).where("held > 1").select(*KEY), "twice", rows)
     some = twice.count()
     if not some:
         discard(twice)
@@ -215,8 +215,8 @@ def could_share(percent: int, n: Column, pos: Column, m: Column, at: Column) ->
     return F.least(n - pos, m - at) * (100 + percent) >= percent * (n + m)
 
 
-def ends_of(pairs: DataFrame) -> DataFrame:
-    return written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+def ends_of(pairs: DataFrame, rows: int) -> DataFrame:
+    return written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends", rows)
 
 
 def possible(pairs: DataFrame, ends: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -277,8 +277,9 @@ def near_duplicates(
 def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent: int, log: Callable[[str], None]) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).withColumn("k", F.xxhash64("doc_id", "text"))
+    count = docs.count()
     least, most = SKETCH_BITS
-    counts = sketch(docs, size, min(max(docs.count().bit_length(), least), most))
+    counts = sketch(docs, size, min(max(count.bit_length(), least), most))
     rarity = spark.sparkContext.broadcast(np.round(np.log2(1.0 + counts) * 1000).astype(np.uint16))
     rows = written(measured(docs, size, percent, rarity), "sets")
     classes = rows.where("n > 0").groupBy(*KEY).agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k"))["k"].alias("k"))
@@ -291,15 +292,16 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     # cells: the pivot with which a set shares most of its prefix; a pivot is the region's least node
     shared = regions.where("node <> pivot").select("node", "pivot").repartition("node").groupBy("node", "pivot").agg(F.count("*").alias("times"))
     cells = shared.groupBy("node").agg(F.max_by("pivot", F.struct("times", -F.col("pivot"))).alias("pivot"))
-    pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs")
+    pairs = written(cells.select(F.col("pivot").alias("a"), F.col("node").alias("b")), "pairs", count)
 
     def measure(pairs: DataFrame) -> DataFrame:
-        ends = ends_of(pairs)
-        close = written(possible(pairs, ends, nodes, percent), "close")
+        some = max(pairs.count(), 1)
+        ends = ends_of(pairs, some)
+        close = written(possible(pairs, ends, nodes, percent), "close", some)
         discard(ends)
-        ends = ends_of(close)
-        wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted")
-        sets = sets_of(docs, wanted, size, rarity)
+        ends = ends_of(close, some)
+        wanted = written(nodes.select("node", *KEY, "k").join(ends, "node"), "wanted", some)
+        sets = sets_of(docs, wanted, size, rarity, some)
         out = written(verified(close, wanted, sets), "distances")
         discard(ends, close, wanted, sets)
         return out
@@ -307,14 +309,15 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
     near = F.col("common") * 100 >= percent * F.col("total")
     distances = measure(pairs)
     homes = distances.select(F.col("b").alias("node"), F.col("a").alias("home"), (1 - F.col("common") / F.col("total")).alias("away"))
-    part = written(roots(distances.where(near).select(F.col("b").alias("node"), F.col("a").alias("parent"))), "components")
+    part = written(roots(distances.where(near).select(F.col("b").alias("node"), F.col("a").alias("parent")), count), "components", count)
 
+    held = regions.count()
     tested, active, slots, radius = pairs, regions.drop("pivot"), FIRST_PIVOTS, 1 - percent / 100
     while True:
         state = active.join(part.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
         mixed = state.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high").select("token")
-        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state")
-        left = state.count()
+        state = written(state.join(mixed, "token").join(homes, "node", "left"), "state", held)
+        left = held = state.count()
         log(f"{left} rows of unresolved regions, {slots} pivots each")
         if not left:
             break
@@ -324,13 +327,13 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
         fits = could_share(percent, F.col("n"), F.col("pos"), F.col("q.n"), F.col("q.pos"))
         met = state.join(drawn, "token").where((F.col("node") != F.col("q.node")) & (F.col("c") != F.col("q.c")) & fits & window)
         pairs = met.select(F.least("node", "q.node").alias("a"), F.greatest("node", "q.node").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs", left)
         if not pairs.isEmpty():
             distances = measure(pairs)
             tested = tested.union(pairs)
             new = distances.where(near).select("a", "b")
             if not new.isEmpty():
-                old, part = part, written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new)), "components")
+                old, part = part, written(components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(new), count), "components", count)
                 discard(old)
             discard(distances)
         used = drawn.select("token", F.col("q.node").alias("node"))
@@ -338,7 +341,7 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, size: int, percent
         slots *= 4
 
     joined = nodes.join(part, "node", "left").select(*KEY, "low", F.coalesce("component", "node").alias("component"))
-    joined = written(joined, "members")
+    joined = written(joined, "members", count)
     rarity.destroy()
     least = joined.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = joined.join(least, "component").select(*KEY, "component_id")

@@ -15,11 +15,19 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written once as Parquet and read from there."""
+ROWS_A_TASK = 20_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """df, written once as Parquet and read from there.
+
+    ``rows`` is for a few numbers a row, of which there are about so many: as many tasks as that asks for write
+    them, and not all of a session's shuffle partitions.
+    """
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    out = df if rows is None else df.coalesce(-(-rows // ROWS_A_TASK) or 1)
+    out.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
