@@ -21,6 +21,7 @@ from contractflow.sources.kafka import (
     table_stream,
     with_trigger,
 )
+from contractflow.sources.promotion import common_schema, least_common, promoted, rewrite_promoted, union_promoted
 from contractflow.sources.tables import (
     Tables,
     append,
@@ -48,6 +49,7 @@ __all__ = [
     "as_messages",
     "bronze_schema",
     "closed_days",
+    "common_schema",
     "compact",
     "contract_topic_stream",
     "drop_expired",
@@ -56,17 +58,21 @@ __all__ = [
     "file_stream",
     "kafka_sink",
     "kafka_stream",
+    "least_common",
     "live_files",
     "namespace_statements",
+    "promoted",
     "provision",
     "provision_all",
     "quarantine_schema",
     "replace_load",
     "retained",
     "retention_days",
+    "rewrite_promoted",
     "snapshot",
     "table_ddl",
     "table_stream",
+    "union_promoted",
     "union_widened",
     "upgrade",
     "vacuum",

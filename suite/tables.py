@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contractflow import pin, scratch
-from contractflow.sources import Tables, append, drop_expired, provision, retained, table_ddl, widen
+from contractflow.sources import Tables, append, drop_expired, provision, retained, rewrite_promoted, table_ddl, widen
 from suite.alerts import BRONZE_SQL, CLOCK_SECONDS, CONTRACT, QUARANTINE_SQL, alert_tables
 from suite.registry import query, table
 
@@ -83,3 +83,22 @@ def schema_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
     widen(spark, name, new.schema)
     append(new, name)
     return spark.table(name).select("c_custkey", "c_name", "c_acctbal")
+
+
+@query(
+    "SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END AS value, event_type, "
+    "CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END AS kept, CASE WHEN event_id % 2 = 1 THEN props END AS props FROM events"
+)
+def schema_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two generations of a table, the older with narrower types and a map of unknown fields, rewritten under their common schema."""
+    events, db = table(spark, sf_dir, "events"), new_database(spark)
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    even = events.where("event_id % 2 = 0").select(
+        F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id"), F.col("value").cast("float").alias("value"), F.create_map(F.lit("event_type"), kind, F.lit("kept"), user).alias("unknown_fields")
+    )
+    odd = events.where("event_id % 2 = 1").select("event_id", F.col("user_id").cast("long").alias("user_id"), "value", "event_type", "props")
+    for name, rows in (("first", even), ("second", odd)):
+        spark.sql(table_ddl(f"{db}.{name}", rows.schema))
+        append(rows, f"{db}.{name}")
+    rewrite_promoted(spark, [f"{db}.first", f"{db}.second"], f"{db}.both")
+    return spark.table(f"{db}.both").select("event_id", "user_id", "value", "event_type", F.col("unknown_fields")["kept"].alias("kept"), "props")
