@@ -111,3 +111,37 @@ def test_jobs_need_their_arguments():
         app.main(["contract", "--contract", "x"])
     with pytest.raises(SystemExit):
         app.main([])
+
+
+def test_report_and_compaction_by_version(spark, database, tmp_path):
+    from datetime import date
+
+    from contractflow import scratch
+    from contractflow.sources import CommitLog
+
+    doc = {
+        "info": {"title": "v"},
+        "format": "json",
+        "storage": {"icebergTable": f"{database}.v", "quarantineTable": f"{database}.v_q", "partitioning": ["days(ingested_at)"]},
+        "schema": {"fields": [{"name": "a", "type": "long"}, {"name": "event_time", "type": "timestamp"}]},
+        "quality": {"rules": [{"name": "small", "expr": "a < 100"}]},
+    }
+    path = tmp_path / "v.json"
+    path.write_text(json.dumps(doc))
+    contract = load_contract(path)
+    tables, folder = provision(spark, contract), scratch(spark, "commits")
+    for start in (0, 98):
+        rows = spark.range(start, start + 4).selectExpr("id AS a", "TIMESTAMP'2024-01-01' AS event_time")
+        tagged = validate(rows, contract, CLOCK).withColumn("raw_payload", F.to_json(F.struct("a")))
+        sides = {"bronze": certified(tagged, contract, CLOCK, payload=None), "quarantine": quarantined(tagged, contract, CLOCK)}
+        CommitLog(spark, folder).load(sides, tables)
+
+    def totals(version=None):
+        lines = {r["metric"]: r["value"] for r in app.report(spark, contract, folder, version)}
+        return lines["total_valid"], lines["total_invalid"]
+
+    assert totals(1) == (4, 0) and totals() == totals(2) == (6, 2)
+    assert app.run_compact(spark, str(path), folder, today=date(2100, 1, 1)) == [3, 4]
+    assert totals() == (6, 2) == totals(2)
+    app.main(["compact", "--contract", str(path), "--commits", folder, "--keep", "3"], spark)
+    assert totals() == (6, 2) == totals(3)
