@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from contractflow.llm.quality import measure
 from contractflow.llm.store import discard, written
-from contractflow.llm.text import LOWER, NOT_SPACE, U64, append, byte_table, find_words, lean, parts, utf8
+from contractflow.llm.text import LOWER, NOT_SPACE, U64, append, byte_table, find_words, lean, parts, utf8, without
 
 BUCKETS = 1 << 14
 STEPS = 12
@@ -166,11 +166,11 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label:
     """The rows of docs with a label, which joins them as ``label``; about ``most_rows`` of the labels where there are more.
 
     Only the drawn labels are sent to the tasks; no text moves. A doc_id with labels that differ has none, and
-    neither has a null doc_id.
+    neither has a null doc_id; rows of docs that share a doc_id share its label. A column ``label`` of docs gives way.
     """
     one = labels.where(F.col(f"`{label}`").isin(0, 1)).groupBy(F.col(f"`{doc_id}`").alias(doc_id)).agg(F.min(f"`{label}`").alias("label"), F.max(f"`{label}`").alias("__top"))
     one = one.where("label = __top").drop("__top")
-    return docs.join(F.broadcast(some_of(one, one.count(), most_rows, doc_id)), doc_id)
+    return without(docs, "label").join(F.broadcast(some_of(one, one.count(), most_rows, doc_id)), doc_id)
 
 
 def fit(

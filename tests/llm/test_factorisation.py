@@ -78,7 +78,7 @@ def test_no_labels_and_odd_labels(spark):
     blank = fm.fit(docs.withColumn("label", F.lit(None).cast("int")), rounds=2)
     assert [r["score"] for r in fm.score(docs, blank).collect()] == [0.5] * 3
     labels = spark.createDataFrame([(0, 1), (0, 0), (1, 0), (1, 0), (None, 1), (2, 5), (9, 1)], "doc_id long, label int")
-    taught = fm.labelled(docs, labels)
+    taught = fm.labelled(docs.withColumn("Label", F.lit("theirs")), labels)
     assert [(r["doc_id"], r["label"]) for r in taught.collect()] == [(1, 0)]
     leaning = fm.fit(taught, rounds=3)
     assert all(r["score"] < 0.5 for r in fm.score(docs, leaning).collect())
