@@ -62,7 +62,7 @@ class Letters:
     start: np.ndarray  # first trigram of each word; a word of n letters has n of them
     size: np.ndarray
     text: np.ndarray
-    script: np.ndarray  # the script of most letters up to ties, as a number
+    script: np.ndarray  # the script of most letters, as a number; of equals the higher
     trigram: np.ndarray  # bucket of every trigram
 
 
@@ -85,7 +85,15 @@ def letters(texts: list[str | None]) -> Letters:
     text = np.searchsorted(ends, first, "right")
     script = np.zeros(len(first), np.uint8)
     if len(first):
-        script = np.maximum.reduceat(np.where(is_letter, kind, 0), first) - 1 if len(first) else script
+        high = np.maximum.reduceat(np.where(is_letter, kind, 0), first).astype(np.int64)
+        mixed = np.flatnonzero(high != np.minimum.reduceat(np.where(is_letter, kind, 255), first))
+        if len(mixed):  # words of several scripts are few: count their letters by script
+            width = int(high.max()) + 1
+            held_in = np.repeat(np.arange(len(mixed)), size[mixed])
+            letter = np.arange(len(held_in)) - np.repeat(np.cumsum(size[mixed]) - size[mixed], size[mixed]) + first[mixed][held_in]
+            counts = np.bincount(held_in * width + kind[letter], minlength=len(mixed) * width).reshape(len(mixed), width)
+            high[mixed] = width - 1 - counts[:, ::-1].argmax(1)
+        script = (high - 1).astype(np.uint8)
     # a blank on either side of each word, so that its first and last letters make trigrams of their own
     held = code[is_letter].astype(U64)
     at = np.cumsum(size) - size
@@ -188,6 +196,7 @@ def viterbi(scores: np.ndarray, count: np.ndarray, penalty: float) -> np.ndarray
     return label
 
 
+SLICE = 1 << 20  # bytes: a step of the search takes a word of every text of a slice, so more texts make cheaper steps
 SCHEMA = "lang_pred string, score double, lang_spans array<struct<lang:string,words:int>>"
 SPANS = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))
 
@@ -228,4 +237,4 @@ def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = 8.
         spans = pa.StructArray.from_arrays([pa.array(names[labels[at]].tolist(), pa.string()), pa.array(length)], ["lang", "words"])
         return [pa.array(pred.tolist(), pa.string()), pa.array(score), pa.ListArray.from_arrays(cuts, spans).cast(SPANS)]
 
-    return append(docs, text, make, SCHEMA)
+    return append(docs, text, make, SCHEMA, SLICE)

@@ -189,14 +189,14 @@ def windows(hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray
     return mix(out[at]), at
 
 
-def parts(batch: pa.RecordBatch, column: int | str) -> Iterator[pa.RecordBatch]:
-    """Slices of whole rows of about PART_BYTES of text each."""
+def parts(batch: pa.RecordBatch, column: int | str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows of about ``size`` bytes of text each."""
     if not batch.num_rows:
         return
     _, offsets = utf8(batch.column(column))
     start = 0
     while start < batch.num_rows:
-        stop = int(np.searchsorted(offsets, offsets[start] + PART_BYTES, "right")) - 1
+        stop = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
@@ -229,10 +229,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
-def append(df: DataFrame, text: str, make: Callable[[pa.Array], list], schema: str) -> DataFrame:
+def append(df: DataFrame, text: str, make: Callable[[pa.Array], list], schema: str, size: int = PART_BYTES) -> DataFrame:
     """df with the columns that ``make`` computes from its texts; columns of the same names give way.
 
-    ``make`` gets a slice of the text column, cast to string, and returns one array for each new column.
+    ``make`` gets a slice of the text column, of about ``size`` bytes, cast to string, and returns one array for each
+    new column.
     """
     new = T._parse_datatype_string(schema)
     rest = without(df, *new.names)
@@ -242,7 +243,7 @@ def append(df: DataFrame, text: str, make: Callable[[pa.Array], list], schema: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts(batch, batch.num_columns - 1):
+            for part in parts(batch, batch.num_columns - 1, size):
                 made = [x if isinstance(x, pa.Array) else pa.array(x) for x in make(part.column(part.num_columns - 1))]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
 

@@ -71,3 +71,9 @@ def test_held_out_accuracy(spark):
     got = QUERIES["op3_language_id"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
     share = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert share > 0.98
+
+
+def test_the_script_of_a_word_is_that_of_most_letters():
+    latin, cyrillic = L.letters(["word", "слово"]).script.tolist()
+    assert latin != cyrillic
+    assert L.letters(["aб", "aaб aбб", "б", "ab"]).script.tolist() == [max(latin, cyrillic), latin, cyrillic, cyrillic, latin]
