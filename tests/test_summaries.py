@@ -142,6 +142,34 @@ def test_duplicates_over_restarts(spark, tmp_path):
     assert {r["v"]: r["is_duplicate"] for r in out if r["v"] in (920, 921)} == {920: False, 921: True}
 
 
+def test_many_keys_share_few_states(spark, tmp_path, monkeypatch):
+    """A call and a state row for each key cost ten milliseconds a key; keys of one hash bucket share both."""
+    monkeypatch.setattr("contractflow.streaming.duplicates.BUCKETS", 8, raising=False)
+    schema, source = "k string, v long, t timestamp", str(tmp_path / "in")
+    at = lambda hours: START + timedelta(hours=hours)
+    big = 2**53 + 1  # not exact as a double
+
+    def arrived(rows):
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(source)
+        flagged = flag_duplicates(spark.readStream.schema(schema).parquet(source), ["k"], "t", "1 day")
+        assert [(f.name, f.dataType.simpleString()) for f in flagged.schema] == [("k", "string"), ("v", "bigint"), ("t", "timestamp"), ("is_duplicate", "boolean")]
+        writer = flagged.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+        run = writer.trigger(availableNow=True).start()
+        run.awaitTermination()
+        assert run.lastProgress.stateOperators[0].numRowsTotal <= 8
+        return Counter(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    first = [(f"k{i}", None if i % 2 else big + i, at(i / 100)) for i in range(300)]
+    assert arrived(first) == (had := Counter((*r, False) for r in first))
+    again = [(f"k{i}", big, at(4)) for i in range(400)]
+    assert arrived(again) == (had := had + Counter((*r, i < 300) for i, r in enumerate(again)))
+    had += Counter({("far", 1, at(50), False): 1})
+    assert arrived([("far", 1, at(50))]) == had  # the watermark is now at hour 26: keys below k200 have expired
+    last = [(f"k{i}", None, at(51)) for i in range(400) if i != 200]
+    got = arrived(last) - had
+    assert got == Counter((*r, int(r[0][1:]) > 200) for r in last)
+
+
 def test_a_duplicate_breaks_a_rule(spark):
     rows = spark.createDataFrame([(["x"], False, True), ([], True, True), ([], True, False)], "validation_errors array<string>, is_valid boolean, is_duplicate boolean")
     got = with_duplicate_rule(rows, "once", "id").collect()
