@@ -18,6 +18,7 @@ from contractflow.sources.kafka import (
     file_stream,
     kafka_sink,
     kafka_stream,
+    open_topics,
     table_stream,
     with_trigger,
 )
@@ -61,6 +62,7 @@ __all__ = [
     "least_common",
     "live_files",
     "namespace_statements",
+    "open_topics",
     "promoted",
     "provision",
     "provision_all",

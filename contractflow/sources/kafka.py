@@ -6,7 +6,8 @@ is the same for both.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 DEFAULT_TRIGGER = "30 seconds"
+# Above the two topics of a stream: a task that reaches this number of open files sorts the rest of its rows.
+OPEN_FILES = 8
 
 
 def kafka_stream(
@@ -99,3 +102,23 @@ def file_sink(
     """The same as Parquet files, one folder per topic; the file sink's log makes it exactly-once."""
     writer = messages.writeStream.format("parquet").outputMode("append").partitionBy("topic")
     return with_trigger(writer.option("path", path).option("checkpointLocation", checkpoint), trigger).start()
+
+
+@contextmanager
+def open_topics(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """File sinks that run inside keep a file open for each topic.
+
+    Without it a task sorts all its rows by topic before it writes, which holds or spills the whole split. The sink
+    reads the setting when a batch is written, so the queries have to end inside.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    if before is None or int(before) < files:
+        spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

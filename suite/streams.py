@@ -13,7 +13,7 @@ from contractflow import scratch
 from contractflow.functions import instant
 from contractflow.operators import event_schema
 from contractflow.plans import DOMAINS, Contract
-from contractflow.sources import Tables, file_sink, provision
+from contractflow.sources import Tables, file_sink, open_topics, provision
 from contractflow.streaming import provision_stats, start_contract_stream, start_domain_streams
 from suite.domains import outcome_sql
 from suite.mappings import domain_message_stream, event_messages, row_stream
@@ -114,8 +114,9 @@ def run_domains(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
 
     sources = {name: domain_message_stream(spark, sf_dir, name) for name in names}
     schemas = {name: event_schema(DOMAINS[name]) for name in names}
-    for running in start_domain_streams(sources, schemas, sink, instant(AS_OF)):
-        running.awaitTermination()
+    with open_topics(spark):
+        for running in start_domain_streams(sources, schemas, sink, instant(AS_OF)):
+            running.awaitTermination()
     return target
 
 

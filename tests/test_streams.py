@@ -24,6 +24,7 @@ from contractflow.sources import (
 )
 from contractflow.sources import kafka as K
 from contractflow.streaming import domain_stream, provision_stats, start_contract_stream, start_domain_streams
+from suite import streams
 from suite.mappings import domain_messages_of
 
 SF = "/root/testdata/sf0.001"
@@ -162,6 +163,33 @@ def test_domain_stream_equals_batch_and_replays_exactly_once(spark, tmp_path):
     assert got.count() == events.count()
 
 
+def test_domain_streams_write_with_open_files_instead_of_a_sort(spark, tmp_path, monkeypatch):
+    """The limit on open files is above a stream's two topics while it writes, and as it was afterwards."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    row = {"event_id": [1, 2, 300], "user_id": [7, 12, 19], "value": [30.0, None, 900.0]}
+    kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(e, datetime(2024, 1, 1), u, "click", v, None) for e, u, v in zip(*row.values(), strict=True)]
+    spark.createDataFrame(rows, kinds).write.parquet(str(tmp_path / "events.parquet"))
+
+    def sink(messages, path, checkpoint, trigger):
+        running = file_sink(messages, path, checkpoint, trigger=trigger)
+        running.awaitTermination()
+        seen.append(int(spark.conf.get(name)))
+        return running
+
+    monkeypatch.setattr(streams, "file_sink", sink)
+    for before in (None, "5"):
+        if before:
+            spark.conf.set(name, before)
+        try:
+            routed = streams.stream_domain(spark, str(tmp_path)).collect()
+            assert spark.conf.get(name, None) == before
+        finally:
+            spark.conf.unset(name)
+        assert sorted((r.key, r.topic.split(".")[0]) for r in routed) == [("E1", "dlq"), ("E300", "dlq"), ("R2", "silver")]
+    assert seen == [K.OPEN_FILES, K.OPEN_FILES] and K.OPEN_FILES > 2
+
+
 def test_kafka_options(spark, monkeypatch):
     """Kafka's package is absent here; the options that would reach it are what can be checked."""
     seen = {}
